@@ -4,13 +4,15 @@ from pyspark.sql import functions as F
 
 from ..constants import AUDIO_FOOTNOTE, LANGUAGE_CODES, WHITESPACE
 
-WS_CLASS = f"[{WHITESPACE}]"
+# The same set as WHITESPACE, in the form a regex engine tests fastest.
+WS_INNER = r"\s\x1c-\x1f"
+WS_CLASS = f"[{WS_INNER}]"
 
 # Marks go first, then whatever other tag or star is left.
-_MARKS = r"<br[" + WHITESPACE + r"]*/?>|<strong>\*</strong>"
+_MARKS = rf"(?U)<br{WS_CLASS}*/?>|<strong>\*</strong>"
 _TAGS_AND_STARS = r"<[^>]+>|\*"
 _FOOTNOTE = f"(?i){AUDIO_FOOTNOTE}"
-_FOOTNOTE_WITH_MARK = rf"(?i)(?:<br[{WHITESPACE}]*/?>)?{WS_CLASS}*<strong>\*</strong>{WS_CLASS}*{AUDIO_FOOTNOTE}"
+_FOOTNOTE_WITH_MARK = rf"(?iU)(?:<br{WS_CLASS}*/?>)?{WS_CLASS}*<strong>\*</strong>{WS_CLASS}*{AUDIO_FOOTNOTE}"
 
 
 def strip_ws(col):
@@ -19,7 +21,7 @@ def strip_ws(col):
 
 
 def squeeze_ws(col):
-    return F.regexp_replace(col, f"{WS_CLASS}+", " ")
+    return F.regexp_replace(col, f"(?U){WS_CLASS}+", " ")
 
 
 def replace_codes(col, codes=LANGUAGE_CODES):

@@ -4,8 +4,8 @@ import re
 
 from pyspark.sql import functions as F
 
-from ..constants import DEFAULT_GENRE, GENRE_PRIORITY, UNKNOWN_PRIORITY, WHITESPACE
-from .text import strip_ws
+from ..constants import DEFAULT_GENRE, GENRE_PRIORITY, UNKNOWN_PRIORITY
+from .text import WS_INNER, strip_ws
 
 
 def _quoted(sep):
@@ -23,7 +23,7 @@ def count_tokens(col, sep=","):
     if len(sep) != 1:
         raise ValueError("sep must be one character")
     stop = _quoted(sep)
-    found = F.regexp_count(col, F.lit(f"[^{stop}{WHITESPACE}][^{stop}]*"))
+    found = F.regexp_count(col, F.lit(f"(?U)[^{stop}{WS_INNER}][^{stop}]*"))
     return F.coalesce(found, F.lit(0)).cast("long")
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..constants import DEFAULT_GENRE, UNKNOWN_PRIORITY
-from ..functions import clean_language, has_audio_mark, strip_audio_mark, strip_footnote, strip_ws
+from ..functions import clean_language, has_audio_mark, is_footnote, strip_audio_mark, strip_footnote, strip_ws
 from .joins import join_lookup
 
 
@@ -30,15 +30,18 @@ def normalize_languages(df, keys, col="languages", strict_mark=False, ignore_foo
     but that mark is cleaned, and repeated names stay.
     """
     text = strip_footnote(F.col(col)) if ignore_footnote else F.col(col)
-    raw = df.select(*keys, F.explode(F.split(text, ",", -1)).alias("__raw"))
-    name = strip_audio_mark(F.col("__raw")) if strict_mark else clean_language(F.col("__raw"))
-    rows = raw.select(*keys, name.alias("language"), has_audio_mark(F.col("__raw"), strict_mark).alias("audio"))
-    if not dedupe:
-        return rows
-    from ..functions import is_footnote
 
+    def entry(raw):
+        name = strip_audio_mark(raw) if strict_mark else clean_language(raw)
+        return F.struct(name.alias("language"), has_audio_mark(raw, strict_mark).alias("audio"))
+
+    # Names are cleaned and filtered inside the array: each token once, before it becomes a row.
+    entries = F.transform(F.split(text, ",", -1), entry)
+    if not dedupe:
+        return df.select(*keys, F.inline(entries))
+    named = F.filter(entries, lambda e: (e["language"] != "") & ~is_footnote(e["language"]))
     return (
-        rows.where((F.col("language") != "") & ~is_footnote(F.col("language")))
+        df.select(*keys, F.inline(named))
         .groupBy(*keys, "language")
         .agg(F.bool_or("audio").alias("audio"))
     )

@@ -41,3 +41,9 @@ def stage(df, label="stage", partition_by=()):
     path = scratch_dir(df.sparkSession, label)
     df.write.partitionBy(*partition_by).parquet(path)
     return path
+
+
+def spread_scan(df):
+    """Spread a scan with fewer splits than cores before costly text work; larger scans stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
