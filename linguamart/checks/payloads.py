@@ -27,7 +27,8 @@ def _popularity_docs(spark, sf_dir):
         .otherwise(F.concat(F.lit('{"appid":"'), user, F.lit('","ccu":7,"name":"P"}')))
     )
     payload = F.concat(F.lit('{"'), F.col("event_id").cast("string"), F.lit('":'), body, F.lit(',"abc":{"ccu":1}}'))
-    return table(spark, sf_dir, "events").select("event_id", payload.alias("payload"))
+    columns = ["event_id", "user_id", "event_type", "props"]
+    return table(spark, sf_dir, "events", columns).select("event_id", payload.alias("payload"))
 
 
 @query("q_payload_rows", f"""WITH {_SQL_POPULARITY_DOCS},

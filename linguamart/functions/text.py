@@ -54,7 +54,10 @@ def clean_language(col):
 
 def tidy_language(col):
     """Second pass on a cleaned name: left-over tags and footnote go without a space."""
-    return strip_ws(F.regexp_replace(F.regexp_replace(col, r"<[^>]+>", ""), _FOOTNOTE, ""))
+    # Hardly any name still has them, and testing for them is cheaper than replacing.
+    plain = F.when(col.contains("<"), F.regexp_replace(col, r"<[^>]+>", "")).otherwise(col)
+    noted = F.lower(plain).contains(AUDIO_FOOTNOTE)
+    return strip_ws(F.when(noted, F.regexp_replace(plain, _FOOTNOTE, "")).otherwise(plain))
 
 
 def is_footnote(col):

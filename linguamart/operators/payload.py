@@ -19,23 +19,25 @@ def _field(record, name):
 def _entries(df, json_col):
     """One row per entry of the outer object: id text and record as map of raw JSON texts."""
     rest = [c for c in df.columns if c != json_col]
-    pairs = df.select(*rest, F.explode(F.from_json(json_col, _TEXT_MAP)).alias("__key", "__value"))
+    pairs = df.select(*rest, F.posexplode(F.from_json(json_col, _TEXT_MAP)).alias("__position", "__key", "__value"))
     return rest, pairs.where(_is_object(F.col("__value"))).select(
-        *rest, "__key", F.from_json("__value", _TEXT_MAP).alias("__record")
+        *rest, "__position", "__key", F.from_json("__value", _TEXT_MAP).alias("__record")
     )
 
 
-def popularity_records(df, json_col, fields, id_field="appid"):
+def popularity_records(df, json_col, fields, id_field="appid", position=None):
     """Object keyed by id -> rows. ``fields`` maps field name to type; unreadable values are null.
 
     The id is the record's own field, or the key where the record has no such field. Entries that
-    are not records and ids that are not integers are skipped.
+    are not records and ids that are not integers are skipped. ``position`` names a column for the
+    place of the entry in its document.
     """
     rest, rows = _entries(df, json_col)
     record = F.col("__record")
     raw_id = F.when(F.map_contains_key(record, id_field), _field(record, id_field)).otherwise(F.col("__key"))
     values = [_field(record, name).try_cast(kind).alias(name) for name, kind in fields.items() if name != id_field]
-    return rows.select(*rest, raw_id.try_cast("long").alias(id_field), *values).where(F.col(id_field).isNotNull())
+    place = [F.col("__position").alias(position)] if position else []
+    return rows.select(*rest, *place, raw_id.try_cast("long").alias(id_field), *values).where(F.col(id_field).isNotNull())
 
 
 def store_records(df, json_col, key="appid"):

@@ -33,58 +33,63 @@ def value_quantiles(df, value, probs, by=(), buckets=65_536, levels=2):
 
     Distinct values are counted first. Each level then cuts the range of the cells that hold a
     wanted rank into ``buckets`` steps and keeps, by running totals, the few steps that still do.
-    Only the distinct values inside the last steps are put in order, so no task ever sees a group.
+    Only the distinct values inside the last steps are put in order, so no task ever sees a group;
+    the running totals see at most ``buckets`` rows per cell.
     """
     by = list(by)
-    group = F.struct(F.lit(0).alias("k"), *[F.col(c) for c in by]).alias("__g")
+    group = (F.struct(*[F.col(c) for c in by]) if by else F.lit(0)).alias("__g")
     values = (
         df.where(F.col(value).isNotNull())
         .groupBy(group, F.col(value).cast("double").alias("__v"))
         .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__cell", F.lit("c"))
     )
-    cells = (
-        values.groupBy("__g", "__cell")
-        .agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.sum("__n").alias("__in"))
-        .withColumn("__before", F.lit(0).cast("long"))
-    )
-    # The two ranks (from 0) around each probability.
-    ranks = (
-        cells.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumn("__at", F.col("prob") * (F.col("__in") - 1))
-        .withColumn("__rank", F.explode(F.array_distinct(F.array(F.floor("__at"), F.ceil("__at")))))
-        .select("__g", "prob", "__at", "__rank")
+    limits = values.groupBy("__g").agg(
+        F.struct(
+            F.min("__v").alias("lo"), F.max("__v").alias("hi"), F.lit(0).cast("long").alias("before"),
+            F.sum("__n").alias("total"),
+        ).alias("__x")
     )
+    if by:
+        values = values.join(limits, "__g")
+    else:
+        values = values.withColumn("__x", limits.select("__x").scalar())
+    values = values.withColumn("__cell", F.lit(""))
+
+    def wanted(total, start, end):
+        """The ranks (from 0) around each probability that lie in [start, end)."""
+        def around(p):
+            at = F.lit(float(p)) * (total - 1)
+            return [
+                F.struct(F.lit(float(p)).alias("prob"), at.alias("at"), edge(at).cast("long").alias("rank"))
+                for edge in (F.floor, F.ceil)
+            ]
+
+        ranks = F.array_distinct(F.array(*[r for p in probs for r in around(p)]))
+        return F.filter(ranks, lambda r: (r["rank"] >= start) & (r["rank"] < end))
+
     for _ in range(levels):
-        width = (F.col("__hi") - F.col("__lo")) / buckets
-        step = F.when(width > 0, F.floor((F.col("__v") - F.col("__lo")) / width)).otherwise(F.lit(0))
-        values = values.join(cells.select("__g", "__cell", "__lo", "__hi", "__before"), ["__g", "__cell"]).select(
-            "__g", F.col("__cell").alias("__parent"), "__before", step.cast("long").alias("__step"), "__v", "__n",
-            F.concat_ws("/", "__cell", step.cast("long").cast("string")).alias("__cell"),
-        )
-        running = Window.partitionBy("__g", "__parent").orderBy("__step")
-        cells = (
-            values.groupBy("__g", "__parent", "__step", "__cell", "__before")
-            .agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.sum("__n").alias("__in"))
-            .withColumn("__before", F.col("__before") + F.sum("__in").over(running) - F.col("__in"))
+        x = F.col("__x")
+        width = (x["hi"] - x["lo"]) / buckets
+        step = F.when(width > 0, F.floor((F.col("__v") - x["lo"]) / width)).otherwise(F.lit(0)).cast("long")
+        values = values.select("__g", F.col("__cell").alias("__parent"), step.alias("__step"), "__v", "__n", "__x")
+        values = values.withColumn("__cell", F.concat_ws("/", "__parent", F.col("__step").cast("string")))
+        steps = values.groupBy("__g", "__parent", "__step", "__cell").agg(
+            F.min("__v").alias("lo"), F.max("__v").alias("hi"), F.sum("__n").alias("within"),
+            F.max("__x.before").alias("below"), F.max("__x.total").alias("total"),
         )
-        holds = (ranks["__rank"] >= cells["__before"]) & (ranks["__rank"] < cells["__before"] + cells["__in"])
-        cells = cells.join(ranks, (cells["__g"] == ranks["__g"]) & holds, "left_semi").select(
-            "__g", "__cell", "__lo", "__hi", "__in", "__before"
-        )
-        values = values.select("__g", "__cell", "__v", "__n")
+        running = F.sum("within").over(Window.partitionBy("__g", "__parent").orderBy("__step"))
+        steps = steps.withColumn("before", F.col("below") + running - F.col("within"))
+        holds = F.size(wanted(F.col("total"), F.col("before"), F.col("before") + F.col("within"))) > 0
+        cells = steps.where(holds).select("__g", "__cell", F.struct("lo", "hi", "before", "total").alias("__x"))
+        values = values.select("__g", "__cell", "__v", "__n").join(cells, ["__g", "__cell"])
 
-    inside = values.join(cells.select("__g", "__cell", "__before"), ["__g", "__cell"])
     upto = F.sum("__n").over(Window.partitionBy("__g", "__cell").orderBy("__v"))
-    placed = inside.withColumn("__end", F.col("__before") + upto).select(
-        "__g", "__v", "__end", (F.col("__end") - F.col("__n")).alias("__start")
-    )
-    hits = placed.join(
-        ranks,
-        (placed["__g"] == ranks["__g"]) & (ranks["__rank"] >= placed["__start"]) & (ranks["__rank"] < placed["__end"]),
-    ).select(placed["__g"], "prob", "__at", "__rank", "__v")
-    low, high = F.min_by("__v", "__rank"), F.max_by("__v", "__rank")
-    share = F.max("__at") - F.min("__rank")
+    placed = values.withColumn("__end", F.col("__x.before") + upto)
+    hits = placed.select("__g", "__v", F.inline(
+        wanted(F.col("__x.total"), F.col("__end") - F.col("__n"), F.col("__end"))
+    ))
+    low, high = F.min_by("__v", "rank"), F.max_by("__v", "rank")
+    share = F.max("at") - F.min("rank")
     return hits.groupBy("__g", "prob").agg((low + (high - low) * share).alias("quantile")).select(
         *[F.col("__g")[c].alias(c) for c in by], "prob", "quantile"
     )

@@ -15,10 +15,11 @@ def land_payloads(popularity_pages, first_region, second_region, base, day, n=TO
     """Landed JSON documents to the two bronze snapshots.
 
     ``popularity_pages`` has columns page and payload; the regions have payload. The list is the
-    first ``n`` distinct ids in page and id order; store rows are kept for listed ids only.
+    first ``n`` distinct ids in the order of the pages and of the entries in them; store rows are kept for listed ids only.
     """
     fields = {f.name: f.dataType for f in BRONZE_POPULARITY.fields}
-    listed = top_n_distinct(popularity_records(popularity_pages, "payload", fields), ["appid"], ["page", "appid"], n)
+    records = popularity_records(popularity_pages, "payload", fields, position="position")
+    listed = top_n_distinct(records, ["appid"], ["page", "position"], n)
     write_csv(listed.select(*fields), layer_path(base, "bronze", "popularity", day))
     details = merge_regions(store_records(first_region, "payload"), store_records(second_region, "payload"))
     write_csv(

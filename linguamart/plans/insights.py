@@ -94,7 +94,6 @@ def missing_localization(fct, dim_languages, n_titles=100, n_languages=10):
     # Both lists are bounded by the arguments: the languages travel as one array.
     have = (
         dim_languages.join(F.broadcast(popular.select("appid")), "appid", "left_semi")
-        .join(F.broadcast(wanted.select("language")), "language", "left_semi")
         .groupBy("appid").agg(F.collect_set("language").alias("have"))
     )
     top = wanted.agg(F.array_sort(F.collect_list("language")).alias("all")).scalar()

@@ -43,14 +43,13 @@ def dim_genres(store):
 
 def dim_languages(languages, one_per_key=False):
     """Staged languages with their key. ``one_per_key`` folds spellings and audio flags of a key together."""
-    rows = languages.select(
-        surrogate_key(F.col("appid"), F.lower("language")).alias("language_key"), "appid", "language", "has_audio_support"
-    )
-    if not one_per_key:
-        return rows.distinct()
-    return rows.groupBy("language_key", "appid").agg(
-        F.min("language").alias("language"), F.bool_or("has_audio_support").alias("has_audio_support")
-    )
+    rows = languages.select("appid", "language", "has_audio_support").distinct()
+    keyed = rows.withColumn("language_key", surrogate_key(F.col("appid"), F.lower("language")))
+    if one_per_key:
+        keyed = keyed.groupBy("language_key", "appid").agg(
+            F.min("language").alias("language"), F.bool_or("has_audio_support").alias("has_audio_support")
+        )
+    return keyed.select("language_key", "appid", "language", "has_audio_support")
 
 
 def store_daily(source, seed=None):

@@ -44,6 +44,9 @@ def stage(df, label="stage", partition_by=()):
 
 
 def spread_scan(df):
-    """Spread a scan with fewer splits than cores before costly text work; larger scans stay as they are."""
+    """Spread a scan with fewer splits than cores before costly text work; larger scans stay as they are.
+
+    Rows are placed by the hash of all their values, so a rerun task sends each to the same place.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *df.columns) if df.rdd.getNumPartitions() < cores else df

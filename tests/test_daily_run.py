@@ -1,0 +1,157 @@
+"""From hand-made bronze snapshots to marts, with the expected rows written out."""
+
+import datetime as dt
+import hashlib
+import json
+
+import pytest
+
+from fixture_rows import POPULARITY, STORE, popularity_csv, store_csv
+from linguamart.operators import run_checks
+from linguamart.plans import marts
+from linguamart.plans.daily import build_gold, build_silver, land_payloads, run_day
+from linguamart.plans.silver import silver_languages
+from linguamart.sources import layer_path, read_json_documents, read_silver
+
+DAY = "2024-05-01"
+
+
+@pytest.fixture(scope="module")
+def built(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("run")
+    store_csv(str(folder / "store.csv"))
+    popularity_csv(str(folder / "pop.csv"))
+    base = str(folder / "lake")
+    counts, tables, report = run_day(
+        spark, base, DAY, store_csv=str(folder / "store.csv"), popularity_csv=str(folder / "pop.csv")
+    )
+    return base, counts, tables, report
+
+
+def silver(spark, base, table):
+    return read_silver(spark, f"{base}/silver", table, DAY).drop("snapshot_date")
+
+
+def test_counts(built):
+    assert built[1] == {"store": 5, "popularity": 3, "games": 5, "genres": 8, "languages": 8}
+
+
+def test_silver_store(spark, built, rows):
+    df = silver(spark, built[0], "store")
+    assert rows(df, "appid", "price_usd", "price_pln", "release_date", "release_date_missing") == [
+        (10, 1299.99, 4799.99, dt.date(2012, 8, 21), False), (20, 0.0, 0.0, None, True),
+        (30, 0.0, 0.0, dt.date(2013, 7, 1), False), (40, 0.0, 1299.99, dt.date(2012, 8, 21), False),
+        (50, -3.0, -3.5, None, True),
+    ]
+    assert dict(df.dtypes)["release_date"] == "date" and dict(df.dtypes)["appid"] == "bigint"
+    assert silver(spark, built[0], "games").columns == ["appid", "price_usd", "price_pln", "release_date", "release_date_missing"]
+
+
+def test_silver_popularity(spark, built, rows):
+    df = silver(spark, built[0], "popularity")
+    assert rows(df, "appid", "positive", "negative", "ccu", "owners_category", "ingestion_date") == [
+        (10, 310, 100, 250, "10M-20M", dt.date(2024, 5, 1)), (20, 0, 0, 0, None, dt.date(2024, 5, 1)),
+        (30, 5, 0, None, "200M+", dt.date(2024, 5, 1)),
+    ]
+    assert "developer" not in df.columns and "owners" not in df.columns
+
+
+def test_silver_genres_and_languages(spark, built, rows):
+    assert rows(silver(spark, built[0], "genres"), "appid", "genre") == sorted([
+        (10, "Action"), (20, None), (30, "Free to Play"), (30, "Massively Multiplayer"), (40, "Indie"), (40, ""),
+        (40, "RPG"), (50, "Utilities"),
+    ], key=lambda r: tuple((v is None, str(v)) for v in r))
+    want = [
+        (10, "English", True), (10, "French", False), (10, "German", True), (30, "English", False),
+        (30, "Slovakian", False), (40, "English", True), (40, "english", False), (50, "Polish", True),
+    ]
+    assert rows(silver(spark, built[0], "languages"), "appid", "language", "audio") == want
+    plain = silver_languages(silver(spark, built[0], "store"), ignore_footnote=True)
+    assert (10, "German", False) in rows(plain, "appid", "language", "audio")
+
+
+def test_fct_games(built, rows):
+    assert rows(built[2]["fct_games"], "appid", "title", "total_reviews", "positive_ratio", "ccu", "average_forever") == [
+        (10, "Alpha", 410, 0.7561, 250, 0.0), (20, "Beta", 0, None, 0, 0.0), (30, "Gamma", 5, 1.0, 0, 0.0),
+        (40, "40", 0, None, 0, 0.0), (50, "50", 0, None, 0, 0.0),
+    ]
+    assert built[2]["fct_games"].columns == [
+        "appid", "title", "release_date", "release_date_missing", "price_usd", "price_pln", "owners_category", "ccu",
+        "positive_reviews", "negative_reviews", "total_reviews", "positive_ratio",
+        "average_forever", "average_2weeks", "median_forever", "median_2weeks",
+    ]
+
+
+def test_fct_games_daily(built, rows):
+    day = dt.date(2024, 5, 1)
+    assert rows(built[2]["fct_games_daily"], "appid", "snapshot_date", "languages", "genre", "primary_genre") == [
+        (10, day, 3, 2, "action"), (20, day, 0, 0, "other"), (30, day, 2, 2, "free to play"), (40, day, 2, 2, "rpg"),
+        (50, day, 1, 1, "utilities"),
+    ]
+
+
+def test_dimensions(built, rows):
+    assert rows(built[2]["dim_genres"]) == [
+        (10, "Action"), (30, "Massively Multiplayer"), (40, "Indie"), (40, "RPG"), (50, "Utilities")
+    ]
+    keys = {(r.appid, r.language): r.language_key for r in built[2]["dim_languages"].collect()}
+    assert keys[(40, "English")] == keys[(40, "english")] == hashlib.md5(b"40|english").hexdigest()
+    folded = marts.dim_languages(built[2]["staging_languages"], one_per_key=True)
+    assert rows(run_checks({"d": folded}, {"d": {"unique": ["language_key"]}})) == [("d", "language_key", "unique", 0)]
+
+
+def test_checks(built):
+    failed = {(r.table_name, r.column_name, r.check_name): r.n_failed for r in built[3].collect() if r.n_failed}
+    # The two spellings of one language share a key; title 40 and 50 have no popularity row, all others a name.
+    assert failed == {("dim_languages", "language_key", "unique"): 1}
+    assert built[3].count() == 19
+
+
+def test_next_day_rerun_and_skip(spark, built, tmp_path, rows):
+    base = built[0]
+    store_csv(str(tmp_path / "s.csv"), [(10, "$1.00", None, "1 Jan, 2020", "English", "RPG")] + STORE[2:])
+    popularity_csv(str(tmp_path / "p.csv"), [(10, "Alpha", 400, 100, 300, None)] + POPULARITY[2:])
+    files = {"store_csv": str(tmp_path / "s.csv"), "popularity_csv": str(tmp_path / "p.csv")}
+    build_silver(spark, base, "2024-05-02", **files)
+    tables, _ = build_gold(spark, base)
+    daily = tables["fct_games_daily"].where("appid = 10")
+    assert rows(daily, "snapshot_date", "ccu", "primary_genre") == [
+        (dt.date(2024, 5, 1), 250, "action"), (dt.date(2024, 5, 2), 300, "rpg")
+    ]
+    assert rows(tables["fct_games"].where("appid = 10"), "release_date", "ccu", "total_reviews") == [(dt.date(2020, 1, 1), 300, 500)]
+    assert build_silver(spark, base, "2024-05-02", skip_done=True, **files) == {}
+    tables, _ = build_gold(spark, base, dates=["2024-05-01"])
+    assert tables["fct_games_daily"].count() == 10
+    only, _ = build_gold(spark, base, mode="latest")
+    assert rows(only["staging_popularity"].where("appid = 10"), "ccu") == [(300,)]
+
+
+def test_missing_day(spark, built):
+    with pytest.raises(FileNotFoundError):
+        build_silver(spark, built[0], "2030-01-01")
+
+
+def test_payloads_to_silver(spark, tmp_path, rows):
+    pages = [
+        {"10": {"appid": 10, "name": "Alpha", "ccu": 5, "owners": "0 .. 5,000,000"}, "30": {"name": "Gamma"}, "x": {}, "15": {"name": "Delta"}},
+        {"10": {"appid": 10, "name": "Later"}, "20": {"appid": 20, "name": "Beta", "positive": 3}, "25": 1},
+    ]
+    df = spark.createDataFrame([(i, json.dumps(p)) for i, p in enumerate(pages)], "page int, payload string")
+    detail = lambda price: {"success": True, "data": {
+        "price_overview": {"final_formatted": price}, "release_date": {"date": "1 Jul, 2013"},
+        "supported_languages": "English, #lang_slovakian", "genres": [{"description": "Action"}],
+    }}
+    (tmp_path / "us.json").write_text(json.dumps({"10": detail("$9.99"), "99": detail("$1.00")}))
+    (tmp_path / "pl.json").write_text(json.dumps({"10": detail("39,99zł"), "30": detail("1,00zł"), "20": {"success": False}}))
+    base = str(tmp_path / "lake")
+    first, second = (read_json_documents(spark, str(tmp_path / n)) for n in ("us.json", "pl.json"))
+    land_payloads(df, first, second, base, DAY, n=3)
+    counts = build_silver(spark, base, DAY)
+    assert counts["popularity"] == 3 and counts["store"] == 2
+    assert rows(read_silver(spark, f"{base}/silver", "popularity", DAY), "appid", "name", "ccu") == [
+        (10, "Alpha", 5), (15, "Delta", None), (30, "Gamma", None)
+    ]
+    assert rows(read_silver(spark, f"{base}/silver", "store", DAY), "appid", "price_usd", "price_pln", "languages") == [
+        (10, 9.99, 39.99, "English, Slovakian"), (30, 0.0, 1.0, "English, Slovakian")
+    ]
+    assert layer_path(base, "bronze", "store", DAY).endswith("bronze/store/snapshot_date=2024-05-01")
