@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..constants import ID_IN_LOGO
 from ..functions import first_nonempty, replace_codes
+from .dedupe import best_per_key
 
 _TEXT_MAP = "map<string,string>"
 
@@ -66,9 +67,12 @@ def store_records(df, json_col, key="appid"):
     )
 
 
-def _both_regions(first, second, key):
+def _both_regions(first, second, key, present):
     def pack(df, name):
-        return df.select(key, F.struct(*[c for c in df.columns if c != key]).alias(name))
+        # A repeated id counts once, the entry with data before the empty one, so the join stays one to one.
+        others = [c for c in df.columns if c not in (key, present)]
+        single = best_per_key(df, [key], [F.desc(present), *[F.desc_nulls_last(c) for c in others]])
+        return single.select(key, F.struct(*[c for c in df.columns if c != key]).alias(name))
 
     return pack(first, "__a").join(pack(second, "__b"), key, "full")
 
@@ -78,9 +82,9 @@ def merge_regions(first, second, key="appid", present="has_data", price="price",
     """One row per id seen in either region.
 
     Each price comes from its own region; every other field comes as a whole record from the
-    first region, or from the second where the first has none. Both sides have one row per id.
+    first region, or from the second where the first has none.
     """
-    both = _both_regions(first, second, key)
+    both = _both_regions(first, second, key, present)
     seen_a = F.coalesce(F.col("__a")[present], F.lit(False))
     seen_b = F.coalesce(F.col("__b")[present], F.lit(False))
     record = F.when(seen_a, F.col("__a")).otherwise(F.col("__b"))
@@ -95,7 +99,7 @@ def merge_regions(first, second, key="appid", present="has_data", price="price",
 
 def region_counters(first, second, key="appid", present="has_data"):
     """One row: ids hit in the first region, in the second, in any, and ids that give a merged row."""
-    both = _both_regions(first, second, key)
+    both = _both_regions(first, second, key, present)
     a, b = F.col("__a"), F.col("__b")
     kept = F.coalesce(a[present], F.lit(False)) | F.coalesce(b[present], F.lit(False))
     return both.agg(

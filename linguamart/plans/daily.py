@@ -63,11 +63,17 @@ def build_silver(spark, base, day, store_csv=None, popularity_csv=None, skip_don
 def build_gold(spark, base, mode="all", date=None, dates=None):
     """Source views, staging views and marts; returns the table names and the check report."""
     raw = register_sources(spark, layer_path(base, "silver", "").rstrip("/"), mode, date)
-    views = {
-        "staging_store": save_view(staging.staging_store(raw["store_raw"]), "staging_store"),
-        "staging_popularity": save_view(staging.staging_popularity(raw["popularity_raw"]), "staging_popularity"),
-        "staging_languages": save_view(staging.staging_languages(raw["languages_normalized"]), "staging_languages"),
+    staged = {
+        "staging_store": staging.staging_store(raw["store_raw"]),
+        "staging_popularity": staging.staging_popularity(raw["popularity_raw"]),
+        "staging_languages": staging.staging_languages(raw["languages_normalized"]),
     }
+    # Several marts and checks read the staging views, so each is computed once and stored.
+    views = {}
+    for name, df in staged.items():
+        path = layer_path(base, "staging", name)
+        write_parquet(df, path, sort_by=("appid",))
+        views[name] = save_view(spark.read.schema(df.schema).parquet(path), name)
     gold = f"{base}/gold"
     outputs = {
         "fct_games": marts.fct_games(views["staging_store"], views["staging_popularity"]),
@@ -77,7 +83,7 @@ def build_gold(spark, base, mode="all", date=None, dates=None):
     tables = dict(views)
     for name, df in outputs.items():
         write_parquet(df, f"{gold}/{name}", sort_by=("appid",))
-        tables[name] = save_view(spark.read.parquet(f"{gold}/{name}"), name)
+        tables[name] = save_view(spark.read.schema(df.schema).parquet(f"{gold}/{name}"), name)
     daily = f"{gold}/fct_games_daily"
     load_days(marts.fct_games_daily(raw["store_raw"], raw["popularity_raw"]), daily, dates)
     tables["fct_games_daily"] = save_view(read_table(spark, daily), "fct_games_daily")

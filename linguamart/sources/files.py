@@ -1,5 +1,8 @@
 """Choosing which dated files make up a table."""
 
+import datetime as dt
+import re
+
 from pyspark.sql import functions as F
 
 from ..constants import DATE_IN_NAME
@@ -15,6 +18,20 @@ SOURCE_TABLES = {
 }
 
 
+DAY = "snapshot_date"
+
+
+def day_folders(spark, root, day_col=DAY):
+    """Sorted days that a table laid out by day holds, from its folder names; [] for any other folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(path)]
+    found = [re.fullmatch(rf"{day_col}=(\d{{4}}-\d{{2}}-\d{{2}})", name) for name in names]
+    return sorted(dt.date.fromisoformat(m.group(1)) for m in found if m)
+
+
 def list_files(spark, root, needle="", suffix=".parquet"):
     """Paths under ``root`` as a DataFrame; only names are read, listed in parallel."""
     files = (
@@ -27,35 +44,40 @@ def list_files(spark, root, needle="", suffix=".parquet"):
 def select_source(spark, root, mode="all", date=None, needle="", schema=None, merge_schema=False):
     """A table over all matching files, over the latest day, or over one date.
 
-    A date wins over the mode. The choice is a filter on the file path, which Spark applies while
-    it lists files, so the others are never opened. Latest is the day in the greatest path, or that
-    one file if its path has no date. No matching file raises FileNotFoundError.
+    A date wins over the mode; no matching file raises FileNotFoundError. In a table laid out by
+    day only the folder of the chosen day is listed. Elsewhere the choice is a filter on the file
+    path, which Spark applies while it lists files, so the others are never opened; latest is then
+    the day in the greatest path, or that one file if its path has no date.
     """
     if mode not in ("all", "latest"):
         raise ValueError("mode must be one of: all, latest")
+    reader = spark.read.option("mergeSchema", merge_schema)
+    reader = reader.schema(schema) if schema is not None else reader
+
+    days = [] if needle else day_folders(spark, root)
+    if days:
+        if not date and mode == "all":
+            return reader.parquet(root)
+        day = str(date or days[-1])
+        if day not in map(str, days):
+            raise FileNotFoundError(f"no {DAY}={day} under {root}")
+        return reader.option("basePath", root).parquet(f"{root}/{DAY}={day}")
+
     names = list_files(spark, root, needle)
     if date:
         names = names.where(F.col("path").contains(str(date)))
     newest = names.agg(F.max("path")).first()[0]
     if newest is None:
         raise FileNotFoundError(f"no files under {root} for needle={needle!r} date={date!r}")
-
-    reader = spark.read.option("mergeSchema", merge_schema)
-    reader = reader.schema(schema) if schema is not None else reader
-    by_folder = not needle and any("=" in part for part in newest[len(root):].split("/")[:-1])
-    if not by_folder:
-        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
-    df = reader.parquet(root)
+    df = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(root)
     path = F.col("_metadata.file_path")
     if needle:
         df = df.where(path.contains(needle))
     if date:
         return df.where(path.contains(str(date)))
     if mode == "latest":
-        import re
-
-        days = re.findall(DATE_IN_NAME, newest)
-        return df.where(path.contains(days[-1] if days else newest.rsplit("/", 1)[-1]))
+        found = re.findall(DATE_IN_NAME, newest)
+        return df.where(path.contains(found[-1] if found else newest.rsplit("/", 1)[-1]))
     return df
 
 

@@ -1,7 +1,5 @@
 """Incremental loads: the one stream-like behaviour of the data, day by day."""
 
-from .incremental import (
-    days_in, high_water, load_days, load_new_days, merge_rows, read_table, replace_days,
-)
+from .incremental import high_water, load_days, load_new_days, merge_rows, read_table, replace_days
 
-__all__ = ["days_in", "high_water", "load_days", "load_new_days", "merge_rows", "read_table", "replace_days"]
+__all__ = ["high_water", "load_days", "load_new_days", "merge_rows", "read_table", "replace_days"]

@@ -13,27 +13,16 @@ from pyspark.sql.types import StructType
 
 from ..constants import EPOCH_DAY
 from ..session import stage
+from ..sources.files import DAY, day_folders
 from ..sources.sinks import write_days
 
-DAY = "snapshot_date"
 KEYS = ("appid", DAY)
 _COLUMNS = "_columns"
 
 
-def days_in(spark, target, day_col=DAY):
-    """Sorted days the table holds; [] if it does not exist."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(target)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    prefix = f"{day_col}="
-    names = [status.getPath().getName() for status in fs.listStatus(path)]
-    return sorted(dt.date.fromisoformat(n[len(prefix):]) for n in names if n.startswith(prefix) and n[len(prefix):][:1].isdigit())
-
-
 def high_water(spark, target, day_col=DAY):
     """Newest day in the table, or a day before all others."""
-    days = days_in(spark, target, day_col)
+    days = day_folders(spark, target, day_col)
     return days[-1] if days else dt.date.fromisoformat(EPOCH_DAY)
 
 
@@ -82,10 +71,10 @@ def merge_rows(df, target, keys=KEYS, day_col=DAY, id_col="appid"):
     lost executor never makes the job read a half-replaced day.
     """
     spark = df.sparkSession
-    if not days_in(spark, target, day_col):
+    if not day_folders(spark, target, day_col):
         return _write(df, target, day_col, id_col)
     staged = stage(df, "new-rows", [day_col])
-    touched = days_in(spark, staged, day_col)
+    touched = day_folders(spark, staged, day_col)
     if not touched:
         return None
     new = spark.read.schema(df.schema).parquet(staged)

@@ -5,7 +5,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from linguamart.streaming import days_in, high_water, load_days, load_new_days, merge_rows, read_table, replace_days
+from linguamart.sources import day_folders
+from linguamart.streaming import high_water, load_days, load_new_days, merge_rows, read_table, replace_days
 
 
 def fact(spark, *records):
@@ -20,7 +21,7 @@ def state(spark, target):
 
 def test_sequence(spark, tmp_path):
     target = str(tmp_path / "t")
-    assert high_water(spark, target) == dt.date(1900, 1, 1) and days_in(spark, target) == []
+    assert high_water(spark, target) == dt.date(1900, 1, 1) and day_folders(spark, target) == []
     load_new_days(fact(spark, (1, "2024-05-01", 1), (1, "2024-05-02", 2)), target)
     first = [(1, "05-01", 1), (1, "05-02", 2)]
     assert state(spark, target) == first
@@ -33,7 +34,7 @@ def test_sequence(spark, tmp_path):
     for _ in range(2):
         load_days(fact(spark, (1, "2024-05-01", 11), (2, "2024-05-02", 22)), target, dates=["2024-05-02"])
         assert state(spark, target) == [(1, "05-01", 1), (1, "05-03", 3), (2, "05-02", 22)]
-    assert days_in(spark, target) == [dt.date(2024, 5, d) for d in (1, 2, 3)]
+    assert day_folders(spark, target) == [dt.date(2024, 5, d) for d in (1, 2, 3)]
 
 
 def test_columns_follow_the_last_load(spark, tmp_path):
