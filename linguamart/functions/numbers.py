@@ -40,3 +40,12 @@ def guarded_ratio(part, whole, digits=4):
 def to_long(col):
     """Integer or null."""
     return col.try_cast("long")
+
+
+def whole_number(col, safe=True):
+    """Text to long, also where a reader has written the number as a fraction such as 5.0.
+
+    Unreadable text is null if ``safe`` and stops the job otherwise.
+    """
+    number = col.try_cast("double") if safe else col.cast("double")
+    return F.coalesce(col.try_cast("long"), F.round(number).cast("long"))

@@ -1,9 +1,10 @@
 """API payloads that have been landed as JSON text, one document per row."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from ..constants import ID_IN_LOGO
-from ..functions import first_nonempty, replace_codes
+from ..functions import first_nonempty, replace_codes, whole_number
 from .dedupe import best_per_key
 
 _TEXT_MAP = "map<string,string>"
@@ -36,7 +37,12 @@ def popularity_records(df, json_col, fields, id_field="appid", position=None):
     rest, rows = _entries(df, json_col)
     record = F.col("__record")
     raw_id = F.when(F.map_contains_key(record, id_field), _field(record, id_field)).otherwise(F.col("__key"))
-    values = [_field(record, name).try_cast(kind).alias(name) for name, kind in fields.items() if name != id_field]
+
+    def typed(name, kind):
+        text = _field(record, name)
+        return whole_number(text) if kind in ("long", "bigint", LongType()) else text.try_cast(kind)
+
+    values = [typed(name, kind).alias(name) for name, kind in fields.items() if name != id_field]
     place = [F.col("__position").alias(position)] if position else []
     return rows.select(*rest, *place, raw_id.try_cast("long").alias(id_field), *values).where(F.col(id_field).isNotNull())
 

@@ -1,7 +1,7 @@
 """The daily run: bronze snapshot of one day to silver, staging, marts and checks."""
 
 from ..constants import TOP_N
-from ..operators import first_in_file, keep_listed, merge_regions, popularity_records, run_checks, store_records, top_n_distinct
+from ..operators import first_in_file, keep_listed, merge_regions, popularity_records, region_counters, run_checks, store_records, top_n_distinct
 from ..schemas import BRONZE_POPULARITY, BRONZE_STORE
 from ..sources import (
     last_processed, layer_path, mark_processed, observed, read_bronze_csv, read_silver, register_sources,
@@ -15,20 +15,26 @@ def land_payloads(popularity_pages, first_region, second_region, base, day, n=TO
     """Landed JSON documents to the two bronze snapshots.
 
     ``popularity_pages`` has columns page and payload; the regions have payload. The list is the
-    first ``n`` distinct ids in the order of the pages and of the entries in them; store rows are kept for listed ids only.
+    first ``n`` distinct ids in the order of the pages and of the entries in them; store rows are
+    kept for listed ids only. Returns the hit counters of the regions.
     """
+    spark = popularity_pages.sparkSession
     fields = {f.name: f.dataType for f in BRONZE_POPULARITY.fields}
     records = popularity_records(popularity_pages, "payload", fields, position="position")
-    listed = top_n_distinct(records, ["appid"], ["page", "position"], n)
-    write_csv(listed.select(*fields), layer_path(base, "bronze", "popularity", day))
-    details = merge_regions(store_records(first_region, "payload"), store_records(second_region, "payload"))
-    write_csv(
-        keep_listed(details, listed, "appid").select(*BRONZE_STORE.fieldNames()), layer_path(base, "bronze", "store", day)
-    )
+    popularity = layer_path(base, "bronze", "popularity", day)
+    write_csv(top_n_distinct(records, ["appid"], ["page", "position"], n).select(*fields), popularity)
+    listed = read_bronze_csv(spark, popularity, BRONZE_POPULARITY)
+    first, second = store_records(first_region, "payload"), store_records(second_region, "payload")
+    details = keep_listed(merge_regions(first, second), listed, "appid")
+    write_csv(details.select(*BRONZE_STORE.fieldNames()), layer_path(base, "bronze", "store", day))
+    return region_counters(first, second)
 
 
 def build_silver(spark, base, day, store_csv=None, popularity_csv=None, skip_done=False, ignore_footnote=False):
-    """Write the five silver tables of a day and mark each in the ledger. Returns rows written per table."""
+    """Write the five silver tables of a day and mark each in the ledger.
+
+    Returns rows written per table, and rows read per bronze snapshot.
+    """
     ledger = f"{base}/ledger"
     counts = {}
 
@@ -36,6 +42,10 @@ def build_silver(spark, base, day, store_csv=None, popularity_csv=None, skip_don
         last = last_processed(spark, ledger, table) if skip_done else None
         return last is not None and str(last) >= str(day)
 
+    def bronze(table, path, schema):
+        raw = read_bronze_csv(spark, path or layer_path(base, "bronze", table, day), schema)
+        return observed(raw, f"{table}-bronze-{day}")
+
     def write(table, df, sort_by=("appid",)):
         if done(table):
             return
@@ -45,13 +55,13 @@ def build_silver(spark, base, day, store_csv=None, popularity_csv=None, skip_don
         mark_processed(spark, ledger, table, day)
 
     if not done("store"):
-        bronze = read_bronze_csv(spark, store_csv or layer_path(base, "bronze", "store", day), BRONZE_STORE)
-        write("store", silver.silver_store(bronze, lambda df: first_in_file(df, ["appid"])))
+        raw, seen = bronze("store", store_csv, BRONZE_STORE)
+        write("store", silver.silver_store(raw, lambda df: first_in_file(df, ["appid"])))
+        counts["store_bronze"] = seen.get["rows"]
     if not done("popularity"):
-        bronze = read_bronze_csv(
-            spark, popularity_csv or layer_path(base, "bronze", "popularity", day), BRONZE_POPULARITY
-        )
-        write("popularity", silver.silver_popularity(bronze, lambda df: first_in_file(df, ["appid"], best="ccu"), day))
+        raw, seen = bronze("popularity", popularity_csv, BRONZE_POPULARITY)
+        write("popularity", silver.silver_popularity(raw, lambda df: first_in_file(df, ["appid"], best="ccu"), day))
+        counts["popularity_bronze"] = seen.get["rows"]
 
     store = read_silver(spark, layer_path(base, "silver", "").rstrip("/"), "store", day).drop("snapshot_date")
     write("games", silver.silver_games(store))

@@ -3,6 +3,7 @@
 import datetime as dt
 
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from ..schemas import LEDGER
 
@@ -17,7 +18,7 @@ def mark_processed(spark, ledger, table, day):
 def last_processed(spark, ledger, table):
     """Last recorded date, or None."""
     try:
-        rows = spark.read.schema(LEDGER).parquet(ledger).where(f"table_name = '{table}'").take(1)
+        rows = spark.read.schema(LEDGER).parquet(ledger).where(F.col("table_name") == table).take(1)
     except AnalysisException as problem:
         if "PATH_NOT_FOUND" in (problem.getCondition() or ""):
             return None

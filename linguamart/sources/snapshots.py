@@ -2,9 +2,10 @@
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..constants import NA_TOKENS
+from ..functions import whole_number
 from ..operators import backfill_columns
 from ..operators.dedupe import SCAN_ORDER, with_scan_order
 
@@ -42,6 +43,8 @@ def read_bronze_csv(spark, path, schema, multi_line=True, safe=()):
         value = F.when(~F.col(name).isin(NA_TOKENS), F.col(name))
         if types[name] == StringType():
             return value.alias(name)
+        if types[name] == LongType():
+            return whole_number(value, name in safe).alias(name)
         return (value.try_cast(types[name]) if name in safe else value.cast(types[name])).alias(name)
 
     known = raw.select(*[typed(c) for c in header if c in types], SCAN_ORDER)

@@ -33,7 +33,7 @@ def silver(spark, base, table):
 
 
 def test_counts(built):
-    assert built[1] == {"store": 5, "popularity": 3, "games": 5, "genres": 8, "languages": 8}
+    assert built[1] == {"store": 5, "popularity": 3, "games": 5, "genres": 8, "languages": 8, "store_bronze": 6, "popularity_bronze": 4}
 
 
 def test_silver_store(spark, built, rows):
@@ -145,7 +145,8 @@ def test_payloads_to_silver(spark, tmp_path, rows):
     (tmp_path / "pl.json").write_text(json.dumps({"10": detail("39,99zł"), "30": detail("1,00zł"), "20": {"success": False}}))
     base = str(tmp_path / "lake")
     first, second = (read_json_documents(spark, str(tmp_path / n)) for n in ("us.json", "pl.json"))
-    land_payloads(df, first, second, base, DAY, n=3)
+    hits = land_payloads(df, first, second, base, DAY, n=3)
+    assert rows(hits) == [(2, 2, 3, 3)]
     counts = build_silver(spark, base, DAY)
     assert counts["popularity"] == 3 and counts["store"] == 2
     assert rows(read_silver(spark, f"{base}/silver", "popularity", DAY), "appid", "name", "ccu") == [

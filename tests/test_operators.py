@@ -115,6 +115,8 @@ def test_regions(spark, rows):
         (10, "$9.99", "39,99zł", "1 Jul, 2013", "English", "Action, RPG"),
         (20, None, None, "Coming soon", None, ""),
     ]
+    # A repeated id, in one region or both, neither doubles the row nor the count.
+    assert rows(op.merge_regions(us.unionByName(us), pl.unionByName(pl))) == rows(merged)
     # An empty record counts as a hit, but gives no row.
     assert rows(op.region_counters(us, pl)) == [(2, 2, 3, 2)]
 

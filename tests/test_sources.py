@@ -38,6 +38,8 @@ def test_bronze_csv_edges(spark, tmp_path):
     write_csv(str(tmp_path / "few.csv"), ["extra", "appid"], [("e", 5)])
     few = read_bronze_csv(spark, str(tmp_path / "few.csv"), schemas.BRONZE_STORE).first()
     assert few.appid == 5 and few.genre is None
+    write_csv(str(tmp_path / "float.csv"), ["appid"], [("5.0",)])
+    assert read_bronze_csv(spark, str(tmp_path / "float.csv"), schemas.BRONZE_STORE).first().appid == 5
     write_csv(str(tmp_path / "bad.csv"), ["appid"], [("x1",)])
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         read_bronze_csv(spark, str(tmp_path / "bad.csv"), schemas.BRONZE_STORE).collect()
