@@ -118,20 +118,21 @@ def counters(spark, sf_dir):
 WITH items AS (
   SELECT 'by_url' AS list_name, page_id, url AS logo, regexp_extract(url, '/(\d+)(?:[?#]|$)', 1) AS found FROM pages
   UNION ALL
-  SELECT 'by_logo', page_id, logo, regexp_extract(logo, 'steam/\w+/(\d+)', 1) FROM (
-    SELECT page_id, 'https://x/steam/' || CASE WHEN page_id % 2 = 0 THEN 'apps' ELSE 'bundles' END || '/' || page_id || '/c.jpg' AS logo FROM pages)
+  SELECT 'by_logo', page_id, logo, regexp_extract(logo, 'store/\w+/(\d+)', 1) FROM (
+    SELECT page_id, 'https://x/store/' || CASE WHEN page_id % 2 = 0 THEN 'apps' ELSE 'bundles' END || '/' || page_id || '/c.jpg' AS logo FROM pages)
   UNION ALL
-  SELECT 'by_logo', page_id, logo, regexp_extract(logo, 'steam/\w+/(\d+)', 1) FROM (SELECT page_id, 'https://x/other/1' AS logo FROM pages))
+  SELECT 'by_logo', page_id, logo, regexp_extract(logo, 'store/\w+/(\d+)', 1) FROM (SELECT page_id, 'https://x/other/1' AS logo FROM pages))
 SELECT list_name, page_id, logo, TRY_CAST(found AS BIGINT) AS appid, lang, source
 FROM items LEFT JOIN documents ON doc_id = TRY_CAST(found AS BIGINT)""")
 def url_id_lists(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     entry = lambda c: F.struct(c.alias("logo"))
     kind = F.when(F.pmod("page_id", F.lit(2)) == 0, "apps").otherwise("bundles")
-    logo = F.concat(F.lit("https://x/steam/"), kind, F.lit("/"), F.col("page_id").cast("string"), F.lit("/c.jpg"))
+    logo = F.concat(F.lit("https://x/store/"), kind, F.lit("/"), F.col("page_id").cast("string"), F.lit("/c.jpg"))
     by_url = ranked_items(pages.select("page_id", F.array(entry(F.col("url"))).alias("items")), pattern=r"/(\d+)(?:[?#]|$)")
     by_logo = ranked_items(
-        pages.select("page_id", F.array(entry(logo), entry(F.lit("https://x/other/1"))).alias("items"))
+        pages.select("page_id", F.array(entry(logo), entry(F.lit("https://x/other/1"))).alias("items")),
+        pattern=r"store/\w+/(\d+)",
     )
     lists = union_lists({"by_url": by_url, "by_logo": by_logo}).select(
         "list_name", "page_id", F.col("item")["logo"].alias("logo"), "appid"
