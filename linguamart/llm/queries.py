@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import jumpshards, neardup, packing, ranking, repeats
+from . import jumpshards, lzprint, neardup, packing, ranking, repeats
 from .common import table
 
 QUERIES, ORACLES = {}, {}
@@ -24,6 +24,11 @@ def tokenizer_path():
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query("op2_lz_fingerprint")
+def op2(spark, sf_dir):
+    return lzprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query("op3_quality_ranking")
 def op3(spark, sf_dir):
     return ranking.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
