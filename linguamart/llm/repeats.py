@@ -5,7 +5,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import Rolling, documents, saved, signed, text_chunks, words_of
+from .common import Rolling, documents, mix, signed, text_chunks, words_of
 
 WINDOW = 35
 #: Words of an anchor, the least of its window by hash.
@@ -97,14 +97,14 @@ def repeated_cells(docs, size, cells):
     return bits.ravel()
 
 
-FOUND = "doc_id long, text_hash long, start int, run int, h1 long, h2 long, n int"
+FOUND = "h1 long, h2 int, text_hash long, place long, n int"
 
 
 def candidates(docs, bits, size, cells):
-    """Windows that the sketch may count twice. Rows FOUND, of two kinds.
+    """Windows that the sketch may count twice, as rows FOUND. ``place`` is the text's number of words << 32 plus a start.
 
-    With h1: a window (start) of a document, or, without a start, what stands for n windows alike of one task. Windows
-    that a task itself finds twice need no one else's answer: they leave as runs (start, run), without h1.
+    n = 1: a window at a place. Windows that a task itself finds twice need no one else's answer: they leave as runs of
+    neighbouring starts (n = 1 + their number, under a hash of their own), and once without a place (n = 2) for others.
     """
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
@@ -113,7 +113,7 @@ def candidates(docs, bits, size, cells):
         held, n = [], 0
 
         def out():
-            ids, texts, starts, h1, h2 = (np.concatenate(x) for x in zip(*held))
+            texts, places, h1, h2 = (np.concatenate(x) for x in zip(*held))
             order = np.lexsort((h2, h1))
             a, b = h1[order], h2[order]
             new = np.ones(len(a), bool)
@@ -121,29 +121,30 @@ def candidates(docs, bits, size, cells):
             heads = np.flatnonzero(new)
             times = np.diff(np.append(heads, len(a)))
             single, several = order[heads[times == 1]], heads[times > 1]
-            twice = np.sort(order[np.repeat(times > 1, times)])
-            # Neighbours in one document become one run.
-            i, t, s = ids[twice], texts[twice], starts[twice]
+            # Equal texts have equal places, of which one is enough; neighbours become one run.
+            twice = order[np.repeat(times > 1, times)]
+            twice = twice[np.lexsort((places[twice], texts[twice]))]
+            t, s = texts[twice], places[twice]
             new = np.ones(len(s), bool)
-            new[1:] = (i[1:] != i[:-1]) | (t[1:] != t[:-1]) | (s[1:] != s[:-1] + 1)
+            new[1:] = (t[1:] != t[:-1]) | (s[1:] != s[:-1])
+            t, s = t[new], s[new]
+            new = np.ones(len(s), bool)
+            new[1:] = (t[1:] != t[:-1]) | (s[1:] != s[:-1] + 1)
             first = np.flatnonzero(new)
             length = np.diff(np.append(first, len(s)))
-            k, m, r = len(single), len(several), len(first)
-            empty = lambda x, kind: pa.nulls(x, kind)
+            m, r = len(several), len(first)
+            own = mix(t[first].view(np.uint64) + s[first].view(np.uint64))
             return pa.RecordBatch.from_arrays([
-                pa.concat_arrays([_ids(ids[single]), empty(m, pa.int64()), _ids(i[first])]),
-                pa.concat_arrays([pa.array(texts[single]), empty(m, pa.int64()), pa.array(t[first])]),
-                pa.concat_arrays([pa.array(starts[single]), empty(m, pa.int32()), pa.array(s[first])]),
-                pa.concat_arrays([empty(k + m, pa.int32()), pa.array(length.astype(np.int32))]),
-                pa.concat_arrays([pa.array(signed(h1[single])), pa.array(signed(a[several])), empty(r, pa.int64())]),
-                pa.concat_arrays([pa.array(signed(h2[single])), pa.array(signed(b[several])), empty(r, pa.int64())]),
-                pa.array(np.concatenate([np.ones(k, np.int32), np.full(m, 2, np.int32), np.zeros(r, np.int32)])),
+                pa.array(np.concatenate([signed(h1[single]), signed(a[several]), signed(own)])),
+                pa.array(np.concatenate([h2[single], b[several], np.arange(r, dtype=np.int32)])),
+                pa.concat_arrays([pa.array(texts[single]), pa.nulls(m, pa.int64()), pa.array(t[first])]),
+                pa.concat_arrays([pa.array(places[single]), pa.nulls(m, pa.int64()), pa.array(s[first])]),
+                pa.array(np.concatenate([np.ones(len(single)), np.full(m, 2), 1 + length]).astype(np.int32)),
             ], names=[x.split()[0] for x in FOUND.split(", ")])
 
         for batch in batches:
-            ids = batch.column(0).fill_null(NO_ID).to_numpy()
-            texts = batch.column(2).to_numpy()
-            for row, data, offsets in text_chunks(batch.column(1)):
+            texts = batch.column(1).to_numpy()
+            for row, data, offsets in text_chunks(batch.column(0)):
                 hashes, at, places, anchors, bounds, (starts, ends) = windows.of(data, offsets)
                 maybe = np.ones(len(anchors), bool)
                 for cell in cells_of(anchors, cells):
@@ -155,8 +156,8 @@ def candidates(docs, bits, size, cells):
                 sums = windows.first.sums(hashes)
                 h1 = windows.first.runs(sums, at, at + size)
                 sums = windows.second.sums(windows.second.words(data, starts, ends))
-                h2 = windows.second.runs(sums, at, at + size)
-                held.append((ids[row + text], texts[row + text], (at - bounds[text]).astype(np.int32), h1, h2))
+                h2 = (windows.second.runs(sums, at, at + size) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                held.append((texts[row + text], (np.diff(bounds)[text] << 32) + at - bounds[text], h1, h2))
                 n += len(at)
                 if n > HELD:
                     yield out()
@@ -164,25 +165,21 @@ def candidates(docs, bits, size, cells):
         if n:
             yield out()
 
-    return docs.mapInArrow(run, FOUND)
-
-
-NO_ID = -(1 << 63)
-
-
-def _ids(x):
-    return pa.array(x, mask=x == NO_ID)
+    return docs.select("text", "text_hash").mapInArrow(run, FOUND)
 
 
 def repeated_runs(docs, size=WINDOW, cells=CELLS):
-    """(doc_id, text_hash, runs): where repeated windows start in a document, as array<struct<start, run>>."""
-    bits = repeated_cells(docs, size, cells)
-    found = saved(candidates(docs, bits, size, cells), "windows")
-    same = Window.partitionBy("h1", "h2")
-    across = found.where("h1 is not null").withColumn("times", F.sum("n").over(same)).where("times > 1 and start is not null")
-    marks = across.select("doc_id", "text_hash", "start", F.lit(1).alias("run"))
-    marks = marks.union(found.where("h1 is null").select("doc_id", "text_hash", "start", "run"))
-    return marks.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "run")).alias("runs"))
+    """(r_hash, found): where repeated windows start in the text of that hash, as array<struct<n_words, start, run>>."""
+    found = candidates(docs, repeated_cells(docs, size, cells), size, cells)
+    times = F.sum("n").over(Window.partitionBy("h1", "h2"))
+    marks = found.withColumn("times", times).where("times > 1 and place is not null").select(
+        F.col("text_hash").alias("r_hash"),
+        F.struct(
+            F.shiftright("place", 32).alias("n_words"), F.pmod("place", F.lit(1 << 32)).alias("start"),
+            F.greatest(F.col("n") - 1, F.lit(1)).cast("long").alias("run"),
+        ).alias("at"),
+    )
+    return marks.groupBy("r_hash").agg(F.collect_list("at").alias("found"))
 
 
 def remove_repeats(docs, size=WINDOW, cells=CELLS, id_col="doc_id", text_col="text", keep=()):
@@ -195,23 +192,23 @@ def remove_repeats(docs, size=WINDOW, cells=CELLS, id_col="doc_id", text_col="te
     equal anchors at different places, so a window cannot occur more often than its anchor, nor that more often than
     the merged count-min sketch of all partitions says. The sketch's size is fixed by ``cells``; with much more input
     than cells it lets more windows pass, never fewer. Second pass: windows it may count twice are grouped exactly, on
-    two independent 64-bit hashes. A task sends one row per window it holds, so a passage of all documents makes no
-    larger group than there are tasks.
+    96 bits of two independent hashes. A task sends one row per window it holds, so a passage of all documents makes no
+    larger group than there are tasks. What goes is the same for equal texts, so it is told by text, not by id.
 
     A null text has no word (kept_text is then empty, as for texts of spaces). Documents below ``size`` words lose
     nothing. Repeated rows, with the same id and text, are copies of each other: from ``size`` words on they lose all.
     Rows without an id are handled like any other. An empty table gives no row.
     """
     rows = documents(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
-    runs = repeated_runs(rows, size, cells).select(F.col("doc_id").alias("r_id"), F.col("text_hash").alias("r_hash"), "runs")
+    runs = repeated_runs(rows, size, cells)
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     whole = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"),
         *([F.struct(*keep).alias("row")] if keep else []),
     )
-    joined = whole.join(runs, (F.col("text_hash") == F.col("r_hash")) & F.col("doc_id").eqNullSafe(F.col("r_id")), "left")
+    joined = whole.join(runs, F.col("text_hash") == F.col("r_hash"), "left")
     out = [f for f in whole.schema.fields if f.name == "row"]
-    columns = ["doc_id", "text", "runs", *(f.name for f in out)]
+    columns = ["doc_id", "text", "found", *(f.name for f in out)]
     schema = "doc_id long, n_words long, n_removed long, kept_text string" + "".join(f", row {f.dataType.simpleString()}" for f in out)
 
     def cut(batches):
@@ -221,9 +218,10 @@ def remove_repeats(docs, size=WINDOW, cells=CELLS, id_col="doc_id", text_col="te
                 tokens = text.as_py().encode().split()
                 covered = np.zeros(len(tokens) + 1, np.int64)
                 if found.is_valid:
-                    start, run = (found.values.field(i).to_numpy() for i in (0, 1))
-                    np.add.at(covered, start, 1)
-                    np.subtract.at(covered, start + run + size - 1, 1)
+                    n_words, start, run = (x.to_numpy() for x in found.values.flatten())
+                    own = n_words == len(tokens)
+                    np.add.at(covered, start[own], 1)
+                    np.subtract.at(covered, (start + run)[own] + size - 1, 1)
                 gone = np.cumsum(covered)[:-1] > 0
                 words.append(len(tokens))
                 removed.append(int(gone.sum()))
