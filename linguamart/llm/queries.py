@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import jumpshards, lzprint, neardup, packing, ranking, repeats
+from . import jumpshards, leaks, lzprint, mainblocks, neardup, packing, ranking, repeats, urlrules
 from .common import table
 
 QUERIES, ORACLES = {}, {}
@@ -53,11 +53,30 @@ def op4(spark, sf_dir):
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query("op5_spaced_seeds")
+def op5(spark, sf_dir):
+    found = leaks.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_overlap", "n_equal")
+
+
+@query("op6_line_blocks")
+def op6(spark, sf_dir):
+    return mainblocks.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op7_best_fit_packing")
 def op7(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+@query("op8_url_equivalence")
+def op8(spark, sf_dir):
+    return urlrules.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @query("op9_minhash_near_dedup")
 def op9(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
