@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import jumpshards, leaks, lzprint, mainblocks, neardup, packing, ranking, repeats, urlrules
+from . import jumpshards, leaks, lzprint, mainblocks, maxent, neardup, packing, ranking, repeats, urlrules
 from .common import table
 
 QUERIES, ORACLES = {}, {}
@@ -24,6 +24,11 @@ def tokenizer_path():
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query("op1_maxent")
+def op1(spark, sf_dir):
+    return maxent.score_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op2_lz_fingerprint")
 def op2(spark, sf_dir):
     return lzprint.fingerprints(table(spark, sf_dir, "documents"))
