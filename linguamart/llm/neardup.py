@@ -11,23 +11,22 @@ from .common import Rolling, documents, lower, mix, saved, text_chunks, words_of
 from .components import components
 
 WORDS = 5
+#: Minimum hashes of a signature, coordinates that texts are posted under, and minimum hashes joined in each.
 MINIMA, COORDINATES, WIDTH = 128, 64, 8
-#: Collisions of two signatures that make a candidate, of COORDINATES; at a similarity of 0.85 about one pair in 10**5 has fewer.
-LEAST_COLLISIONS = 2
-SIGNED = "node long, doc_id long, text_hash long, n_shingles long, digest binary, coordinates array<long>"
+#: Minimum hashes that a candidate must have in common, of MINIMA. At a similarity of 0.85 one pair in two million has fewer,
+#: and one in 25,000 has no common coordinate; at 0.9 next to none.
+LEAST_COMMON = 89
+SIGNED = "node long, doc_id long, text_hash long, n_shingles long, digest binary, minima array<int>"
 
 
 class Signer:
-    """Signatures of texts. A coordinate joins WIDTH of MINIMA minimum hashes, so texts that share few shingles share none."""
+    """Signatures of texts: the least of their shingles under each of MINIMA permutations."""
 
     def __init__(self):
         rng = np.random.default_rng(85)
         self.rolling = Rolling(5)
         self.factors = rng.integers(0, 1 << 31, MINIMA, np.uint32) * np.uint32(2) + np.uint32(1)
         self.shifts = rng.integers(0, 1 << 32, MINIMA, np.uint32)
-        self.chosen = np.stack([rng.permutation(MINIMA)[:WIDTH] for _ in range(COORDINATES)])
-        self.weights = rng.integers(0, 1 << 63, WIDTH, np.uint64) * np.uint64(2) + np.uint64(1)
-        self.seeds = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64))
 
     def minima(self, shingles):
         least = np.full(MINIMA, 0xFFFFFFFF, np.uint32)
@@ -36,12 +35,8 @@ class Signer:
             np.minimum(least, (x[:, None] * self.factors + self.shifts).min(0), out=least)
         return least
 
-    def coordinates(self, minima):
-        """One 64-bit value per coordinate; the coordinate's number is hashed into it."""
-        return mix((minima[:, self.chosen].astype(np.uint64) * self.weights).sum(2, dtype=np.uint64) + self.seeds)
-
     def batch(self, column):
-        """For each text: its number of distinct shingles, the digest of its words, its coordinates (none if no words)."""
+        """For each text: its number of distinct shingles, the digest of its words, its minimum hashes."""
         counts, digests, minima = [], [], []
         for _, data, offsets in text_chunks(column):
             data = lower(data)
@@ -58,9 +53,7 @@ class Signer:
                 counts.append(len(shingles))
                 digests.append(hashlib.blake2b(b" ".join(raw[offsets[i]:offsets[i + 1]].split()), digest_size=16).digest())
                 minima.append(self.minima(shingles))
-        if not counts:
-            return [], [], np.zeros((0, COORDINATES), np.uint64)
-        return counts, digests, self.coordinates(np.stack(minima))
+        return counts, digests, np.concatenate(minima) if minima else np.zeros(0, np.uint32)
 
 
 def sign(docs):
@@ -71,10 +64,10 @@ def sign(docs):
         for batch in batches:
             counts, digests, values = signer.batch(batch.column(1))
             n = len(counts)
-            offsets = pa.array(np.arange(n + 1) * COORDINATES, pa.int32())
+            offsets = pa.array(np.arange(n + 1) * MINIMA, pa.int32())
             columns = [
                 pa.array(np.arange(node, node + n)), batch.column(0), batch.column(2), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()),
-                pa.ListArray.from_arrays(offsets, pa.array(values.ravel().view(np.int64))),
+                pa.ListArray.from_arrays(offsets, pa.array(values.view(np.int32))),
             ]
             node += n
             yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in SIGNED.split(", ")])
@@ -112,26 +105,37 @@ def confirm(pairs, texts, share):
     return joined.sortWithinPartitions("a").mapInArrow(check, "a long, b long")
 
 
-def colliding(pairs, coordinates, least):
-    """Pairs (a, b) of which at least ``least`` coordinates collide. coordinates: (node, coordinates)."""
-    left = coordinates.select(F.col("node").alias("a"), F.col("coordinates").alias("ca"))
-    right = coordinates.select(F.col("node").alias("b"), F.col("coordinates").alias("cb"))
-    # Each coordinate's number is part of its value, so the common values are the collisions.
-    return pairs.join(right, "b").join(left, "a").where(F.size(F.array_intersect("ca", "cb")) >= least).select("a", "b")
+def coordinates(minima):
+    """The values a signature is posted under: each a hash of its number and of WIDTH minimum hashes, fixed by a seed."""
+    rng = np.random.default_rng(64)
+    chosen = [rng.permutation(MINIMA)[:WIDTH].tolist() for _ in range(COORDINATES)]
+    return F.array(*[F.xxhash64(F.lit(i), *[F.get(minima, k) for k in places]) for i, places in enumerate(chosen)])
+
+
+def in_common(a, b):
+    """How many minimum hashes two signatures share."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
 
 
-def near_duplicates(docs, share=85, least=LEAST_COLLISIONS, id_col="doc_id", text_col="text"):
+def colliding(pairs, signatures, least):
+    """Pairs (a, b) with at least ``least`` minimum hashes in common. signatures: (node, minima)."""
+    left = signatures.select(F.col("node").alias("a"), F.col("minima").alias("ma"))
+    right = signatures.select(F.col("node").alias("b"), F.col("minima").alias("mb"))
+    return pairs.join(right, "b").join(left, "a").where(in_common(F.col("ma"), F.col("mb")) >= least).select("a", "b")
+
+
+def near_duplicates(docs, share=85, least=LEAST_COMMON, id_col="doc_id", text_col="text"):
     """doc_id, n_shingles, component_id, kept and text_hash (xxhash64) of every document.
 
     Documents are linked if 100 * intersection >= share * union of their sets of five-word shingles (of all words, where
     there are fewer; case of A-Z ignored). component_id is the least id that links lead to.
 
-    Texts of the same words are one class from the start. Classes are posted under each of the first
-    COORDINATES - least + 1 coordinates (two texts with ``least`` collisions must meet in one of these); lists of one
-    class are skipped. In a list, every class is first compared with the least one, and links merge components. Only
-    where a list still holds several components, pairs of classes from different ones follow; pairs within one are
-    skipped, since they would add nothing. So a group of copies costs its size, not its square, and no link is lost.
-    Pairs with at least ``least`` collisions are confirmed on their full sets.
+    Texts of the same words are one class from the start. Classes are posted under each coordinate of their signature with
+    its value; lists of one class are skipped. In a list, every class is first compared with the least one, and links merge
+    components. Only where a list still holds several components, pairs of classes from different ones follow; pairs
+    within one are skipped, since they would add nothing. So a group of copies costs its size, not its square. The common
+    minimum hashes of a pair are counted where its two postings meet; only pairs above the match threshold ``least`` leave
+    the list, and are confirmed on their full sets.
 
     A null or empty text, or one of spaces, has no shingle and stands alone. Rows without an id take part; their
     component_id is the least id of others in it, or null (kept: false, or true if the whole component has no id).
@@ -141,34 +145,33 @@ def near_duplicates(docs, share=85, least=LEAST_COLLISIONS, id_col="doc_id", tex
     signed = saved(sign(rows), "signatures")
     classes = saved(
         signed.where("n_shingles > 0").groupBy("digest").agg(
-            F.min_by(F.struct("node", "doc_id", "text_hash", "coordinates"), "node").alias("row"), F.min("doc_id").alias("doc_id"),
-        ).select("digest", "doc_id", "row.node", F.struct("row.doc_id", "row.text_hash").alias("at"), "row.coordinates"), "classes",
+            F.min_by(F.struct("node", "doc_id", "text_hash", "minima"), "node").alias("row"), F.min("doc_id").alias("doc_id"),
+        ).select("digest", "doc_id", "row.node", F.struct("row.doc_id", "row.text_hash").alias("at"), "row.minima"), "classes",
     )
-    prefix = F.slice("coordinates", 1, COORDINATES - least + 1)
-    posted = classes.select("node", F.explode(prefix).alias("value"))
+    posted = classes.select("node", F.explode(coordinates(F.col("minima"))).alias("value"))
     lists = posted.groupBy("value").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last")
     listed = saved(posted.join(lists.select("value", "pivot"), "value"), "postings")
     # Only texts that meet another in a list are needed from here on.
     met = saved(listed.select("node").distinct(), "met")
-    own = saved(met.join(classes.select("node", "at", "coordinates"), "node"), "met_classes")
+    own = saved(met.join(classes.select("node", "at", "minima"), "node"), "met_classes")
     at = own.select("node", F.col("at.doc_id").alias("own_id"), F.col("at.text_hash").alias("own_hash"))
     found = rows.join(at, (F.col("text_hash") == F.col("own_hash")) & F.col("doc_id").eqNullSafe(F.col("own_id")))
     texts = saved(found.select("node", "text").dropDuplicates(["node"]), "met_texts")
 
-    def links(pairs):
-        return saved(confirm(colliding(pairs, own.select("node", "coordinates"), least), texts, share), "links")
-
-    first = links(listed.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
+    signatures = own.select("node", "minima")
+    pivots = listed.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    first = saved(confirm(colliding(pivots, signatures, least), texts, share), "links")
     parts = components(first)
     named = listed.join(parts, "node", "left").select("value", "node", F.coalesce("component", "node").alias("component"))
     mixed = named.groupBy("value").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
-    named = saved(named.join(mixed.select("value", "least"), "value"), "mixed")
+    named = named.join(mixed.select("value", "least"), "value").join(signatures, "node")
     # Of two components one at least is not the list's least.
-    some = named.where("component <> least").select("value", F.col("node").alias("x"), F.col("component").alias("cx"))
-    other = named.select("value", F.col("node").alias("y"), F.col("component").alias("cy"))
-    rest = some.join(other, "value").where("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    rest = rest.join(listed.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), ["a", "b"], "left_anti")
-    parts = saved(components(first.union(links(rest))), "components")
+    some = named.where("component <> least").select("value", F.col("node").alias("x"), F.col("component").alias("cx"), F.col("minima").alias("mx"))
+    other = named.select("value", F.col("node").alias("y"), F.col("component").alias("cy"), F.col("minima").alias("my"))
+    meet = (some["value"] == other["value"]) & (F.col("cx") != F.col("cy")) & (in_common(F.col("mx"), F.col("my")) >= least)
+    rest = some.join(other, meet).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    rest = saved(confirm(rest.join(pivots, ["a", "b"], "left_anti"), texts, share), "links")
+    parts = saved(components(first.union(rest)), "components")
 
     linked = classes.select("digest", "node", "doc_id").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     linked = saved(linked.select("digest", "component", "doc_id"), "linked")
