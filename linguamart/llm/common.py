@@ -3,6 +3,7 @@
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import stage
 
@@ -30,6 +31,13 @@ def in_fold(doc_id, folds):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % folds == 0
 
 
+def schema_of(plain, extra=()):
+    """Columns given as "name type, ..." and then fields of another schema."""
+    fields = [x.split() for x in plain.split(", ")]
+    kinds = {"long": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "string": T.StringType(), "binary": T.BinaryType()}
+    return T.StructType([T.StructField(n, kinds[k]) for n, k in fields] + list(extra))
+
+
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

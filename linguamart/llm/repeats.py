@@ -5,7 +5,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import Rolling, documents, mix, signed, text_chunks, words_of
+from .common import Rolling, documents, mix, schema_of, signed, text_chunks, words_of
 
 WINDOW = 35
 #: Words of an anchor, the least of its window by hash.
@@ -209,7 +209,7 @@ def remove_repeats(docs, size=WINDOW, cells=CELLS, id_col="doc_id", text_col="te
     joined = whole.join(runs, F.col("text_hash") == F.col("r_hash"), "left")
     out = [f for f in whole.schema.fields if f.name == "row"]
     columns = ["doc_id", "text", "found", *(f.name for f in out)]
-    schema = "doc_id long, n_words long, n_removed long, kept_text string" + "".join(f", row {f.dataType.simpleString()}" for f in out)
+    schema = schema_of("doc_id long, n_words long, n_removed long, kept_text string", out)
 
     def cut(batches):
         for batch in batches:
