@@ -56,11 +56,11 @@ def dq_marts(spark, sf_dir):
 
 @query("q_null_counts", " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_nulls FROM raw"
-    for c in ("event_id", "user_id", "amount")
-).join(["WITH raw AS (SELECT event_id, user_id, CASE WHEN event_type <> 'error' THEN value END AS amount FROM events) ", ""]))
+    for c in ("event_id", "ts", "user_id", "event_type", "value", "props", "amount")
+).join(["WITH raw AS (SELECT *, CASE WHEN event_type <> 'error' THEN value END AS amount FROM events) ", ""]))
 def nulls(spark, sf_dir):
     amount = F.when(F.col("event_type") != "error", F.col("value"))
-    return null_counts(table(spark, sf_dir, "events").select("event_id", "user_id", amount.alias("amount")))
+    return null_counts(table(spark, sf_dir, "events").withColumn("amount", amount))
 
 
 @query("q_distinct_values", "SELECT DISTINCT p_brand FROM part")
@@ -106,10 +106,10 @@ def _sql_profile(col, kind, number):
 
 
 @query("q_profile", " UNION ALL ".join([
-    _sql_profile("event_id", "bigint", True), _sql_profile("user_id", "bigint", True),
-    _sql_profile("event_type", "string", False), _sql_profile("value", "double", True),
+    _sql_profile("event_id", "bigint", True), _sql_profile("ts", "timestamp_ntz", False), _sql_profile("user_id", "bigint", True),
+    _sql_profile("event_type", "string", False), _sql_profile("value", "double", True), _sql_profile("props", "string", False),
 ]))
 def profile(spark, sf_dir):
-    rows = column_profile(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value"))
+    rows = column_profile(table(spark, sf_dir, "events"))
     rounded = ["mean_value", "std_value", "min_value", "max_value", "p25", "p50", "p75"]
     return rows.withColumns({c: F.round(c, 4) for c in rounded})

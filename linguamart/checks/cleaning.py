@@ -80,7 +80,7 @@ _SQL_SPACES = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}
 SELECT page_id, {sql_strip(f"regexp_replace(regexp_replace({_SQL_PLAIN}, 'languages with full audio support', '', 'gi'), '{_SQL_SPACES}', ' ', 'g')")} AS plain_text,
        {sql_strip(f"regexp_replace(url, '{_SQL_SPACES}', ' ', 'g')")} AS plain_url FROM pages""")
 def html_clean(spark, sf_dir):
-    return table(spark, sf_dir, "pages", ["page_id", "url", "html"]).select(
+    return table(spark, sf_dir, "pages").select(
         "page_id", clean_language(F.col("html")).alias("plain_text"), strip_ws(squeeze_ws(F.col("url"))).alias("plain_url")
     )
 
@@ -155,9 +155,9 @@ FROM customer LEFT JOIN (
   SELECT o_custkey, count(*) AS orders_placed, 'Customer ' || o_custkey AS label,
          CAST(count(*) FILTER (WHERE o_orderstatus = 'O') AS BIGINT) AS open_orders,
          nullif(CAST(count(*) FILTER (WHERE o_orderstatus = 'F') AS BIGINT), 0) AS done_orders
-  FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey) ON c_custkey = o_custkey""")
+  FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey""")
 def left_join_defaults(spark, sf_dir):
-    urgent = table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT").groupBy("o_custkey").agg(
+    urgent = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("orders_placed"),
         F.count_if(F.col("o_orderstatus") == "O").alias("open_orders"),
         F.nullif(F.count_if(F.col("o_orderstatus") == "F"), F.lit(0)).alias("done_orders"),

@@ -1,7 +1,5 @@
 """Where the queries and their SQL are collected."""
 
-from ..session import spread_scan
-
 QUERIES = {}
 ORACLES = {}
 
@@ -16,7 +14,6 @@ def query(name, sql=None):
     return add
 
 
-def table(spark, sf_dir, name, spread=()):
-    """A test table; naming columns in ``spread`` reads those only and spreads a scan of few splits."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread_scan(df.select(*spread)) if spread else df
+def table(spark, sf_dir, name):
+    """A test table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")

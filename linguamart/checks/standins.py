@@ -1,7 +1,7 @@
 """Catalogue tables derived from the order lines, as Spark plans and as SQL.
 
-Every line becomes one raw store row, and every line of status F one raw popularity row: the part
-is the title, the month of shipment is the snapshot date, and the other columns are spelled out as
+Every line becomes one raw store row and one raw popularity row: the part is the title (a seventh of
+them has another id on the popularity side, so they match nothing), the month of shipment is the snapshot date, and the other columns are spelled out as
 the text a snapshot would hold. Many lines share a title and month, which is what the
 deduplication is for. They are projections of one scan, with no join and no shuffle of their own.
 """
@@ -16,10 +16,8 @@ LANGUAGES = [
     "Korean", "Italian", "#lang_slovakian", "english", "Simplified Chinese",
 ]
 GENRES = ["Action", "RPG", "Strategy", "Indie", "Casual", "Utilities", "Massively Multiplayer", "Simulation", "", " Racing"]
-LINE_COLUMNS = [
-    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
-]
+# Added to the id of titles that the popularity side does not know.
+STRANGER = 1_000_000_000
 OWNERS = [*OWNER_BANDS, "1,000,000 .. 2,000,000"]
 
 
@@ -42,8 +40,11 @@ def _month():
 def raw_store(spark, sf_dir):
     ship = F.col("l_shipdate").cast("date")
     amount = F.format_number("l_extendedprice", 2)
-    mark = "<strong>*</strong>"
-    return table(spark, sf_dir, "lineitem", LINE_COLUMNS).select(
+    title = F.col("l_partkey")
+    mark = F.when(title % 3 != 0, "<strong>*</strong>").otherwise("")
+    # A title has one to five languages of its own, or none at all.
+    spoken = lambda c: _pick(LANGUAGES, title + F.pmod(F.col(c), title % 5 + 1))
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_partkey").alias("appid"),
         _month().alias("snapshot_date"),
         _place().alias("file_path"),
@@ -52,11 +53,10 @@ def raw_store(spark, sf_dir):
         F.when(F.col("l_returnflag") == "N", F.date_format(ship, "d MMM, yyyy"))
         .when(F.col("l_returnflag") == "R", F.date_format(ship, "MMM d, yyyy"))
         .otherwise("Coming soon").alias("release_date"),
-        F.when(F.col("l_quantity") != 1, F.concat(
-            _pick(LANGUAGES, F.col("l_suppkey")), F.lit(f"{mark}, "),
-            _pick(LANGUAGES, F.col("l_orderkey")), F.lit(", "),
-            _pick(LANGUAGES, F.col("l_linenumber")),
-            F.when(F.col("l_returnflag") == "R", f"<br>{mark}languages with full audio support").otherwise(""),
+        F.when((F.col("l_quantity") != 1) & (title % 11 != 0), F.concat(
+            spoken("l_suppkey"), mark, F.lit(", "), spoken("l_orderkey"), F.lit(", "), spoken("l_linenumber"),
+            F.when(F.col("l_quantity") == 4, ", languages<br> with full audio support").when(F.col("l_quantity") == 5, ", <i>Thai</i>*").otherwise(""),
+            F.when(F.col("l_returnflag") == "R", F.concat(F.lit("<br>"), mark, F.lit("languages with full audio support"))).otherwise(""),
         )).alias("languages"),
         F.when(F.col("l_quantity") != 2, F.concat(
             _pick(GENRES, F.col("l_linenumber")), F.lit(","),
@@ -68,8 +68,8 @@ def raw_store(spark, sf_dir):
 
 def raw_popularity(spark, sf_dir):
     quantity = F.col("l_quantity").cast("long")
-    return table(spark, sf_dir, "lineitem", LINE_COLUMNS).where(F.col("l_linestatus") == "F").select(
-        F.col("l_partkey").alias("appid"),
+    return table(spark, sf_dir, "lineitem").select(
+        (F.col("l_partkey") + F.when(F.col("l_partkey") % 7 == 3, STRANGER).otherwise(0)).alias("appid"),
         _month().alias("snapshot_date"),
         _place().alias("file_path"),
         F.when(F.col("l_returnflag") != "A", F.concat(F.lit("Title "), F.col("l_partkey").cast("string"))).alias("name"),
@@ -93,6 +93,12 @@ def _sql_pick(values, index):
     return f"({_sql_list(values)})[({index}) % {len(values)} + 1]"
 
 
+def _sql_spoken(col):
+    return _sql_pick(LANGUAGES, f"l_partkey + {col} % (l_partkey % 5 + 1)")
+
+
+_SQL_MARK = "CASE WHEN l_partkey % 3 <> 0 THEN '<strong>*</strong>' ELSE '' END"
+
 _SQL_PLACE = (
     "lpad(CAST(l_orderkey AS VARCHAR), 12, '0') || '-' || lpad(CAST(l_linenumber AS VARCHAR), 3, '0') || '-' || "
     "lpad(CAST(l_suppkey AS VARCHAR), 9, '0')"
@@ -110,11 +116,10 @@ RAW_STORE = f"""raw_store AS (
          CASE l_returnflag WHEN 'N' THEN strftime(l_shipdate, '%-d %b, %Y')
                            WHEN 'R' THEN strftime(l_shipdate, '%b %-d, %Y')
                            ELSE 'Coming soon' END AS release_date,
-         CASE WHEN l_quantity <> 1 THEN
-           {_sql_pick(LANGUAGES, 'l_suppkey')} || '<strong>*</strong>, ' ||
-           {_sql_pick(LANGUAGES, 'l_orderkey')} || ', ' ||
-           {_sql_pick(LANGUAGES, 'l_linenumber')} ||
-           CASE WHEN l_returnflag = 'R' THEN '<br><strong>*</strong>languages with full audio support' ELSE '' END
+         CASE WHEN l_quantity <> 1 AND l_partkey % 11 <> 0 THEN
+           {_sql_spoken('l_suppkey')} || {_SQL_MARK} || ', ' || {_sql_spoken('l_orderkey')} || ', ' || {_sql_spoken('l_linenumber')} ||
+           CASE l_quantity WHEN 4 THEN ', languages<br> with full audio support' WHEN 5 THEN ', <i>Thai</i>*' ELSE '' END ||
+           CASE WHEN l_returnflag = 'R' THEN '<br>' || {_SQL_MARK} || 'languages with full audio support' ELSE '' END
          END AS languages,
          CASE WHEN l_quantity <> 2 THEN
            {_sql_pick(GENRES, 'l_linenumber')} || ',' ||
@@ -124,7 +129,7 @@ RAW_STORE = f"""raw_store AS (
   FROM lineitem)"""
 
 RAW_POPULARITY = f"""raw_popularity AS (
-  SELECT l_partkey AS appid,
+  SELECT l_partkey + CASE WHEN l_partkey % 7 = 3 THEN {STRANGER} ELSE 0 END AS appid,
          CAST(date_trunc('month', l_shipdate) AS DATE) AS snapshot_date,
          {_SQL_PLACE} AS file_path,
          CASE WHEN l_returnflag <> 'A' THEN 'Title ' || l_partkey END AS name,
@@ -136,7 +141,7 @@ RAW_POPULARITY = f"""raw_popularity AS (
          CAST(l_quantity AS BIGINT) AS median_forever,
          CASE WHEN l_tax <> 0 THEN CAST(l_quantity AS BIGINT) - 1 END AS median_2weeks,
          CASE WHEN l_discount <> 0.05 THEN CAST(round(l_extendedprice) AS BIGINT) - 10000 END AS ccu
-  FROM lineitem WHERE l_linestatus = 'F')"""
+  FROM lineitem)"""
 
 
 def sql_price(col, decimal="."):

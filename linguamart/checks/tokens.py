@@ -13,7 +13,7 @@ SELECT doc_id, CAST(len(list_filter(string_split(COALESCE(text, ''), ','), lambd
        CAST(len(list_filter(string_split(COALESCE(text, ''), '.'), lambda x: {s.sql_strip('x')} <> '')) AS BIGINT) AS n_sentences
 FROM documents""")
 def token_count(spark, sf_dir):
-    return table(spark, sf_dir, "documents", ["doc_id", "text"]).select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", count_tokens(F.col("text")).alias("n_parts"), count_tokens(F.col("text"), ".").alias("n_sentences")
     )
 
@@ -58,7 +58,7 @@ def audio_marker_norm(spark, sf_dir):
 
 @query("q_audio_marker_notebook", s.sql(s.RAW_STORE, select=f"""
 SELECT appid, {s.sql_strip("replace(raw, '<strong>*</strong>', '')")} AS language, contains(raw, '<strong>*</strong>') AS audio
-FROM (SELECT appid, unnest(string_split(languages, ',')) AS raw FROM raw_store)"""))
+FROM (SELECT appid, unnest(CASE WHEN languages IS NULL THEN [CAST(NULL AS VARCHAR)] ELSE string_split(languages, ',') END) AS raw FROM raw_store)"""))
 def audio_marker_notebook(spark, sf_dir):
     return normalize_languages(s.raw_store(spark, sf_dir), ["appid"], strict_mark=True, dedupe=False)
 

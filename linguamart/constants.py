@@ -43,8 +43,8 @@ FREE_TO_PLAY = "Free To Play"
 AUDIO_FOOTNOTE = "languages with full audio support"
 AUDIO_MARK = "<strong>*</strong>"
 
-# Release date formats, tried in this order.
-RELEASE_DATE_FORMATS = ["d MMM, yyyy", "MMM d, yyyy"]
+# Release date formats, tried in this order; a month alone stands for its first day.
+RELEASE_DATE_FORMATS = ["d MMM, yyyy", "MMM d, yyyy", "yyyy-MM-dd", "d MMMM, yyyy", "MMMM d, yyyy", "MMM yyyy", "MMMM yyyy"]
 
 # The date inside a file name; the id inside a logo address.
 DATE_IN_NAME = r"(\d{4}-\d{2}-\d{2})"

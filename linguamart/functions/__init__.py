@@ -7,11 +7,11 @@ from .text import (
     clean_language, first_nonempty, has_audio_mark, is_footnote, replace_codes, squeeze_ws,
     strip_audio_mark, strip_footnote, strip_ws, tidy_language,
 )
-from .tokens import count_tokens, pick_by_priority, token_list
+from .tokens import count_tokens, pick_by_priority, quoted, token_list
 
 __all__ = [
     "add_counts", "clean_language", "clean_price", "clip_low", "count_or_zero", "count_tokens",
     "date_in_text", "first_nonempty", "guarded_ratio", "has_audio_mark", "is_footnote", "parse_date",
-    "pick_by_priority", "replace_codes", "squeeze_ws", "strip_audio_mark", "strip_footnote",
+    "pick_by_priority", "quoted", "replace_codes", "squeeze_ws", "strip_audio_mark", "strip_footnote",
     "strip_ws", "surrogate_key", "tidy_language", "to_long", "token_list", "whole_number",
 ]

@@ -45,7 +45,7 @@ def to_long(col):
 def whole_number(col, safe=True):
     """Text to long, also where a reader has written the number as a fraction such as 5.0.
 
-    Unreadable text is null if ``safe`` and stops the job otherwise.
+    Unreadable text, and a number that no long can hold, is null if ``safe`` and stops the job otherwise.
     """
-    number = col.try_cast("double") if safe else col.cast("double")
-    return F.coalesce(col.try_cast("long"), F.round(number).cast("long"))
+    number = F.round(col.try_cast("double") if safe else col.cast("double"))
+    return F.coalesce(col.try_cast("long"), number.try_cast("long") if safe else number.cast("long"))

@@ -8,13 +8,13 @@ from ..constants import DEFAULT_GENRE, GENRE_PRIORITY, UNKNOWN_PRIORITY
 from .text import WS_INNER, strip_ws
 
 
-def _quoted(sep):
+def quoted(sep):
     return re.escape(sep)
 
 
 def token_list(col, sep=",", drop_blank=False, lower=False):
     """Array of trimmed tokens; null stays null."""
-    tokens = F.transform(F.split(col, _quoted(sep)), lambda t: strip_ws(F.lower(t) if lower else t))
+    tokens = F.transform(F.split(col, quoted(sep)), lambda t: strip_ws(F.lower(t) if lower else t))
     return F.filter(tokens, lambda t: t != "") if drop_blank else tokens
 
 
@@ -22,7 +22,7 @@ def count_tokens(col, sep=","):
     """Number of tokens that are not blank; null counts 0. ``sep`` is one character."""
     if len(sep) != 1:
         raise ValueError("sep must be one character")
-    stop = _quoted(sep)
+    stop = quoted(sep)
     found = F.regexp_count(col, F.lit(f"(?U)[^{stop}{WS_INNER}][^{stop}]*"))
     return F.coalesce(found, F.lit(0)).cast("long")
 

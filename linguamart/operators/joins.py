@@ -4,15 +4,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-# A lookup of up to this many rows is broadcast; a larger one is left to Spark's own size check.
-BROADCAST_ROWS = 100_000
-
-
-def join_lookup(df, lookup, on, how="left", max_rows=BROADCAST_ROWS):
-    """Join to a small lookup, broadcast only after its size has been checked."""
-    small = lookup.limit(max_rows + 1).count() <= max_rows
-    return df.join(F.broadcast(lookup) if small else lookup, on, how)
-
+from ..session import stage
 
 def keep_listed(df, ids, key):
     """Rows whose key is in ``ids``."""
@@ -25,27 +17,15 @@ def union_lists(lists, name_col="list_name"):
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
-def attach_details(items, details, key, hot_share=0.01, salts=64):
+def attach_details(items, details, key):
     """Left join that keeps every item, where one id may hold a large part of the items.
 
-    ``details`` has one row per key. Keys above ``hot_share`` of all items (so at most
-    1 / hot_share of them, which is why they may be broadcast) and missing keys are spread over
-    ``salts`` partitions, with the matching detail row copied to each. The salt depends on the map
-    partition and the row only, so a rerun task repeats it.
+    ``details`` has one row per key. Items are stored with the number of their partition, and each detail goes to the
+    partitions that ask for it: items then meet it by (key, partition), so no task gets more of an id than one
+    partition of the items holds, whatever its share, and no size decides about the plan.
     """
-    total = items.agg(F.count(F.lit(1)).alias("n")).scalar()
-    hot = (
-        items.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > total * F.lit(hot_share))
-        .select(key, F.lit(True).alias("__hot"))
-    )
-    hot = F.broadcast(hot)
-    spread = F.pmod(F.spark_partition_id() * 31 + F.xxhash64(*[F.col(c) for c in items.columns]), F.lit(salts))
-    left = items.withColumn("__salt_all", spread.cast("int")).join(hot, key, "left").withColumn(
-        "__salt", F.when(F.col("__hot") | F.col(key).isNull(), F.col("__salt_all")).otherwise(0)
-    ).drop("__hot", "__salt_all")
-    right = details.join(hot, key, "left").withColumn(
-        "__salt",
-        F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
-    ).drop("__hot")
-    return left.join(right, [key, "__salt"], "left").drop("__salt")
+    spark = items.sparkSession
+    stored = items.withColumn("__part", F.spark_partition_id())
+    stored = spark.read.schema(stored.schema).parquet(stage(stored, "items"))
+    asked = stored.where(F.col(key).isNotNull()).select(key, "__part").distinct()
+    return stored.join(asked.join(details, key), [key, "__part"], "left").drop("__part")

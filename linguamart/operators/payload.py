@@ -27,6 +27,13 @@ def _entries(df, json_col):
     )
 
 
+def pages_to_stop(df, json_col, page_col):
+    """The pages before the first one that is empty or no object: where the paging has ended."""
+    entries = F.from_json(json_col, _TEXT_MAP)
+    last = df.where(~F.coalesce(_is_object(F.col(json_col)) & (F.size(entries) > 0), F.lit(False))).agg(F.min(page_col))
+    return df.where(F.coalesce(F.col(page_col) < last.scalar(), F.lit(True)))
+
+
 def popularity_records(df, json_col, fields, id_field="appid", position=None):
     """Object keyed by id -> rows. ``fields`` maps field name to type; unreadable values are null.
 

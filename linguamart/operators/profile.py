@@ -4,6 +4,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from ..session import stage
+
 
 def null_counts(df):
     """One row per column: how many nulls."""
@@ -28,32 +30,31 @@ def _numeric(df):
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
 
 
-def value_quantiles(df, value, probs, by=(), buckets=65_536, levels=2):
+def value_quantiles(df, value, probs, by=()):
     """Exact quantiles with linear interpolation, as rows (by..., prob, quantile).
 
-    Distinct values are counted first. Each level then cuts the range of the cells that hold a
-    wanted rank into ``buckets`` steps and keeps, by running totals, the few steps that still do.
-    Only the distinct values inside the last steps are put in order, so no task ever sees a group;
-    the running totals see at most ``buckets`` rows per cell.
+    Values are counted, and their counts dealt out in the order of group and value. The count before each part follows
+    from the sums of the parts alone; ranks are then looked up only in the parts that hold one. No task sees more of a
+    group than its part, and Infinity and NaN sort like any value (NaN last).
     """
     by = list(by)
     group = (F.struct(*[F.col(c) for c in by]) if by else F.lit(0)).alias("__g")
-    values = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(group, F.col(value).cast("double").alias("__v"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-    limits = values.groupBy("__g").agg(
-        F.struct(
-            F.min("__v").alias("lo"), F.max("__v").alias("hi"), F.lit(0).cast("long").alias("before"),
-            F.sum("__n").alias("total"),
-        ).alias("__x")
+    counts = df.where(F.col(value).isNotNull()).groupBy(group, F.col(value).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    return count_quantiles(counts, probs).select(*[F.col("__g")[c].alias(c) for c in by], "prob", "quantile")
+
+
+def count_quantiles(counts, probs):
+    """(__g, prob, quantile) of values that are already counted: rows (__g, __v, __n)."""
+    spark = counts.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = counts.repartitionByRange(parts, "__g", "__v").withColumn("__part", F.spark_partition_id())
+    # Stored, so that both uses see the same parts.
+    dealt = spark.read.schema(dealt.schema).parquet(stage(dealt, "counts"))
+    whole = Window.partitionBy("__g")
+    sums = dealt.groupBy("__g", "__part").agg(F.sum("__n").alias("within")).select(
+        "__g", "__part", "within", F.sum("within").over(whole).alias("total"),
+        (F.sum("within").over(whole.orderBy("__part")) - F.col("within")).alias("before"),
     )
-    if by:
-        values = values.join(limits, "__g")
-    else:
-        values = values.withColumn("__x", limits.select("__x").scalar())
-    values = values.withColumn("__cell", F.lit(""))
 
     def wanted(total, start, end):
         """The ranks (from 0) around each probability that lie in [start, end)."""
@@ -67,32 +68,14 @@ def value_quantiles(df, value, probs, by=(), buckets=65_536, levels=2):
         ranks = F.array_distinct(F.array(*[r for p in probs for r in around(p)]))
         return F.filter(ranks, lambda r: (r["rank"] >= start) & (r["rank"] < end))
 
-    for _ in range(levels):
-        x = F.col("__x")
-        width = (x["hi"] - x["lo"]) / buckets
-        step = F.when(width > 0, F.floor((F.col("__v") - x["lo"]) / width)).otherwise(F.lit(0)).cast("long")
-        values = values.select("__g", F.col("__cell").alias("__parent"), step.alias("__step"), "__v", "__n", "__x")
-        values = values.withColumn("__cell", F.concat_ws("/", "__parent", F.col("__step").cast("string")))
-        steps = values.groupBy("__g", "__parent", "__step", "__cell").agg(
-            F.min("__v").alias("lo"), F.max("__v").alias("hi"), F.sum("__n").alias("within"),
-            F.max("__x.before").alias("below"), F.max("__x.total").alias("total"),
-        )
-        running = F.sum("within").over(Window.partitionBy("__g", "__parent").orderBy("__step"))
-        steps = steps.withColumn("before", F.col("below") + running - F.col("within"))
-        holds = F.size(wanted(F.col("total"), F.col("before"), F.col("before") + F.col("within"))) > 0
-        cells = steps.where(holds).select("__g", "__cell", F.struct("lo", "hi", "before", "total").alias("__x"))
-        values = values.select("__g", "__cell", "__v", "__n").join(cells, ["__g", "__cell"])
-
-    upto = F.sum("__n").over(Window.partitionBy("__g", "__cell").orderBy("__v"))
-    placed = values.withColumn("__end", F.col("__x.before") + upto)
-    hits = placed.select("__g", "__v", F.inline(
-        wanted(F.col("__x.total"), F.col("__end") - F.col("__n"), F.col("__end"))
-    ))
+    asked = sums.where(F.size(wanted(F.col("total"), F.col("before"), F.col("before") + F.col("within"))) > 0)
+    upto = F.sum("__n").over(Window.partitionBy("__g", "__part").orderBy("__v"))
+    placed = dealt.join(asked.drop("within"), ["__g", "__part"]).withColumn("__end", F.col("before") + upto)
+    hits = placed.select("__g", "__v", F.inline(wanted(F.col("total"), F.col("__end") - F.col("__n"), F.col("__end"))))
     low, high = F.min_by("__v", "rank"), F.max_by("__v", "rank")
     share = F.max("at") - F.min("rank")
-    return hits.groupBy("__g", "prob").agg((low + (high - low) * share).alias("quantile")).select(
-        *[F.col("__g")[c].alias(c) for c in by], "prob", "quantile"
-    )
+    # Where the rank is whole there is nothing between: Infinity - Infinity would be NaN.
+    return hits.groupBy("__g", "prob").agg(F.when((share == 0) | (low == high), low).otherwise(low + (high - low) * share).alias("quantile"))
 
 
 def column_profile(df):
@@ -116,20 +99,23 @@ def column_profile(df):
 
     base = df.agg(*[stats(c) for c in df.columns]).select(F.inline(F.array(*[F.col(c) for c in df.columns])))
 
-    long_text = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in df.columns
-    ])).alias("x")).select("x.column_name", "x.v")
-    distinct = (
-        long_text.where(F.col("v").isNotNull()).distinct()
-        .groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct"))
-    )
+    # Every value of every column once, with its number of rows; texts and numbers side by side. Distinct values and
+    # quartiles both come from these counts.
+    entry = [
+        F.struct(
+            F.lit(c).alias("column_name"), (F.lit(None) if c in numbers else F.col(c)).cast("string").alias("text"),
+            (F.col(c) if c in numbers else F.lit(None)).cast("double").alias("number"), F.col(c).isNotNull().alias("given"),
+            (F.col(c) if types[c] == "bigint" else F.lit(None)).cast("long").alias("whole"),
+        ) for c in df.columns
+    ]
+    values = df.select(F.inline(F.array(*entry))).where("given").groupBy("column_name", "text", "number", "whole").agg(F.count(F.lit(1)).alias("__n"))
+    values = df.sparkSession.read.schema(values.schema).parquet(stage(values, "values"))
+    distinct = values.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct"))
     out = base.join(distinct, "column_name", "left").withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)))
     if not numbers:
         return out
-    long_numbers = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in sorted(numbers)
-    ])).alias("x")).select("x.column_name", "x.v")
-    quartiles = value_quantiles(long_numbers, "v", [0.25, 0.5, 0.75], ["column_name"]).groupBy("column_name").agg(*[
+    counted = values.where(F.col("number").isNotNull()).select(F.col("column_name").alias("__g"), F.col("number").alias("__v"), "__n")
+    quartiles = count_quantiles(counted, [0.25, 0.5, 0.75]).groupBy(F.col("__g").alias("column_name")).agg(*[
         F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(name)
         for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))
     ])

@@ -20,15 +20,11 @@ def check_not_null(df, columns, table=""):
 
 
 def check_unique(df, columns, table=""):
-    """Number of non-null values that occur more than once, per named column."""
-    def one(name):
-        repeated = (
-            df.where(F.col(name).isNotNull()).groupBy(name).agg(F.count(F.lit(1)).alias("__n"))
-            .where(F.col("__n") > 1).agg(F.count(F.lit(1)).alias("__n"))
-        )
-        return repeated.select(F.inline(F.array(_report(table, name, "unique", F.col("__n")))))
-
-    return reduce(lambda a, b: a.unionByName(b), [one(c) for c in columns])
+    """Number of non-null values that occur more than once, per named column, all in one pass."""
+    entry = [F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns]
+    values = df.select(F.inline(F.array(*entry))).where("v is not null").groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    repeated = values.agg(*[F.count_if((F.col("c") == c) & (F.col("n") > 1)).alias(c) for c in columns])
+    return repeated.select(F.inline(F.array(*[_report(table, c, "unique", F.col(c)) for c in columns])))
 
 
 def run_checks(tables, spec):

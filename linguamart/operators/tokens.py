@@ -3,8 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..constants import DEFAULT_GENRE, UNKNOWN_PRIORITY
-from ..functions import clean_language, has_audio_mark, is_footnote, strip_audio_mark, strip_footnote, strip_ws
-from .joins import join_lookup
+from ..functions import clean_language, has_audio_mark, is_footnote, quoted, strip_audio_mark, strip_footnote, strip_ws
 
 
 def explode_tokens(df, col, out=None, sep=",", keep_null=False, drop_blank=False, keep_row=False):
@@ -13,7 +12,7 @@ def explode_tokens(df, col, out=None, sep=",", keep_null=False, drop_blank=False
     ``keep_null`` keeps a row whose text is null; ``drop_blank`` removes empty tokens;
     ``keep_row`` leaves one null token where none survive.
     """
-    tokens = F.split(F.col(col), sep, -1)
+    tokens = F.split(F.col(col), quoted(sep), -1)
     if drop_blank:
         tokens = F.filter(tokens, lambda t: strip_ws(t) != "")
     burst = F.explode_outer if keep_null or keep_row else F.explode
@@ -27,7 +26,7 @@ def normalize_languages(df, keys, col="languages", strict_mark=False, ignore_foo
     """Rows (keys, language, audio) from HTML language lists.
 
     ``strict_mark`` with ``dedupe=False`` is the notebook form: only the bold star counts, nothing
-    but that mark is cleaned, and repeated names stay.
+    but that mark is cleaned, repeated names stay, and a title without a list keeps one null row.
     """
     text = strip_footnote(F.col(col)) if ignore_footnote else F.col(col)
 
@@ -38,7 +37,7 @@ def normalize_languages(df, keys, col="languages", strict_mark=False, ignore_foo
     # Names are cleaned and filtered inside the array: each token once, before it becomes a row.
     entries = F.transform(F.split(text, ",", -1), entry)
     if not dedupe:
-        return df.select(*keys, F.inline(entries))
+        return df.select(*keys, F.inline_outer(entries))
     named = F.filter(entries, lambda e: (e["language"] != "") & ~is_footnote(e["language"]))
     return (
         df.select(*keys, F.inline(named))
@@ -58,7 +57,7 @@ def primary_by_join(df, keys, col, seed, out="primary_genre", default=DEFAULT_GE
     )
     tokens = explode_tokens(df.select(*keys, col), col, "__token", drop_blank=True, keep_row=True)
     tokens = tokens.withColumn("__token", F.lower("__token"))
-    ranked = join_lookup(tokens, lookup, "__token")
+    ranked = tokens.join(lookup, "__token", "left")
     best = F.min(
         F.when(
             F.col("__token").isNotNull(),

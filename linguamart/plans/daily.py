@@ -1,7 +1,9 @@
 """The daily run: bronze snapshot of one day to silver, staging, marts and checks."""
 
+from pyspark.sql import functions as F
+
 from ..constants import TOP_N
-from ..operators import first_in_file, keep_listed, merge_regions, popularity_records, region_counters, run_checks, store_records, top_n_distinct
+from ..operators import first_in_file, keep_listed, merge_regions, pages_to_stop, popularity_records, region_counters, run_checks, store_records, top_n_distinct
 from ..schemas import BRONZE_POPULARITY, BRONZE_STORE
 from ..sources import (
     last_processed, layer_path, mark_processed, observed, read_bronze_csv, read_silver, register_sources,
@@ -16,24 +18,25 @@ def land_payloads(popularity_pages, first_region, second_region, base, day, n=TO
 
     ``popularity_pages`` has columns page and payload; the regions have payload. The list is the
     first ``n`` distinct ids in the order of the pages and of the entries in them; store rows are
-    kept for listed ids only. Returns the hit counters of the regions.
+    kept for listed ids only. Returns the hit counters of the regions over the listed ids, and the number of these.
     """
     spark = popularity_pages.sparkSession
     fields = {f.name: f.dataType for f in BRONZE_POPULARITY.fields}
-    records = popularity_records(popularity_pages, "payload", fields, position="position")
+    records = popularity_records(pages_to_stop(popularity_pages, "payload", "page"), "payload", fields, position="position")
     popularity = layer_path(base, "bronze", "popularity", day)
     write_csv(top_n_distinct(records, ["appid"], ["page", "position"], n).select(*fields), popularity)
     listed = read_bronze_csv(spark, popularity, BRONZE_POPULARITY)
-    first, second = store_records(first_region, "payload"), store_records(second_region, "payload")
-    details = keep_listed(merge_regions(first, second), listed, "appid")
+    first, second = (keep_listed(store_records(r, "payload"), listed, "appid") for r in (first_region, second_region))
+    details = merge_regions(first, second)
     write_csv(details.select(*BRONZE_STORE.fieldNames()), layer_path(base, "bronze", "store", day))
-    return region_counters(first, second)
+    return region_counters(first, second).withColumn("input_ids", listed.agg(F.count(F.lit(1))).scalar())
 
 
-def build_silver(spark, base, day, store_csv=None, popularity_csv=None, skip_done=False, ignore_footnote=False):
+def build_silver(spark, base, day, store_csv=None, popularity_csv=None, skip_done=False, ignore_footnote=False, multi_line=True):
     """Write the five silver tables of a day and mark each in the ledger.
 
-    Returns rows written per table, and rows read per bronze snapshot.
+    ``multi_line=False`` says that no CSV value holds a line break, so large files are split. Returns rows written per
+    table, and rows read per bronze snapshot.
     """
     ledger = f"{base}/ledger"
     counts = {}
@@ -43,7 +46,7 @@ def build_silver(spark, base, day, store_csv=None, popularity_csv=None, skip_don
         return last is not None and str(last) >= str(day)
 
     def bronze(table, path, schema):
-        raw = read_bronze_csv(spark, path or layer_path(base, "bronze", table, day), schema)
+        raw = read_bronze_csv(spark, path or layer_path(base, "bronze", table, day), schema, multi_line)
         return observed(raw, f"{table}-bronze-{day}")
 
     def write(table, df, sort_by=("appid",)):
@@ -70,8 +73,12 @@ def build_silver(spark, base, day, store_csv=None, popularity_csv=None, skip_don
     return counts
 
 
-def build_gold(spark, base, mode="all", date=None, dates=None):
-    """Source views, staging views and marts; returns the table names and the check report."""
+def build_gold(spark, base, mode="all", date=None, dates=None, enforce=True):
+    """Source views, staging views and marts; returns the tables and the check report.
+
+    A failed check stops the run once all tables are written, as long as ``enforce`` is set; the key of the languages,
+    known to repeat, is only reported.
+    """
     raw = register_sources(spark, layer_path(base, "silver", "").rstrip("/"), mode, date)
     staged = {
         "staging_store": staging.staging_store(raw["store_raw"]),
@@ -97,12 +104,18 @@ def build_gold(spark, base, mode="all", date=None, dates=None):
     daily = f"{gold}/fct_games_daily"
     load_days(marts.fct_games_daily(raw["store_raw"], raw["popularity_raw"]), daily, dates)
     tables["fct_games_daily"] = save_view(read_table(spark, daily), "fct_games_daily")
-    return tables, run_checks(tables, marts.CHECKS)
+    report = run_checks(tables, marts.CHECKS)
+    if enforce:
+        # One row per declared check at most.
+        failed = [tuple(r) for r in report.where("n_failed > 0").collect() if tuple(r)[:3] not in marts.REPORTED]
+        if failed:
+            raise ValueError(f"checks failed: {failed}")
+    return tables, report
 
 
 def run_day(spark, base, day, **options):
     """Silver and gold for one day. Gold starts only after silver has been written."""
-    gold_options = {k: options.pop(k) for k in ("mode", "date", "dates") if k in options}
+    gold_options = {k: options.pop(k) for k in ("mode", "date", "dates", "enforce") if k in options}
     counts = build_silver(spark, base, day, **options)
     tables, report = build_gold(spark, base, **(gold_options or {"date": day}))
     return counts, tables, report

@@ -16,7 +16,8 @@ def clean_store(df, formats=RELEASE_DATE_FORMATS, codes=LANGUAGE_CODES):
         "price_pln": clean_price(F.col("price_pln"), ","),
         "release_date": parse_date(F.col("release_date"), formats),
         "languages": replace_codes(F.col("languages"), codes),
-        "appid": F.col("appid").cast("long"),
+        # A title without an id must not pass as a row of its own.
+        "appid": F.coalesce(F.col("appid").cast("long"), F.raise_error(F.lit("a store row has no title id")).cast("long")),
     })
     return flag_missing(df, "release_date", "release_date_missing")
 

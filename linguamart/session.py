@@ -1,6 +1,5 @@
 """Session defaults and the shared scratch folder."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -23,30 +22,23 @@ def build_session(name="linguamart", master=None, **conf):
 
 
 def scratch_dir(spark, label="scratch"):
-    """A new folder path under the shared folder named by ``spark.checkpoint.dir``.
+    """A new folder path in a folder that driver and executors share.
 
-    Only a local session may fall back to a temporary folder: on a cluster the executors
-    would each see their own.
+    That is the one ``spark.checkpoint.dir`` names, or else a part of the session's warehouse.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="linguamart-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_stage(spark, *paths):
+    """Remove staged folders that nothing reads any more."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stage(df, label="stage", partition_by=()):
     """Write ``df`` to the shared folder and return the path: lineage ends there."""
     path = scratch_dir(df.sparkSession, label)
     df.write.partitionBy(*partition_by).parquet(path)
     return path
-
-
-def spread_scan(df):
-    """Spread a scan with fewer splits than cores before costly text work; larger scans stay as they are.
-
-    Rows are placed by the hash of all their values, so a rerun task sends each to the same place.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *df.columns) if df.rdd.getNumPartitions() < cores else df

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..constants import DATE_IN_NAME
 from ..functions import date_in_text
 
-# Name of each source table -> folder and the text its file names contain.
+# Name of each source table -> folder and the text its file names contain.
 SOURCE_TABLES = {
     "store_raw": ("store", ""),
     "popularity_raw": ("popularity", ""),
@@ -81,13 +81,16 @@ def select_source(spark, root, mode="all", date=None, needle="", schema=None, me
     return df
 
 
-def with_file_date(df, out="snapshot_date", fallback_for=None, path_col="file_path"):
-    """Add the file path and the date in it. ``fallback_for`` names a date column that wins where set.
+def with_file_date(df, out=DAY, fallback_for=None, path_col="file_path"):
+    """Add the file path and the day of each row. Use directly on a file scan.
 
-    Use directly on a file scan.
+    A day folder's column stays the day as it is, so that a filter on it still chooses folders. Elsewhere the day is the
+    date in the file's own name, not one further up in the path; ``fallback_for`` names a date column that wins where set.
     """
     path = F.col("_metadata.file_path")
-    found = date_in_text(path)
+    if out in df.columns:
+        return df.withColumn(path_col, path)
+    found = date_in_text(F.substring_index(path, "/", -1))
     if fallback_for is not None:
         found = F.coalesce(F.col(fallback_for).try_cast("date"), found)
     return df.withColumns({path_col: path, out: found})
@@ -104,7 +107,7 @@ def register_sources(spark, root, mode="all", date=None, tables=SOURCE_TABLES):
     for name, (folder, needle) in tables.items():
         df = select_source(spark, f"{root}/{folder}", mode, date, needle)
         fallback = "ingestion_date" if "ingestion_date" in df.columns else None
-        df = with_file_date(df.drop("snapshot_date"), fallback_for=fallback)
+        df = with_file_date(df, fallback_for=fallback)
         df.createOrReplaceTempView(name)
         views[name] = spark.table(name)
     return views

@@ -1,5 +1,7 @@
 """Bronze snapshots: dated CSV files and landed JSON payloads."""
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -8,34 +10,45 @@ from ..constants import NA_TOKENS
 from ..functions import whole_number
 from ..operators import backfill_columns
 from ..operators.dedupe import SCAN_ORDER, with_scan_order
+from .files import list_files
 
 
-def _header(spark, path):
-    """Column names from the first line; [] for files without one."""
+def _headers(spark, path):
+    """Column names -> the files that have them, from the first line of each file; files without one are left out."""
     try:
-        return spark.read.option("header", True).option("escape", '"').csv(path).columns
+        files = sorted(r["path"] for r in list_files(spark, path, suffix="").collect())
     except AnalysisException as problem:
         if "PATH_NOT_FOUND" in (problem.getCondition() or ""):
             raise FileNotFoundError(f"no snapshot at {path}") from problem
         raise
+    found = {}
+    for file in files:
+        names = spark.read.option("header", True).option("escape", '"').csv(file).columns
+        if names:
+            found.setdefault(tuple(names), []).append(file)
+    return found
 
 
 def read_bronze_csv(spark, path, schema, multi_line=True, safe=()):
     """A CSV snapshot typed by ``schema``, with the place of each row in its files.
 
-    Columns are matched by header name; expected ones that are absent come in as null, others are
-    left out. Texts that stand for a missing value become null. An empty file gives an empty table;
-    a missing one raises FileNotFoundError. A value that does not fit its type stops the job, except
-    in ``safe`` columns. ``multi_line=False`` lets Spark split large files that hold no line breaks
-    inside quotes.
+    Columns are matched by header name, in every file by its own header; expected ones that are absent come in as null,
+    others are left out. Texts that stand for a missing value become null. An empty file gives no row; a missing one
+    raises FileNotFoundError. A value that does not fit its type stops the job, except in ``safe`` columns.
+    ``multi_line=False`` lets Spark split large files that hold no line breaks inside quotes.
     """
-    header = _header(spark, path)
-    if not header:
+    tables = [_read_alike(spark, files, header, schema, multi_line, safe) for header, files in _headers(spark, path).items()]
+    if not tables:
         empty = spark.createDataFrame([], schema)
         return empty.withColumn(SCAN_ORDER, F.lit(None).cast("struct<file:string,block:bigint,row:bigint>"))
+    return reduce(lambda a, b: a.unionByName(b), tables)
+
+
+def _read_alike(spark, files, header, schema, multi_line, safe):
+    """Files of one header."""
     text = StructType([StructField(name, StringType(), True) for name in header])
     raw = with_scan_order(
-        spark.read.schema(text).option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
+        spark.read.schema(text).option("header", True).option("escape", '"').option("multiLine", multi_line).csv(files)
     )
     types = {f.name: f.dataType for f in schema.fields}
 

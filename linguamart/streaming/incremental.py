@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..constants import EPOCH_DAY
-from ..session import stage
+from ..session import drop_stage, stage
 from ..sources.files import DAY, day_folders
 from ..sources.sinks import write_days
 
@@ -71,18 +71,22 @@ def merge_rows(df, target, keys=KEYS, day_col=DAY, id_col="appid"):
     lost executor never makes the job read a half-replaced day.
     """
     spark = df.sparkSession
-    if not day_folders(spark, target, day_col):
-        return _write(df, target, day_col, id_col)
     staged = stage(df, "new-rows", [day_col])
     touched = day_folders(spark, staged, day_col)
     if not touched:
         return None
     new = spark.read.schema(df.schema).parquet(staged)
+    if new.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count():
+        raise ValueError(f"rows to merge repeat a key of {list(keys)}")
+    if not day_folders(spark, target, day_col):
+        _write(new.select(*df.columns), target, day_col, id_col)
+        return drop_stage(spark, staged)
     old = read_table(spark, target, day_col).where(F.col(day_col).isin(touched))
     kept = old.join(new, list(keys), "left_anti")
     merged = kept.unionByName(new, allowMissingColumns=True).select(*df.columns)
     merged_path = stage(merged, "merged-days", [day_col])
-    return _write(spark.read.schema(merged.schema).parquet(merged_path), target, day_col, id_col)
+    _write(spark.read.schema(merged.schema).parquet(merged_path), target, day_col, id_col)
+    drop_stage(spark, staged, merged_path)
 
 
 def load_days(df, target, dates=None, day_col=DAY, id_col="appid"):

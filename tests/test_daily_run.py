@@ -146,7 +146,7 @@ def test_payloads_to_silver(spark, tmp_path, rows):
     base = str(tmp_path / "lake")
     first, second = (read_json_documents(spark, str(tmp_path / n)) for n in ("us.json", "pl.json"))
     hits = land_payloads(df, first, second, base, DAY, n=3)
-    assert rows(hits) == [(2, 2, 3, 3)]
+    assert rows(hits) == [(1, 2, 2, 2, 3)]
     counts = build_silver(spark, base, DAY)
     assert counts["popularity"] == 3 and counts["store"] == 2
     assert rows(read_silver(spark, f"{base}/silver", "popularity", DAY), "appid", "name", "ccu") == [

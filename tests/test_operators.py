@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from linguamart import operators as op
 from linguamart.constants import OWNER_BANDS
+from linguamart.functions import whole_number
 from linguamart.sources import genre_seed
 
 
@@ -51,18 +52,12 @@ def test_primary_by_join_equals_in_row_form(spark, rows):
     assert rows(joined) == rows(df.select("k", pick_by_priority(F.col("genre"))))
 
 
-def test_join_lookup_keeps_all_rows_when_lookup_is_large(spark, rows):
-    df = spark.createDataFrame([(1,), (2,)], "k int")
-    lookup = spark.createDataFrame([(1, "x"), (3, "y"), (4, "z")], "k int, v string")
-    assert rows(op.join_lookup(df, lookup, "k", max_rows=2)) == rows(op.join_lookup(df, lookup, "k")) == [(1, "x"), (2, None)]
-
-
 def test_attach_details_with_one_hot_id_and_missing_ids(spark):
     rng = random.Random(3)
     items = [(i, 7 if i % 3 == 0 else None if i % 3 == 1 else rng.randrange(200), "same") for i in range(3000)]
     left = spark.createDataFrame(items, "pos int, id int, v string").repartition(5)
     details = spark.createDataFrame([(i, f"d{i}") for i in range(0, 200, 2)] + [(7, "hot")], "id int, d string")
-    got = op.attach_details(left, details, "id", salts=8)
+    got = op.attach_details(left, details, "id")
     assert got.columns == ["id", "pos", "v", "d"]
     lookup = {i: f"d{i}" for i in range(0, 200, 2)} | {7: "hot"}
     want = sorted((str(i), p, v, str(lookup.get(i))) for p, i, v in items)
@@ -148,11 +143,10 @@ def test_warnings(spark, rows):
     [5.0], [1.0, 2.0], list(range(101)), [0.0] * 50 + [1e12], [-3.5, -3.5, 0.0, 9.25, 1e-9, 2e9],
     [float(x) for x in np.random.default_rng(1).lognormal(0, 4, 500)],
 ])
-@pytest.mark.parametrize("buckets", [2, 1000])
-def test_quantiles_are_exact(spark, values, buckets):
+def test_quantiles_are_exact(spark, values):
     df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
     probs = [0.0, 0.25, 0.5, 0.9, 1.0]
-    got = {r.prob: r.quantile for r in op.value_quantiles(df, "v", probs, buckets=buckets).collect()}
+    got = {r.prob: r.quantile for r in op.value_quantiles(df, "v", probs).collect()}
     for p in probs:
         assert got[p] == pytest.approx(float(np.quantile(values, p)), rel=1e-9, abs=1e-12)
 
@@ -177,3 +171,39 @@ def test_notebook_language_form(spark, rows):
     df = spark.createDataFrame([(1, "English<strong>*</strong>, Polish *, Polish *")], "appid int, languages string")
     got = rows(op.normalize_languages(df, ["appid"], strict_mark=True, dedupe=False))
     assert got == [(1, "English", True), (1, "Polish *", False), (1, "Polish *", False)]
+
+
+def test_quantiles_with_infinity_and_nan(spark):
+    values = [float(i) for i in range(99)] + [float("inf"), float("inf")]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = {r.prob: r.quantile for r in op.value_quantiles(df, "v", [0.0, 0.5, 0.98, 1.0]).collect()}
+    assert got == {0.0: 0.0, 0.5: 50.0, 0.98: 98.0, 1.0: float("inf")}
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),)], "v double")
+    got = {r.prob: r.quantile for r in op.value_quantiles(df, "v", [0.0, 0.5, 1.0]).collect()}
+    assert (got[0.0], got[0.5]) == (1.0, 2.0) and got[1.0] != got[1.0]
+
+
+def test_details_of_ids_of_any_share(spark):
+    """An id with 0.9 % of the items and one with half of them."""
+    items = [(i, 1 if i % 2 else 2 if i % 100 == 4 else i) for i in range(4000)]
+    left = spark.createDataFrame(items, "pos int, id int").repartition(6)
+    details = spark.createDataFrame([(1, "a"), (2, "b"), (6, "c")], "id int, d string")
+    got = sorted((r.pos, r.id, r.d) for r in op.attach_details(left, details, "id").collect())
+    assert got == sorted((p, i, {1: "a", 2: "b", 6: "c"}.get(i)) for p, i in items)
+
+
+def test_whole_number_beyond_long(spark, rows):
+    df = spark.createDataFrame([("1e30",), ("NaN",), ("Infinity",), ("-Infinity",), ("5.0",), ("7",), ("x",), (None,)], "t string")
+    got = [r[0] for r in df.select(whole_number(F.col("t"))).collect()]
+    assert got == [None, None, None, None, 5, 7, None, None]
+
+
+def test_separator_is_plain_text(spark, rows):
+    df = spark.createDataFrame([("ab|cd",)], "t string")
+    assert rows(op.explode_tokens(df, "t", sep="|")) == [("ab",), ("cd",)]
+
+
+def test_notebook_form_keeps_titles_without_list(spark, rows):
+    df = spark.createDataFrame([(1, None), (2, "A<strong>*</strong>,B")], "appid int, languages string")
+    got = op.normalize_languages(df, ["appid"], strict_mark=True, dedupe=False)
+    assert rows(got) == [(1, None, None), (2, "A", True), (2, "B", False)]
