@@ -74,16 +74,19 @@ def contaminated(docs, benchmark, masks=MASKS, overlap=OVERLAP, share=SHARE, id_
     Other columns are not looked at; if either table is empty, so is the result.
     """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), words(text).alias("words"))
+    whole = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    rows = whole.select("doc_id", "text_hash", words(F.col("text")).alias("words"))
     text = F.coalesce(F.col(f"`{item_text}`").cast("string"), F.lit(""))
     items = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("item_id"), F.xxhash64(text).alias("item_hash"), words(text).alias("words"))
     items = items.dropDuplicates(["item_id", "item_hash"])
     wanted = saved(seeds(items, masks).select("seed", "item_id", "item_hash", F.col("at").alias("item_at")).distinct(), "seeds")
     hits = seeds(rows, masks).where(maybe(F.col("seed"), seed_filter(wanted).scalar())).join(wanted, "seed")
-    hits = hits.groupBy("doc_id", "text_hash", "item_id", "item_hash", (F.col("at") - F.col("item_at")).alias("shift")).agg(F.count("*").alias("n_hits"))
+    hits = saved(hits.select("doc_id", "text_hash", "item_id", "item_hash", (F.col("at") - F.col("item_at")).alias("shift")).distinct(), "hits")
     item_words = items.select(F.col("item_id").alias("_item"), F.col("item_hash").alias("_item_hash"), F.col("words").alias("item_words"))
-    doc_words = rows.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_doc_hash"), F.col("words").alias("doc_words"))
+    # Only texts with a hit are split again, after they have met it.
+    doc_words = whole.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_doc_hash"), F.col("text").alias("_text"))
     doc_words = doc_words.join(hits.select("text_hash").distinct(), F.col("_doc_hash") == F.col("text_hash"), "left_semi").dropDuplicates(["_doc", "_doc_hash"])
+    doc_words = doc_words.select("_doc", "_doc_hash", words(F.col("_text")).alias("doc_words"))
     pairs = hits.join(item_words, F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("item_hash") == F.col("_item_hash")))
     pairs = pairs.join(doc_words, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_doc_hash")))
     first = F.greatest(F.lit(0), -F.col("shift"))
