@@ -14,6 +14,8 @@ def build_session(name="linguamart", master=None, **conf):
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # Files of pandas hold nanoseconds, which are read as longs and turned into timestamps by the sources.
+        "spark.sql.legacy.parquet.nanosAsLong": "true",
         **conf,
     }
     for key, value in settings.items():

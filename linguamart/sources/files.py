@@ -41,6 +41,12 @@ def list_files(spark, root, needle="", suffix=".parquet"):
     return files.where(F.col("path").contains(needle)) if needle else files
 
 
+def read_nanoseconds(df, names=("release_date", "ingestion_date", DAY)):
+    """Dates that pandas has written as nanoseconds and the session reads as longs, as timestamps again."""
+    late = [c for c, kind in df.dtypes if c in names and kind == "bigint"]
+    return df.withColumns({c: F.timestamp_micros(F.floor(F.col(c) / 1000).cast("long")) for c in late}) if late else df
+
+
 def select_source(spark, root, mode="all", date=None, needle="", schema=None, merge_schema=False):
     """A table over all matching files, over the latest day, or over one date.
 
@@ -81,19 +87,21 @@ def select_source(spark, root, mode="all", date=None, needle="", schema=None, me
     return df
 
 
-def with_file_date(df, out=DAY, fallback_for=None, path_col="file_path"):
+def with_file_date(df, out=DAY, fallback_for=None, path_col="file_path", late=lambda df: df):
     """Add the file path and the day of each row. Use directly on a file scan.
 
     A day folder's column stays the day as it is, so that a filter on it still chooses folders. Elsewhere the day is the
-    date in the file's own name, not one further up in the path; ``fallback_for`` names a date column that wins where set.
+    date in the file's own name or else of its day folder, not one further up in the path; ``fallback_for`` names a date column that wins where set.
+    ``late`` is applied once the path is known.
     """
     path = F.col("_metadata.file_path")
     if out in df.columns:
-        return df.withColumn(path_col, path)
-    found = date_in_text(F.substring_index(path, "/", -1))
-    if fallback_for is not None:
-        found = F.coalesce(F.col(fallback_for).try_cast("date"), found)
-    return df.withColumns({path_col: path, out: found})
+        return late(df.withColumn(path_col, path))
+    folder = F.regexp_extract(path, rf"/{DAY}=([^/]*)/[^/]*$", 1)
+    found = F.coalesce(date_in_text(F.substring_index(path, "/", -1)), date_in_text(folder))
+    df = late(df.withColumns({path_col: path, "__day": found}))
+    day = F.col("__day") if fallback_for is None else F.coalesce(F.col(fallback_for).try_cast("date"), F.col("__day"))
+    return df.withColumn(out, day).drop("__day")
 
 
 def read_silver(spark, root, table, day):
@@ -107,7 +115,7 @@ def register_sources(spark, root, mode="all", date=None, tables=SOURCE_TABLES):
     for name, (folder, needle) in tables.items():
         df = select_source(spark, f"{root}/{folder}", mode, date, needle)
         fallback = "ingestion_date" if "ingestion_date" in df.columns else None
-        df = with_file_date(df, fallback_for=fallback)
+        df = with_file_date(df, fallback_for=fallback, late=read_nanoseconds)
         df.createOrReplaceTempView(name)
         views[name] = spark.table(name)
     return views

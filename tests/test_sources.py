@@ -170,3 +170,48 @@ def test_silver_by_day(spark, tmp_path):
         read_silver(spark, f"{base}/silver", "store", "2024-05-02")
     views = register_sources(spark, f"{base}/silver", tables={"store_raw": ("store", "")})
     assert views["store_raw"].select("snapshot_date").first()[0] == dt.date(2024, 5, 1)
+
+
+def test_day_of_a_dated_base_path(spark, tmp_path):
+    """Neither a date further up in the path nor one of another table counts."""
+    base = str(tmp_path / "backup-2023-01-01")
+    day = spark.createDataFrame([(1, "a")], "appid long, name string")
+    day.write.parquet(f"{base}/store/snapshot_date=2024-05-01")
+    day.write.parquet(f"{base}/store/snapshot_date=2024-05-02")
+    views = register_sources(spark, base, tables={"store_raw": ("store", "")})
+    assert sorted(str(r[0]) for r in views["store_raw"].select("snapshot_date").collect()) == ["2024-05-01", "2024-05-02"]
+    one = views["store_raw"].where("snapshot_date = DATE'2024-05-02'")
+    assert len(one.inputFiles()) >= 1 and one.count() == 1
+    assert "PartitionFilters: [isnotnull(snapshot_date" in one._jdf.queryExecution().toString()
+
+
+def test_day_folder_of_a_table_with_ingestion_date(spark, tmp_path):
+    """Popularity rows carry a day of their own; the folder still prunes."""
+    for d in range(1, 4):
+        spark.createDataFrame([(1, f"2024-05-0{d}")], "appid long, ingestion_date string").write.parquet(f"{tmp_path}/popularity/snapshot_date=2024-05-0{d}")
+    view = register_sources(spark, str(tmp_path), tables={"popularity_raw": ("popularity", "")})["popularity_raw"]
+    late = view.where("snapshot_date > DATE'2024-05-02'")
+    assert late.count() == 1 and "PartitionFilters: [isnotnull(snapshot_date" in late._jdf.queryExecution().toString()
+
+
+def test_csv_columns_by_each_files_header(spark, tmp_path, rows):
+    folder = tmp_path / "day"
+    folder.mkdir()
+    (folder / "a.csv").write_text("appid,price_usd,price_pln,release_date,languages,genre\n1,$1,,2013-07-01,English,RPG\n")
+    (folder / "b.csv").write_text("genre,extra,appid,languages\nIndie,x,2,French\n")
+    (folder / "c.csv").write_text("")
+    got = read_bronze_csv(spark, str(folder), schemas.BRONZE_STORE)
+    assert rows(got, "appid", "price_usd", "languages", "genre") == [(1, "$1", "English", "RPG"), (2, None, "French", "Indie")]
+
+
+def test_dates_of_pandas_files(spark, tmp_path, rows):
+    import pandas as pd
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    folder = tmp_path / "store" / "snapshot_date=2024-05-01"
+    folder.mkdir(parents=True)
+    frame = pd.DataFrame({"appid": [1, 2], "release_date": pd.to_datetime(["2013-07-01", None]).astype("datetime64[ns]")})
+    pq.write_table(pa.Table.from_pandas(frame, preserve_index=False), folder / "store.parquet", version="2.6", coerce_timestamps=None)
+    view = register_sources(spark, str(tmp_path), tables={"store_raw": ("store", "")})["store_raw"]
+    assert [str(r[0]) for r in view.orderBy("appid").select(F.col("release_date").cast("date")).collect()] == ["2013-07-01", "None"]
