@@ -6,6 +6,7 @@ from . import jumpshards, leaks, lzprint, mainblocks, maxent, neardup, packing,
 from .common import table
 
 QUERIES, ORACLES = {}, {}
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
 def query(name, sql=None):
@@ -74,15 +75,65 @@ def op7(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
-@query("op8_url_equivalence")
+_RULE = "CASE WHEN {h} = '{host}' OR ends_with({h}, '.{host}') THEN CASE WHEN starts_with({p}, '{path}') THEN '{rule}' END END"
+
+
+def _sql_rule(host, path):
+    """The longest rule that fits a host and a path."""
+    fitting = [
+        _RULE.format(h=host, p=path, host=r.split("/", 1)[0], path="/" + r.split("/", 1)[1], rule=r)
+        for _, r in sorted(URL_RULES, key=lambda x: -len(x[1]))
+    ]
+    return f"coalesce({', '.join(fitting)})"
+
+
+def _sql_host(url):
+    return f"translate(regexp_extract({url}, '(?s)^.*?://([^/?#]*)', 1), '{urlrules.ABC}', '{urlrules.LOWER}')"
+
+
+def _sql_verdict(rule):
+    return f"CASE {rule} " + " ".join(f"WHEN '{r}' THEN '{v}'" for v, r in URL_RULES) + " END"
+
+
+# The edges are those of canonical links and refreshes to absolute addresses, the only ones that the pages may hold.
+@query("op8_url_equivalence", rf"""
+WITH RECURSIVE found AS (
+  SELECT url, unnest([
+    regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>', 0), '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1),
+    regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>', 0), '(?is)\burl\s*=\s*[''"]?([^"''\s>]+)', 1)
+  ]) AS link FROM pages
+), named AS (
+  SELECT {_sql_host('url')} || regexp_extract(url, '(?s)^.*?://[^/?#]*([^#]*)', 1) AS a, {_sql_host('link')} || regexp_extract(link, '(?s)^.*?://[^/?#]*([^#]*)', 1) AS b
+  FROM found WHERE contains(url, '://') AND contains(link, '://')
+), edges AS (SELECT a, b FROM named UNION SELECT b, a FROM named),
+reach AS (SELECT a, a AS b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+passed AS (
+  SELECT a AS name, min({_sql_verdict(_sql_rule("regexp_extract(b, '^[^/?]*', 0)", "regexp_extract(b, '(?s)^[^/?]*([^?]*)', 1)"))}) AS passed_on FROM reach GROUP BY a
+), urls AS (
+  SELECT page_id, coalesce({_sql_host('url')}, '') AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+    {_sql_host('url')} || regexp_extract(url, '(?s)^.*?://[^/?#]*([^#]*)', 1) AS name FROM pages
+), ruled AS (SELECT *, {_sql_rule('host', 'path')} AS rule FROM urls)
+SELECT page_id, host, path, rule, coalesce({_sql_verdict('rule')}, passed_on, 'allow') AS verdict FROM ruled LEFT JOIN passed USING (name)""")
 def op8(spark, sf_dir):
     return urlrules.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
-@query("op9_minhash_near_dedup")
+@query("op9_minhash_near_dedup", f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, [w FOR w IN string_split_regex(translate(coalesce(text, ''), '{urlrules.ABC}', '{urlrules.LOWER}'), '[\\x20\\x09-\\x0D]+') IF w <> ''] AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)])
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM words
+), single AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM single a JOIN single b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (SELECT a, a AS b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a AS doc_id, min(b) AS component FROM reach GROUP BY a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, coalesce(component, doc_id) AS component_id, coalesce(component, doc_id) = doc_id AS kept
+FROM sets LEFT JOIN least USING (doc_id)""")
 def op9(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
