@@ -21,7 +21,7 @@ HEADLINE = [
     "q_fct_games", "q_fct_games_daily", "q_silver_store", "q_silver_popularity", "q_silver_languages",
     "q_dim_genres", "q_dim_languages", "q_primary_genre", "q_latest_per_key_day", "q_token_count", "q_html_clean",
     "q_payload_rows", "q_region_merge", "q_incremental_daily", "q_source_latest", "q_profile", "q_genre_heatmap",
-    "q_missing_localization", "q_coverage_vs_perf", "q_trend",
+    "q_missing_localization", "q_coverage_vs_perf", "q_trend", "q_dq_marts", "q_opportunity", "q_audio_impact", "q_value_quantiles",
 ]
 
 

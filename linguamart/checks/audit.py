@@ -6,6 +6,7 @@ from ..operators import (
     check_not_null, check_unique, column_profile, distinct_values, flag_counts, null_counts, run_checks, value_quantiles,
 )
 from ..plans import marts
+from ..session import stored
 from . import gold
 from . import standins as s
 from .registry import query, table
@@ -51,7 +52,7 @@ def dq_marts(spark, sf_dir):
         "staging_languages": gold.staging_languages, "fct_games_daily": gold.fct_games_daily,
         "fct_games": gold.fct_games, "dim_genres": gold.dim_genres, "dim_languages": gold.dim_languages,
     }
-    return run_checks({name: make(spark, sf_dir) for name, make in makers.items()}, marts.CHECKS)
+    return run_checks({name: stored(make(spark, sf_dir)) for name, make in makers.items()}, marts.CHECKS)
 
 
 @query("q_null_counts", " UNION ALL ".join(

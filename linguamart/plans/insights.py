@@ -4,6 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import value_quantiles
+from ..session import stored
 
 ENGLISH = "english"
 
@@ -43,7 +44,9 @@ def audio_impact(fct, dim_languages):
     audio = dim_languages.groupBy("appid").agg(
         F.bool_or(F.col("has_audio_support") & (F.lower("language") != ENGLISH)).alias("has_audio")
     )
-    flagged = fct.join(audio, "appid", "left").withColumn("has_audio", F.coalesce("has_audio", F.lit(False)))
+    flagged = stored(fct.join(audio, "appid", "left").select(
+        F.coalesce("has_audio", F.lit(False)).alias("has_audio"), "ccu", "positive_ratio", "total_reviews",
+    ))
     stats = flagged.groupBy("has_audio").agg(
         F.count(F.lit(1)).alias("n_titles"),
         _round(F.avg("ccu")).alias("avg_ccu"),
@@ -89,8 +92,9 @@ def _top_languages(dim_languages, n):
 
 def missing_localization(fct, dim_languages, n_titles=100, n_languages=10):
     """Popular titles and the top languages they lack."""
+    dim_languages = stored(dim_languages.select("appid", "language"))
     wanted = _top_languages(dim_languages, n_languages)
-    popular = popular_titles(fct, n_titles).select("appid", "title", "ccu")
+    popular = stored(popular_titles(fct, n_titles).select("appid", "title", "ccu"))
     # Both lists are bounded by the arguments: the languages travel as one array.
     have = (
         dim_languages.join(F.broadcast(popular.select("appid")), "appid", "left_semi")
@@ -151,7 +155,7 @@ def popular_languages(fct, dim_languages, n_titles=100, n_languages=20):
 
 def opportunity_segments(fct, dim_genres, dim_languages):
     """Genre by owner band: more players than the average title, fewer languages than the median one."""
-    covered = _with_coverage(fct, dim_languages)
+    covered = stored(_with_coverage(fct, dim_languages).select("appid", "owners_category", "ccu", "n_languages"))
     overall_ccu = covered.agg(F.avg("ccu").alias("x")).scalar()
     median = value_quantiles(covered, "n_languages", [0.5]).agg(F.max("quantile").alias("x")).scalar()
     segments = dim_genres.join(covered, "appid").groupBy("genre", "owners_category").agg(

@@ -44,3 +44,8 @@ def stage(df, label="stage", partition_by=()):
     path = scratch_dir(df.sparkSession, label)
     df.write.partitionBy(*partition_by).parquet(path)
     return path
+
+
+def stored(df, label="stored"):
+    """``df`` written to the shared folder and read back: what several branches of a plan need is worked out once."""
+    return df.sparkSession.read.schema(df.schema).parquet(stage(df, label))
