@@ -3,7 +3,7 @@
 import hashlib
 from collections import Counter
 
-from conftest import prose
+from llm_texts import prose
 
 from linguamart.llm import neardup, repeats
 from linguamart.llm.components import components

@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import prose
+from llm_texts import prose
 from tokenizers import Tokenizer
 
 from linguamart.llm import jumpshards, leaks, mainblocks, packing, urlrules

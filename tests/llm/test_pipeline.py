@@ -1,7 +1,7 @@
 """The stages over small documents with every oddity, and the registered queries."""
 
 import pytest
-from conftest import prose
+from llm_texts import prose
 
 import corpus_pipeline
 from linguamart.llm import common

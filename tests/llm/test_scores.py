@@ -6,7 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
-from conftest import prose
+from llm_texts import prose
 
 from linguamart.llm import lzprint, maxent, ranking
 
