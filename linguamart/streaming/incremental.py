@@ -9,7 +9,7 @@ import datetime as dt
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from ..constants import EPOCH_DAY
 from ..session import drop_stage, stage
@@ -26,26 +26,64 @@ def high_water(spark, target, day_col=DAY):
     return days[-1] if days else dt.date.fromisoformat(EPOCH_DAY)
 
 
-def _sync_columns(df, target):
-    empty = df.limit(0).coalesce(1)
-    empty.write.mode("overwrite").parquet(f"{target}/{_COLUMNS}")
-
+def _stored_columns(spark, target):
+    """Every column that the table's files hold or have held, with what it stands for; [] for a new table.
 
-def read_table(spark, target, day_col=DAY):
-    """The table with the columns of its last load; older days show null in newer columns."""
+    A column that is added again after its removal, or comes with another type, is stored under a name of its own, so
+    that what older days hold under its first name is not taken for it. Of another type, it is cast where it is older.
+    """
     try:
-        schema = spark.read.parquet(f"{target}/{_COLUMNS}").schema
+        fields = spark.read.parquet(f"{target}/{_COLUMNS}").schema.fields
     except AnalysisException as problem:
         if "PATH_NOT_FOUND" not in (problem.getCondition() or ""):
             raise
+        return []
+    return [StructField(f.name, f.dataType, True, {"name": f.name, "live": True, "was": "", "place": i, **f.metadata}) for i, f in enumerate(fields)]
+
+
+def _sync_columns(df, target):
+    """Rename the columns of ``df`` to what they are stored as; returns it with the fields to keep beside the data."""
+    known = _stored_columns(df.sparkSession, target)
+    taken, now = {f.name for f in known}, []
+    live = {f.metadata["name"]: f for f in known if f.metadata["live"]}
+    for place, field in enumerate(df.schema.fields):
+        old = live.get(field.name)
+        if old is not None and old.dataType == field.dataType:
+            stored, was = old.name, old.metadata["was"]
+        else:
+            names = (field.name if not k else f"{field.name}__{k}" for k in range(len(taken) + 1))
+            stored, was = next(n for n in names if n not in taken), old.name if old is not None else ""
+        now.append(StructField(stored, field.dataType, True, {"name": field.name, "live": True, "was": was, "place": place}))
+    names = {f.name for f in now}
+    gone = [StructField(f.name, f.dataType, True, {**f.metadata, "live": False}) for f in known if f.name not in names]
+    return df.select(*[F.col(f"`{f.metadata['name']}`").alias(f.name) for f in now]), StructType(now + gone)
+
+
+def read_table(spark, target, day_col=DAY):
+    """The table with the columns of its last load; older days show null in newer columns."""
+    fields = _stored_columns(spark, target)
+    if not fields:
         newest = high_water(spark, target, day_col)
         schema = spark.read.option("basePath", target).parquet(f"{target}/{day_col}={newest}").schema
-    return spark.read.schema(StructType(schema.fields)).parquet(target)
+        return spark.read.schema(StructType(schema.fields)).parquet(target)
+    data = spark.read.schema(StructType([StructField(f.name, f.dataType) for f in fields])).parquet(target)
+    kinds = {f.name: f for f in fields}
+
+    def value(field):
+        forms, was = [F.col(f"`{field.name}`")], field.metadata["was"]
+        while was in kinds:
+            forms.append(F.col(f"`{was}`").try_cast(field.dataType))
+            was = kinds[was].metadata["was"]
+        return F.coalesce(*forms) if len(forms) > 1 else forms[0]
+
+    live = sorted((f for f in fields if f.metadata["live"]), key=lambda f: f.metadata["place"])
+    return data.select(*[value(f).alias(f.metadata["name"]) for f in live])
 
 
 def _write(df, target, day_col, id_col):
-    write_days(df, target, day_col, id_col)
-    _sync_columns(df, target)
+    renamed, fields = _sync_columns(df, target)
+    write_days(renamed, target, day_col, id_col)
+    df.sparkSession.createDataFrame([], fields).coalesce(1).write.mode("overwrite").parquet(f"{target}/{_COLUMNS}")
 
 
 def load_new_days(df, target, day_col=DAY, id_col="appid"):

@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from linguamart.sources import day_folders
@@ -76,3 +77,34 @@ def test_days_one_by_one_equal_all_at_once(spark, tmp_path):
         load_new_days(every.where(F.col("snapshot_date") <= F.lit(f"2024-05-0{d}")), str(tmp_path / "steps"))
     load_new_days(every, str(tmp_path / "once"))
     assert state(spark, str(tmp_path / "steps")) == state(spark, str(tmp_path / "once"))
+
+
+def test_column_removed_and_added_again(spark, tmp_path, rows):
+    """Old days do not show what they held under the name of a column that went and came back."""
+    target = str(tmp_path / "t")
+    full = "appid long, price double, snapshot_date date"
+    load_days(spark.createDataFrame([(1, 1.5, dt.date(2024, 5, 1))], full), target)
+    load_days(spark.createDataFrame([(1, dt.date(2024, 5, 2))], "appid long, snapshot_date date"), target)
+    assert read_table(spark, target).columns == ["appid", "snapshot_date"]
+    load_days(spark.createDataFrame([(1, 2.5, dt.date(2024, 5, 3))], full), target)
+    assert rows(read_table(spark, target), "snapshot_date", "price") == [
+        (dt.date(2024, 5, 1), None), (dt.date(2024, 5, 2), None), (dt.date(2024, 5, 3), 2.5),
+    ]
+    load_days(spark.createDataFrame([(1, 3.5, dt.date(2024, 5, 4))], full), target)
+    assert rows(read_table(spark, target).where("price > 2"), "price") == [(2.5,), (3.5,)]
+
+
+def test_column_of_another_type(spark, tmp_path, rows):
+    target = str(tmp_path / "t")
+    load_days(spark.createDataFrame([(1, 7, dt.date(2024, 5, 1))], "appid long, rank int, snapshot_date date"), target)
+    load_days(spark.createDataFrame([(1, "high", dt.date(2024, 5, 2))], "appid long, rank string, snapshot_date date"), target)
+    table = read_table(spark, target)
+    assert dict(table.dtypes)["rank"] == "string" and rows(table, "rank") == [("7",), ("high",)]
+    load_days(spark.createDataFrame([(1, 9.5, dt.date(2024, 5, 3))], "appid long, rank double, snapshot_date date"), target)
+    assert sorted(map(str, (r[0] for r in read_table(spark, target).select("rank").collect()))) == ["7.0", "9.5", "None"]
+
+
+def test_merge_refuses_repeated_keys(spark, tmp_path):
+    twice = spark.createDataFrame([(1, dt.date(2024, 5, 1)), (1, dt.date(2024, 5, 1))], "appid long, snapshot_date date")
+    with pytest.raises(ValueError, match="repeat a key"):
+        merge_rows(twice, str(tmp_path / "t"))
