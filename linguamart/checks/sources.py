@@ -1,9 +1,10 @@
 """Dated files: written to the shared scratch folder from a whole table, then read back by mode."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from ..session import scratch_dir
-from ..sources import select_source, with_file_date, write_days
+from ..sources import read_bronze_csv, register_sources, select_source, with_file_date, write_days
 from .registry import query, table
 
 
@@ -38,3 +39,37 @@ def source_date(spark, sf_dir):
 def file_date(spark, sf_dir):
     dated = with_file_date(select_source(spark, _dated_orders(spark, sf_dir)), out="file_date")
     return dated.select("o_orderkey", "file_date", F.lit("2024-05-01").cast("date").alias("ingestion_date"))
+
+
+@query("q_register_sources", f"""
+SELECT 'store' AS side, o_orderkey, snapshot_date FROM ({_MONTHS}) UNION ALL
+SELECT 'popularity', o_orderkey, snapshot_date FROM ({_MONTHS}) WHERE snapshot_date > DATE '1996-06-01'""")
+def registered(spark, sf_dir):
+    """Views over day folders below a dated base path; one of them has a day of its own, and is read from a day on."""
+    base = scratch_dir(spark, "lake-2001-01-01")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.trunc(F.col("o_orderdate").cast("date"), "MM").alias("snapshot_date"))
+    write_days(orders, f"{base}/store", id_col="o_orderkey")
+    write_days(orders.withColumn("ingestion_date", F.col("snapshot_date").cast("string")), f"{base}/popularity", id_col="o_orderkey")
+    views = register_sources(spark, base, tables={"q_store": ("store", ""), "q_popularity": ("popularity", "")})
+    late = views["q_popularity"].where("snapshot_date > DATE'1996-06-01'")
+    sides = {"store": views["q_store"], "popularity": late}
+    first, second = (df.select(F.lit(name).alias("side"), "o_orderkey", "snapshot_date") for name, df in sides.items())
+    return first.union(second)
+
+
+_ORDER_COLUMNS = StructType([
+    StructField("o_orderkey", LongType()), StructField("o_orderstatus", StringType()), StructField("o_totalprice", DoubleType()),
+    StructField("absent", StringType()),
+])
+
+
+@query("q_bronze_csv", """
+SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice END AS o_totalprice, CAST(NULL AS VARCHAR) AS absent FROM orders""")
+def bronze_csv(spark, sf_dir):
+    """CSV files of one folder with two headers, read by column name into one table."""
+    folder = scratch_dir(spark, "orders-csv")
+    orders = table(spark, sf_dir, "orders")
+    even = F.col("o_orderkey") % 2 == 0
+    orders.where(even).select("o_orderkey", "o_totalprice", "o_orderstatus").coalesce(1).write.option("header", True).csv(folder)
+    orders.where(~even).select("o_orderstatus", "o_orderpriority", "o_orderkey").coalesce(1).write.mode("append").option("header", True).csv(folder)
+    return read_bronze_csv(spark, folder, _ORDER_COLUMNS).select(*_ORDER_COLUMNS.fieldNames())
