@@ -14,6 +14,8 @@ from .common import documents, saved
 
 #: Texts with characters beyond these, whose classes no Unicode version changes, are left to the tokenizer as a whole.
 PLAIN = "[^\\x00-\\u024f]"
+#: So are texts with a run of white space of this length: the faster encoder keeps a place for each of its characters, and fails near a million.
+BLANKS = r"(?<![\s\x85\xa0])[\s\x85\xa0]{100000}"
 #: How byte-level BPE of this vocabulary family splits text before merging (a fixed value, as published).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, local_rank long"
@@ -30,7 +32,7 @@ def encoder(path):
     """text -> ids as little-endian 32-bit bytes, those of the tokenizer file. Special tokens' strings are ordinary text.
 
     A second library merges by the file's own vocabulary, in half the time; texts of rarer scripts, whose classes of
-    characters the two might see differently, go through the file's library.
+    characters the two might see differently, and of very long white space go through the file's library.
     """
     import json
 
@@ -46,7 +48,7 @@ def encoder(path):
     byte_of = byte_characters()
     ranks = {bytes(byte_of[c] for c in t): i for t, i in vocabulary["model"]["vocab"].items() if t not in special}
     fast = tiktoken.Encoding("plain", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
-    odd = regex.compile(PLAIN).search
+    odd = regex.compile(f"{PLAIN}|{BLANKS}").search
 
     def encode(text):
         ids = tokenizer.encode(text, add_special_tokens=False).ids if odd(text) else fast.encode_ordinary(text)

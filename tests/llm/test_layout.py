@@ -92,6 +92,14 @@ def test_encoder_equals_tokenizer():
         assert encode(text) == np.asarray(token_ids(text)[:-1], "<u4").tobytes()
 
 
+@pytest.mark.parametrize("blank", [" ", "\n", "\u00a0", " \n"])
+def test_encoder_takes_long_white_space(blank):
+    encode = packing.encoder(PATH)
+    for text in ("a" + blank * 2_000_000 + "b", blank * 2_000_000, "a" + blank * 99_999 + "b"):
+        same = encode(text) == np.asarray(token_ids(text)[:-1], "<u4").tobytes()
+        assert same
+
+
 def test_sharding(spark, frame, odd_rows):
     rows = odd_rows + [(100 + i, prose(i % 50, i)) for i in range(2000)]
     found = jumpshards.shard_documents(frame(rows).repartition(7)).collect()
