@@ -57,7 +57,7 @@ def decontaminate(spark, docs, sf_dir):
 
 def pack(spark, docs, sf_dir):
     """Packs what is left into sequences of at most 2048 tokens: one row per piece."""
-    return packing.pack_documents(docs, tokenizer_path())
+    return packing.pack_documents(docs, tokenizer_path(), special=True)
 
 
 STAGES = [

@@ -28,11 +28,11 @@ def byte_characters():
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def encoder(path):
-    """text -> ids as little-endian 32-bit bytes, those of the tokenizer file. Special tokens' strings are ordinary text.
+def encoder(path, special=False):
+    """text -> ids as little-endian 32-bit bytes, those of the tokenizer file. Special tokens' strings are ordinary text, unless ``special``.
 
     A second library merges by the file's own vocabulary, in half the time; texts of rarer scripts, whose classes of
-    characters the two might see differently, and of very long white space go through the file's library.
+    characters the two might see differently, of very long white space or with a special token go through the file's library.
     """
     import json
 
@@ -43,12 +43,12 @@ def encoder(path):
     with open(path, encoding="utf-8") as file:
         vocabulary = json.load(file)
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    special = {x["content"] for x in vocabulary["added_tokens"]}
+    tokenizer.encode_special_tokens = not special
+    added = {x["content"] for x in vocabulary["added_tokens"]}
     byte_of = byte_characters()
-    ranks = {bytes(byte_of[c] for c in t): i for t, i in vocabulary["model"]["vocab"].items() if t not in special}
+    ranks = {bytes(byte_of[c] for c in t): i for t, i in vocabulary["model"]["vocab"].items() if t not in added}
     fast = tiktoken.Encoding("plain", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
-    odd = regex.compile(f"{PLAIN}|{BLANKS}").search
+    odd = regex.compile("|".join([PLAIN, BLANKS, *(map(regex.escape, sorted(added)) if special else ())])).search
 
     def encode(text):
         ids = tokenizer.encode(text, add_special_tokens=False).ids if odd(text) else fast.encode_ordinary(text)
@@ -57,12 +57,12 @@ def encoder(path):
     return encode
 
 
-def tokenize(docs, tokenizer, size, end_id=0):
+def tokenize(docs, tokenizer, size, end_id=0, special=False):
     """One row per piece: its ids' count and crc32, its input partition and its rank there among pieces of its length."""
     end = np.asarray([end_id], "<u4").tobytes()
 
     def cut(batches):
-        encode, part, ranks = encoder(tokenizer), TaskContext.get().partitionId(), Counter()
+        encode, part, ranks = encoder(tokenizer, special), TaskContext.get().partitionId(), Counter()
         for batch in batches:
             out = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -135,16 +135,17 @@ def _add(rooms, classes, room, first, number):
         classes[room].append((first, number))
 
 
-def pack_documents(docs, tokenizer, size=2048, id_col="doc_id", text_col="text"):
+def pack_documents(docs, tokenizer, size=2048, id_col="doc_id", text_col="text", special=False):
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of every document.
 
+    With ``special`` the string of a special token is its id; without, it is text like any other.
     Only documents of more than ``size`` ids are cut. A null or empty text has one piece, its end id alone. Repeated rows
     and rows without an id are packed like any other. Other columns are not looked at; an empty table gives no row.
     The driver sees one count per length and the plan, both bounded by ``size``; a document's rank within its length is
     the count in earlier input partitions plus its rank in its own, so no length, however frequent, meets in one task.
     """
     spark = docs.sparkSession
-    pieces = saved(tokenize(documents(docs, id_col, text_col), tokenizer, size), "pieces")
+    pieces = saved(tokenize(documents(docs, id_col, text_col), tokenizer, size, special=special), "pieces")
     counts = saved(pieces.groupBy("part", "length").agg(F.count("*").alias("n")), "lengths")
     total = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     plan = np.asarray(sorted(best_fit(total, size)), np.int64).reshape(-1, 5)

@@ -72,7 +72,7 @@ def op6(spark, sf_dir):
 
 @query("op7_best_fit_packing")
 def op7(spark, sf_dir):
-    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), special=True)
 
 
 
