@@ -24,12 +24,12 @@ def quality(spark, docs, sf_dir):
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """Keeps one document of each group that near-duplicate links connect: that of the least id.
+    """Keeps one document of each group that near-duplicate links (a similarity of 0.8 or more) connect: that of the least id.
 
     Documents without a word are no one's duplicate, and stay. Of rows with the same id and text one stays; of a group
     without any id, one of each text.
     """
-    kept = neardup.near_duplicates(docs).where("kept").select("doc_id", "text_hash").distinct()
+    kept = neardup.near_duplicates(docs, share=80).where("kept").select("doc_id", "text_hash").distinct()
     rows = _rows(docs)
     return rows.join(kept, _same(rows, kept), "left_semi").dropDuplicates(["doc_id", "text_hash"]).select("row.*")
 

@@ -1,6 +1,7 @@
 """Near duplicates by an inverted join on the coordinates of min-hash signatures, confirmed on full shingle sets."""
 
 import hashlib
+from math import comb, log
 
 import numpy as np
 import pyarrow as pa
@@ -13,14 +14,30 @@ from .components import components
 WORDS = 5
 #: Minimum hashes of a signature, coordinates that texts are posted under, and minimum hashes joined in each.
 MINIMA, COORDINATES, WIDTH = 128, 64, 8
-#: Minimum hashes that a candidate must have in common, of MINIMA. At a similarity of 0.85 one pair in two million has fewer,
-#: and one in 25,000 has no common coordinate; at 0.9 next to none.
-LEAST_COMMON = 89
+#: The share of pairs right at the linking similarity that may have too few minimum hashes in common (binomial).
+MISSED = 3e-6
 #: Classes that a class is compared with before all pairs between components that are still apart; it changes no result.
 FIRST_TRIES = 4
 SIGNED = "node long, doc_id long, text_hash long, n_shingles long, digest binary, minima array<int>"
 
 
+def least_common(share):
+    """Minimum hashes that a candidate must have in common, of MINIMA, for links at ``share`` percent: 89 at 85, 80 at 80."""
+    p, below = share / 100, 0.0
+    for k in range(MINIMA + 1):
+        below += comb(MINIMA, k) * p ** k * (1 - p) ** (MINIMA - k)
+        if below > MISSED:
+            return k
+    return MINIMA
+
+
+def width(share):
+    """Minimum hashes in a coordinate: WIDTH from 85 on, and fewer below, so that pairs at ``share`` meet as often as at 85."""
+    if share >= 85:
+        return WIDTH
+    return max(1, int(WIDTH * log(0.85) / log(share / 100)))
+
+
 class Signer:
     """Signatures of texts: the least of their shingles under each of MINIMA permutations."""
 
@@ -107,10 +124,10 @@ def confirm(pairs, texts, share):
     return joined.sortWithinPartitions("a").mapInArrow(check, "a long, b long")
 
 
-def coordinates(minima):
-    """The values a signature is posted under: each a hash of its number and of WIDTH minimum hashes, fixed by a seed."""
+def coordinates(minima, size=WIDTH):
+    """The values a signature is posted under: each a hash of its number and of ``size`` minimum hashes, fixed by a seed."""
     rng = np.random.default_rng(64)
-    chosen = [rng.permutation(MINIMA)[:WIDTH].tolist() for _ in range(COORDINATES)]
+    chosen = [rng.permutation(MINIMA)[:size].tolist() for _ in range(COORDINATES)]
     return F.array(*[F.xxhash64(F.lit(i), *[F.get(minima, k) for k in places]) for i, places in enumerate(chosen)])
 
 
@@ -126,7 +143,7 @@ def colliding(pairs, signatures, least):
     return pairs.join(right, "b").join(left, "a").where(in_common(F.col("ma"), F.col("mb")) >= least).select("a", "b")
 
 
-def near_duplicates(docs, share=85, least=LEAST_COMMON, id_col="doc_id", text_col="text"):
+def near_duplicates(docs, share=85, least=None, id_col="doc_id", text_col="text"):
     """doc_id, n_shingles, component_id, kept and text_hash (xxhash64) of every document.
 
     Documents are linked if 100 * intersection >= share * union of their sets of five-word shingles (of all words, where
@@ -136,13 +153,14 @@ def near_duplicates(docs, share=85, least=LEAST_COMMON, id_col="doc_id", text_co
     its value; lists of one class are skipped. A class is first compared with the least ones of its lists, and links merge
     components. Only where a list still holds several components, pairs of classes from different ones follow; pairs
     within one are skipped, since they would add nothing. So a group of copies costs its size, not its square. The common
-    minimum hashes of a pair are counted where its two postings meet; only pairs above the match threshold ``least`` leave
+    minimum hashes of a pair are counted where its two postings meet; only pairs above the match threshold ``least`` (least_common of share) leave
     the list, and are confirmed on their full sets.
 
     A null or empty text, or one of spaces, has no shingle and stands alone. Rows without an id take part; their
     component_id is the least id of others in it, or null (kept: false, or true if the whole component has no id).
     Repeated rows (an id more than once) each have a row. Other columns are not looked at; an empty table gives no row.
     """
+    least = least_common(share) if least is None else least
     rows = documents(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
     signed = saved(sign(rows), "signatures")
     classes = saved(
@@ -150,7 +168,7 @@ def near_duplicates(docs, share=85, least=LEAST_COMMON, id_col="doc_id", text_co
             F.min_by(F.struct("node", "doc_id", "text_hash", "minima"), "node").alias("row"), F.min("doc_id").alias("doc_id"),
         ).select("digest", "doc_id", "row.node", F.struct("row.doc_id", "row.text_hash").alias("at"), "row.minima"), "classes",
     )
-    posted = classes.select("node", F.explode(coordinates(F.col("minima"))).alias("value"))
+    posted = classes.select("node", F.explode(coordinates(F.col("minima"), width(share))).alias("value"))
     lists = posted.groupBy("value").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last")
     listed = saved(posted.join(lists.select("value", "pivot"), "value"), "postings")
     # Only texts that meet another in a list are needed from here on.

@@ -4,7 +4,7 @@ import pytest
 from llm_texts import prose
 
 import corpus_pipeline
-from linguamart.llm import common
+from linguamart.llm import common, neardup
 from linguamart.llm.queries import QUERIES
 
 
@@ -40,6 +40,20 @@ def test_stages(spark, folder):
     assert {r["doc_id"] for r in packed.collect()} == set(seen["decontaminate"])
 
 
+def test_near_duplicates_from_four_fifths(spark, frame):
+    """Six words of 300 changed: 266 of 326 shingles are common, 0.816."""
+    words = prose(300, 41).split()
+    for k in range(6):
+        words[20 + 45 * k] = f"new{k}"
+    docs = frame([(1, prose(300, 41)), (2, " ".join(words)), (3, prose(300, 42))])
+    assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, None).collect()} == {1, 3}
+
+
+def test_threshold_follows_from_share():
+    assert (neardup.least_common(85), neardup.width(85)) == (89, 8)
+    assert (neardup.least_common(80), neardup.width(80)) == (80, 5)
+
+
 def test_stages_of_nothing(spark, folder):
     docs = common.table(spark, folder, "documents").limit(0)
     for name, stage in corpus_pipeline.STAGES:
