@@ -1,11 +1,16 @@
 """Benchmark decontamination by spaced seeds: hits of fixed masks, confirmed by the overlap around them."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import saved
 
-#: 1 counts, 0 is ignored. Each has six words that count; a substitution every third, fourth or so word leaves one of them whole.
-MASKS = ("111111", "1110111", "11011011")
+#: 1 counts, 0 is ignored. By enumeration, every overlap that holds leaves one of them whole, for items of 7 words and more.
+MASKS = ("1111", "11011")
+#: The same for items of fewer words, by their number.
+SHORT_MASKS = {1: ("1",), 2: ("11",), 3: ("111",), 4: ("1111",), 5: ("111", "11011"), 6: ("111", "11011")}
 #: Bits of the filter that spares most words of the corpus the join. Its size is fixed; more seeds only make it let more through.
 FILTER_BITS = 1 << 23
 #: An overlap is judged on this many aligned words, or on the whole item if that is shorter, and holds at this share of equal ones.
@@ -26,9 +31,9 @@ def seeds(rows, masks=MASKS):
     at = rows.select("*", F.posexplode_outer("words").alias("at", "_word"))
     n = F.size("words")
     hashes = []
-    for i, mask in enumerate(masks):
+    for mask in masks:
         chosen = [F.get("words", F.col("at") + k) for k, c in enumerate(mask) if c == "1"]
-        hashes.append(F.when(F.col("at") + len(mask) <= n, F.xxhash64(F.lit(i), *chosen)))
+        hashes.append(F.when(F.col("at") + len(mask) <= n, F.xxhash64(F.lit(mask), *chosen)))
     rest = [c for c in rows.columns if c != "words"]
     return at.select(*rest, "at", F.explode_outer(F.array(*hashes)).alias("seed")).where("seed is not null")
 
@@ -57,6 +62,11 @@ def maybe(seed, bits_of, bits=FILTER_BITS):
     return held[0] & held[1]
 
 
+def masks_of(lengths, masks=MASKS, short=SHORT_MASKS):
+    """The masks that items of these numbers of words need."""
+    return tuple(dict.fromkeys(m for n in sorted(lengths, reverse=True) for m in short.get(n, masks if n else ())))
+
+
 def contaminated(docs, benchmark, masks=MASKS, overlap=OVERLAP, share=SHARE, id_col="doc_id", text_col="text", item_col="item_id", item_text="text"):
     """(text_hash, doc_id, item_id, n_overlap, n_equal) of documents that hold a benchmark item or a part of it.
 
@@ -69,7 +79,8 @@ def contaminated(docs, benchmark, masks=MASKS, overlap=OVERLAP, share=SHARE, id_
     way fits the sizes. Hits of one document, item and place become one before texts are looked at, so a passage of very
     many documents costs each of them a row.
 
-    Items of fewer words than a mask has places are not looked for. Null and empty texts have no words. Rows without
+    Items of fewer than 7 words have shorter masks, which only run where there are such items; the driver learns which of
+    their lengths occur. Null and empty texts have no words. Rows without
     doc_id or item_id take part with a null id. Repeated rows of a document count once, items with equal ids as one.
     Other columns are not looked at; if either table is empty, so is the result.
     """
@@ -79,7 +90,12 @@ def contaminated(docs, benchmark, masks=MASKS, overlap=OVERLAP, share=SHARE, id_
     text = F.coalesce(F.col(f"`{item_text}`").cast("string"), F.lit(""))
     items = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("item_id"), F.xxhash64(text).alias("item_hash"), words(text).alias("words"))
     items = items.dropDuplicates(["item_id", "item_hash"])
-    wanted = saved(seeds(items, masks).select("seed", "item_id", "item_hash", F.col("at").alias("item_at")).distinct(), "seeds")
+    n = F.least(F.size("words"), F.lit(7))
+    lengths = sorted(r["n"] for r in items.select(n.alias("n")).distinct().collect()) or [0]
+    # An item is posted under the masks of its own length only: those of a single word would make all items' words seeds.
+    posted = reduce(DataFrame.union, [seeds(items.where(n == k), masks_of([k], masks) or masks) for k in lengths])
+    masks = masks_of(lengths, masks) or masks
+    wanted = saved(posted.select("seed", "item_id", "item_hash", F.col("at").alias("item_at")).distinct(), "seeds")
     hits = seeds(rows, masks).where(maybe(F.col("seed"), seed_filter(wanted).scalar())).join(wanted, "seed")
     hits = saved(hits.select("doc_id", "text_hash", "item_id", "item_hash", (F.col("at") - F.col("item_at")).alias("shift")).distinct(), "hits")
     item_words = items.select(F.col("item_id").alias("_item"), F.col("item_hash").alias("_item_hash"), F.col("words").alias("item_words"))

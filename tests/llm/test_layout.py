@@ -1,5 +1,7 @@
 """Packing, sharding, URL rules, HTML extraction and decontamination."""
 
+import itertools
+import math
 import random
 import re
 import zlib
@@ -226,6 +228,26 @@ def brute_leaks(docs, items):
     return out
 
 
+@pytest.mark.parametrize("size", range(1, 21))
+def test_masks_leave_no_overlap_out(size):
+    """Every choice of substituted words within the share leaves a mask whole at some place."""
+    places = [{at + i for i, c in enumerate(m) if c == "1"} for m in leaks.masks_of([size]) for at in range(size - len(m) + 1)]
+    for gone in itertools.combinations(range(size), size - math.ceil(leaks.SHARE * size)):
+        assert any(p.isdisjoint(gone) for p in places), gone
+
+
+def test_substitutions_that_six_words_miss(spark, frame):
+    items = [(1, prose(15, 700)), (2, prose(20, 701)), (3, prose(6, 702)), (4, prose(3, 703))]
+
+    def without(text, places):
+        return " ".join("xx" if i in places else w for i, w in enumerate(text.split()))
+
+    changed = [without(items[0][1], (2, 7, 9)), without(items[1][1], (5, 7, 13, 15)), without(items[2][1], (1,)), items[3][1]]
+    docs = frame([(10 + i, f"aa bb {text} cc dd") for i, text in enumerate(changed)])
+    found = leaks.contaminated(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r["doc_id"], r["item_id"]) for r in found.collect()) == [(10 + i, 1 + i) for i in range(4)]
+
+
 def test_decontamination(spark, frame, odd_rows):
     items = [(i, prose(16 + 3 * i, 500 + i)) for i in range(10)] + [(10, None), (11, ""), (12, "ka ban"), (None, prose(30, 600)), (0, prose(16, 500))]
 
