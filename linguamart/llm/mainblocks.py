@@ -17,6 +17,8 @@ NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\
 #: Elements whose content is not markup; it ends at their end tag only.
 RAW = {x: re.compile(rf"</{x}\b[^>]*(?:>|\Z)", re.I) for x in ("script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp")}
 DROPPED = {"head", "nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "select", "svg", "canvas", "object", "audio", "video"}
+#: Of these, those that may be around a whole page: a form, or a head without an end tag.
+WRAPPERS = {"head", "form"}
 #: Elements within which a header or footer belongs to the text's own parts.
 MAIN = {"article", "main"}
 BLOCKS = {
@@ -25,32 +27,33 @@ BLOCKS = {
     "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 } | DROPPED
 EMPTY = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-#: Words of a class, id or role that name what is not the article.
+#: Whole names in a class, id or role that name what is not the article.
 OTHER = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|respond|replies|consent|cookies?|disqus|footer|masthead|menu|modal|nav|navbar|navigation|"
+    r"(?:ads?|advert\w*|banner|breadcrumbs?|comments?|respond|replies|consent|cookies?|disqus|footer|masthead|menu|modal|nav|navbar|navigation|"
     r"newsletter|notice|notification|alert|pagination|popup|promo\w*|related|recommend\w*|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|"
-    r"complementary|contentinfo|search|widget)(?:$|[\s_-]|\d)", re.I,
+    r"complementary|contentinfo|search|widget)\d*", re.I,
 )
 
 
 def lines_of(html):
-    """(text, share of it in links, in an article or main element) of each block with text; dropped elements leave an empty line."""
-    lines, parts, links, open_tags = [], [], [], []
-    dropped = main = link = 0
+    """(text, share of it in links, in an article or main element, number of the innermost element named to be dropped or -1) of
+    each block with text; and those elements: [number of the one around it or -1, may hold the page, holds an article or main]."""
+    lines, parts, links, open_tags, named, around = [], [], [], [], [], [-1]
+    main = link = 0
     at, end = 0, len(html)
 
     def close():
         text = " ".join(unescape("".join(parts)).split())
         linked = sum(map(len, links))
         if text:
-            lines.append((text, linked / max(1, sum(map(len, parts))), main > 0))
+            lines.append((text, linked / max(1, sum(map(len, parts))), main > 0, around[-1]))
         parts.clear()
         links.clear()
 
     while at < end:
         tag = TOKEN.search(html, at)
         stop = tag.start() if tag else end
-        if stop > at and not dropped:
+        if stop > at:
             parts.append(html[at:stop])
             if link:
                 links.append(html[at:stop])
@@ -60,7 +63,7 @@ def lines_of(html):
         if not tag[2]:
             continue
         name, closing = tag[2].lower(), bool(tag[1])
-        if name in BLOCKS and not dropped:
+        if name in BLOCKS:
             close()
         if not closing and name in RAW:
             found = RAW[name].search(html, at)
@@ -71,59 +74,79 @@ def lines_of(html):
             if places:
                 gone = open_tags[places[0]:]
                 del open_tags[places[0]:]
-                was = dropped
-                dropped -= sum(x[1] for x in gone)
+                ended = sum(x[1] for x in gone)
+                if ended:
+                    close()
+                    del around[-ended:]
                 main -= sum(x[0] in MAIN for x in gone)
                 link -= sum(x[0] == "a" for x in gone)
-                if was and not dropped:
-                    lines.append(("", 0.0, main > 0))
         elif name not in EMPTY and not tag[0].endswith("/>"):
-            named = NAMES.search(tag[3] or "")
-            other = name not in ("html", "body") and name not in MAIN and any(OTHER.search(x[0] or x[1] or x[2]) for x in NAMES.findall(tag[3] or "")) if named else False
+            names = [y for x in NAMES.findall(tag[3] or "") for y in (x[0] or x[1] or x[2]).split()]
+            other = name not in ("html", "body") and name not in MAIN and any(map(OTHER.fullmatch, names))
             drop = other or name in DROPPED
             if name in ("p", "li", "td", "th", "tr", "option", "dt", "dd") and open_tags and open_tags[-1][0] == name and not open_tags[-1][1]:
                 open_tags.pop()
-            if drop and not dropped:
+            if drop:
                 close()
+                named.append([around[-1], name not in DROPPED or name in WRAPPERS, False])
+                around.append(len(named) - 1)
             open_tags.append((name, drop))
-            dropped += drop
-            main += name in MAIN
+            if name in MAIN:
+                main += 1
+                if around[-1] >= 0:
+                    named[around[-1]][2] = True
             link += name == "a"
-    if not dropped:
-        close()
-    return lines
+    close()
+    return lines, named
+
+
+def dropped(lines, named):
+    """Whether each element of ``named`` goes. One that holds most of the page's text, or the page's only articles, stays."""
+    sizes, holds = [0] * len(named), [x[2] for x in named]
+    for text, _, _, k in lines:
+        if k >= 0:
+            sizes[k] += len(text)
+    for k in range(len(named) - 1, -1, -1):
+        around = named[k][0]
+        if around >= 0:
+            sizes[around] += sizes[k]
+            holds[around] |= holds[k]
+    total, elsewhere = sum(len(x[0]) for x in lines), any(x[2] and x[3] < 0 for x in lines)
+    gone = []
+    for k, (around, wraps, _) in enumerate(named):
+        stays = wraps and 2 * sizes[k] > total or holds[k] and not elsewhere
+        gone.append(not stays or around >= 0 and gone[around])
+    return gone
 
 
 def main_text(html, window=LINES, links=LINKS):
-    """The text between the surge and the dive of the line-block distribution, blocks joined by one space."""
-    lines = lines_of(html or "")
+    """The text between the first surge and the last dive of the line-block distribution, blocks joined by one space."""
+    lines, named = lines_of(html or "")
     if not lines:
         return ""
-    inside = any(m and t for t, _, m in lines)
-    length = np.array([len(t) if share <= links and (m or not inside) else 0 for t, share, m in lines])
+    gone = dropped(lines, named)
+    stays = [k < 0 or not gone[k] for _, _, _, k in lines]
+    inside = any(m and s for (_, _, m, _), s in zip(lines, stays))
+    length = np.array([len(t) if s and (m if inside else share <= links) else 0 for (t, share, m, _), s in zip(lines, stays)])
     if not length.any():
         return ""
     # Block i sums the lines i to i + window - 1. A surge is where blocks begin to hold text, a dive where they end.
     blocks = np.convolve(length, np.ones(window, int))[window - 1:]
     full = np.concatenate([[False], blocks > 0, [False]])
     surges, dives = np.flatnonzero(full[1:] & ~full[:-1]), np.flatnonzero(~full[1:] & full[:-1])
-    total = np.concatenate([[0], np.cumsum(length)])
-    if inside:
-        # The page itself says where its article is: from its first surge to its last dive.
-        first, last = surges[0], dives[-1]
-    else:
-        best = int(np.argmax(total[np.minimum(dives, len(length))] - total[surges]))
-        first, last = surges[best], dives[best]
-    return " ".join(t for (t, _, _), n in zip(lines[first:last], length[first:last]) if n)
+    # A gap, however long, may lie within the article; lines without text are left out one by one.
+    first, last = surges[0], dives[-1] + window - 1
+    return " ".join(x[0] for x, n in zip(lines[first:last], length[first:last]) if n)
 
 
 def extract(pages, id_col="page_id", url_col="url", html_col="html"):
     """page_id, url, text, n_chars (code points) of every page.
 
     Markup is stripped to lines, one per block; scripts, styles, forms, menus, headers, footers, sidebars, notices, adverts
-    and comments, known by element or by class, id or role, and lines mostly of links count as lines without text. Lengths are
-    summed over sliding windows of LINES lines; text is kept from where the sums rise from 0 (surge) to where they fall
-    back to it (dive), of several such stretches the longest, or all inside article or main elements if there are any.
+    and comments, known by element or by a whole name in class, id or role, count as lines without text, unless such an element
+    holds most of the page's text or its only articles. So do lines mostly of links outside article and main elements. Lengths
+    are summed over sliding windows of LINES lines; text is kept from where the sums first rise from 0 (surge) to where they
+    last fall back to it (dive), all stretches of it; inside article or main elements only, if there are any.
 
     A null or empty page, or one without text, gives an empty text. A page cut short is read as far as it goes. Null ids
     and urls stay null, repeated rows stay, other columns are not looked at; an empty table gives no row. Pages are read

@@ -205,6 +205,19 @@ def test_main_text():
     assert mainblocks.main_text(PAGE % f"<article>{long}</article>") == re.sub(r"</?p>(?:<p>)?", " ", long).strip()
 
 
+def test_main_text_drops_nothing_else():
+    body = "<h1>Head</h1><p>One two three.</p><h2 id='related-work'>Related work</h2><section id='search-methods'><p>Four five.</p></section>"
+    want = "Head One two three. Related work Four five."
+    for page in ("<div class='content with-sidebar'>%s</div>", "<div class='elementor-widget'><article>%s</article></div>", "<div class='widget'><main>%s</main></div>",
+                 "<div class='widget'>%s</div><div class='ad'>Buy</div>", "<form>%s</form>", "<head><title>T</title><div>%s</div>", "<nav><article>%s</article></nav>"):
+        assert mainblocks.main_text(page % body) == want, page
+    assert mainblocks.main_text("<article><p>a b</p><p><a href=x>all of it linked</a></p></article>") == "a b all of it linked"
+    adverts = "<div class='ad'>Buy</div>" * 4
+    assert mainblocks.main_text(f"<p>{prose(9, 1)}</p>{adverts}<p>{prose(8, 2)}</p>{adverts}<p>{prose(9, 3)}</p>") == f"{prose(9, 1)} {prose(8, 2)} {prose(9, 3)}"
+    # Comments in articles of their own go where the page has an article besides.
+    assert mainblocks.main_text(f"<article>{prose(30, 1)}</article><div id=comments><article>No.</article></div>") == prose(30, 1)
+
+
 def test_extract(spark):
     rows = [(1, "u", PAGE % "<article><p>x y</p></article>"), (None, None, None), (2, "v", ""), (1, "u", PAGE % "<article><p>x y</p></article>")]
     df = spark.createDataFrame([(*r, "t", 5) for r in rows], "page_id long, url string, html string, text string, n_chars int")
