@@ -70,6 +70,6 @@ def bronze_csv(spark, sf_dir):
     folder = scratch_dir(spark, "orders-csv")
     orders = table(spark, sf_dir, "orders")
     even = F.col("o_orderkey") % 2 == 0
-    orders.where(even).select("o_orderkey", "o_totalprice", "o_orderstatus").coalesce(1).write.option("header", True).csv(folder)
-    orders.where(~even).select("o_orderstatus", "o_orderpriority", "o_orderkey").coalesce(1).write.mode("append").option("header", True).csv(folder)
-    return read_bronze_csv(spark, folder, _ORDER_COLUMNS).select(*_ORDER_COLUMNS.fieldNames())
+    orders.where(even).select("o_orderkey", "o_totalprice", "o_orderstatus").write.option("header", True).csv(folder)
+    orders.where(~even).select("o_orderstatus", "o_orderpriority", "o_orderkey").write.mode("append").option("header", True).csv(folder)
+    return read_bronze_csv(spark, folder, _ORDER_COLUMNS, multi_line=False).select(*_ORDER_COLUMNS.fieldNames())

@@ -215,3 +215,14 @@ def test_dates_of_pandas_files(spark, tmp_path, rows):
     pq.write_table(pa.Table.from_pandas(frame, preserve_index=False), folder / "store.parquet", version="2.6", coerce_timestamps=None)
     view = register_sources(spark, str(tmp_path), tables={"store_raw": ("store", "")})["store_raw"]
     assert [str(r[0]) for r in view.orderBy("appid").select(F.col("release_date").cast("date")).collect()] == ["2013-07-01", "None"]
+
+
+def test_bronze_csv_query_keeps_parts(spark, monkeypatch):
+    from linguamart.checks import sources
+
+    orders = spark.range(0, 80, 1, 4).selectExpr("id AS o_orderkey", "2.5D AS o_totalprice", "'O' AS o_orderstatus", "'1-URGENT' AS o_orderpriority")
+    monkeypatch.setattr(sources, "table", lambda *args: orders)
+    df = sources.bronze_csv(spark, None)
+    assert len(df.inputFiles()) == 8
+    want = [(i, "O", 2.5 if i % 2 == 0 else None, None) for i in range(80)]
+    assert sorted(map(tuple, df.collect())) == want
