@@ -15,7 +15,8 @@ from .common import documents, saved
 #: Texts with characters beyond these, whose classes no Unicode version changes, are left to the tokenizer as a whole.
 PLAIN = "[^\\x00-\\u024f]"
 #: So are texts with a run of white space of this length: the faster encoder keeps a place for each of its characters, and fails near a million.
-BLANKS = r"(?<![\s\x85\xa0])[\s\x85\xa0]{100000}"
+LONG = 100_000
+BLANKS = rf"(?<![\s\x85\xa0])[\s\x85\xa0]{{{LONG}}}"
 #: How byte-level BPE of this vocabulary family splits text before merging (a fixed value, as published).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, local_rank long"
@@ -48,7 +49,10 @@ def encoder(path, special=False):
     byte_of = byte_characters()
     ranks = {bytes(byte_of[c] for c in t): i for t, i in vocabulary["model"]["vocab"].items() if t not in added}
     fast = tiktoken.Encoding("plain", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
-    odd = regex.compile("|".join([PLAIN, BLANKS, *(map(regex.escape, sorted(added)) if special else ())])).search
+    rare, blanks, strings = regex.compile(PLAIN).search, regex.compile(BLANKS).search, sorted(added) if special else []
+
+    def odd(text):
+        return rare(text) or len(text) >= LONG and blanks(text) or any(x in text for x in strings)
 
     def encode(text):
         ids = tokenizer.encode(text, add_special_tokens=False).ids if odd(text) else fast.encode_ordinary(text)
