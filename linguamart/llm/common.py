@@ -67,9 +67,12 @@ def lower(data):
     return np.where(upper, data + np.uint8(32), data)
 
 
-def words_of(data, offsets):
-    """Start and end byte of every word, and for each text the place of its first word (one more at the end)."""
-    inside = ~SPACES[data]
+def words_of(data, offsets, inside=None):
+    """Start and end byte of every word, and for each text the place of its first word (one more at the end).
+
+    ``inside`` marks the bytes that words are made of: all but white space, if not given.
+    """
+    inside = ~SPACES[data] if inside is None else inside
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     before = np.empty_like(inside)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import jumpshards, leaks, lzprint, mainblocks, maxent, neardup, packing, ranking, repeats, urlrules
+from . import jumpshards, leaks, lexsearch, lzprint, mainblocks, maxent, neardup, packing, ranking, repeats, urlrules, variants, warczip
 from .common import table
 
 QUERIES, ORACLES = {}, {}
@@ -141,3 +141,73 @@ def op9(spark, sf_dir):
 @query("op10_jump_sharding")
 def op10(spark, sf_dir):
     return jumpshards.shard_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op11_zip_warc", """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+sized AS (SELECT page_id, octet_length(encode(payload))::BIGINT AS payload_bytes, sha256(payload) AS payload_digest FROM payloads),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS least FROM sized)
+SELECT page_id, payload_bytes, payload_digest, url AS target_uri,
+  CASE WHEN payload_bytes >= 100 AND page_id <> least THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> least THEN least END AS refers_to
+FROM firsts JOIN pages USING (page_id)""")
+def op11(spark, sf_dir):
+    return warczip.archive_pages(table(spark, sf_dir, "pages"))
+
+
+_TERMS = f"""unnest([t FOR t IN string_split_regex(translate(coalesce(text, ''), '{urlrules.ABC}', '{urlrules.LOWER}'), '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') IF t <> '']) AS term"""
+
+
+@query("op12_hybrid_search", f"""
+WITH words AS (SELECT doc_id, {_TERMS} FROM documents),
+postings AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+lengths AS (SELECT doc_id, count(*) AS n FROM words GROUP BY ALL),
+totals AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM lengths),
+worth AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), totals
+), asked AS (SELECT item_id, term, count(*) AS q FROM (SELECT item_id, {_TERMS} FROM benchmark) GROUP BY ALL),
+scores AS (
+  SELECT item_id, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN worth USING (term) JOIN postings USING (term) JOIN lengths USING (doc_id), totals GROUP BY ALL
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20""")
+def op12(spark, sf_dir):
+    return lexsearch.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# The crc32 of a text goes byte by byte through a table of 256 values, itself worked out bit by bit.
+@query("op13_sorted_variants", f"""
+WITH RECURSIVE bits AS (
+  SELECT range AS i, range AS v, 0 AS k FROM range(256)
+  UNION ALL SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM bits WHERE k < 8
+), tab AS (SELECT list(v ORDER BY i) AS tab FROM bits WHERE k = 8),
+texts AS (SELECT doc_id, translate(coalesce(text, ''), '{urlrules.ABC}', '{urlrules.LOWER}') AS text FROM documents),
+runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM texts)
+  WHERE length(run) >= 7 GROUP BY ALL
+), coded AS (SELECT run, n, hex(encode(doc_id || ':' || run)) AS code FROM runs),
+hashed AS (
+  SELECT run, n, xor(list_reduce(
+    list_transform(range(0, length(code) // 2), lambda i: ('0x' || substr(code, 2 * i::INT + 1, 2))::BIGINT),
+    lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295::BIGINT) AS h
+  FROM coded, tab
+), cut AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM hashed
+), words AS (SELECT word, sum(n)::BIGINT AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+shorn AS (SELECT word, n, i, substr(word, 1, i::INT) || substr(word, i::INT + 2) AS rest FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM shorn a JOIN shorn b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM shorn a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM shorn a JOIN words b ON a.rest = b.word
+), best AS (SELECT word, count(*) AS n_near, max(near_n) AS form_n, arg_min(near, (-near_n, near)) AS form FROM pairs GROUP BY word),
+forms AS (
+  SELECT word, CASE WHEN form_n >= 10 * n THEN form END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * n THEN form_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), steps AS (
+  SELECT word, word AS root, 0 AS k FROM forms
+  UNION ALL SELECT s.word, f.form, k + 1 FROM steps s JOIN forms f ON s.root = f.word WHERE f.form IS NOT NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN (SELECT word, arg_max(root, k) AS root FROM steps GROUP BY word) USING (word)""")
+def op13(spark, sf_dir):
+    return variants.spelling_groups(table(spark, sf_dir, "documents"))

@@ -62,5 +62,5 @@ def test_stages_of_nothing(spark, folder):
 
 
 def test_registered():
-    assert sorted(int(x[2:].split("_")[0]) for x in QUERIES) == list(range(1, 11))
+    assert sorted(int(x[2:].split("_")[0]) for x in QUERIES) == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
