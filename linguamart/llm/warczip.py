@@ -111,14 +111,14 @@ def write_packages(pages, folder=None, date="1970-01-01T00:00:00Z", least=LEAST_
 
     A package is named when a task begins it, and only those of tasks that ended are returned, from a written table: what
     a lost or repeated task leaves behind is never read. Rows meet what they revisit by (digest, input partition), so that
-    no task gets more of a group of equal pages than one partition of the input holds.
+    no task gets more of a group of equal pages than one partition of the input holds. ``pages`` is read twice and has to
+    come in the same partitions both times, as files do; a result of random steps should be written first.
     """
     spark = pages.sparkSession
     folder = folder or scratch_dir(spark, "packages")
     payload = F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit(""))
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumns({"digest": F.sha2("payload", 256), "size": F.octet_length("payload").cast("long"), "place": F.monotonically_increasing_id(), "part": F.spark_partition_id()})
-    rows = saved(rows, "payloads")
     own = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "place")
     parts = rows.where(F.col("size") >= least).groupBy("digest", "part").agg(F.min(own).alias("first"), F.count("*").alias("n"))
     firsts = parts.groupBy("digest").agg(F.min("first").alias("first"), F.sum("n").alias("n")).where("n > 1").select("digest", "first")
