@@ -35,138 +35,181 @@ def count_words(docs, every=EVERY, least_length=LEAST_LENGTH, least_count=LEAST_
 
 
 def halves(words):
-    """``words`` (word, n) under every key that a word one edit away may share: key, shorter, side, word, n.
+    """``words`` (word, n) under every key that a word one edit away may share: key, depth, shorter, side, form, n.
 
     Of two words one edit apart, the shorter of ``shorter`` characters, either the first shorter / 2 are the same, or
     the last shorter - shorter / 2. So each word stands in four lists: as one of the shorter and as the longer one, by its
-    beginning and by its end.
+    beginning and by its end. ``form`` is the word, spelled backwards in lists by the end, so that the words of every
+    list share their first ``depth`` characters.
     """
     length = F.length("word")
-    shorter = F.explode(F.array(length, length - 1)).alias("shorter")
-    half = (F.col("shorter") / 2).cast("int")
-    sides = F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), F.substring("word", F.lit(1), half).alias("part")),
-        F.struct(F.lit(1).alias("side"), F.substring("word", length - (F.col("shorter") - half) + 1, length).alias("part")),
-    )).alias("s")
-    rows = words.select("word", "n", shorter).select("word", "n", "shorter", sides)
-    return rows.select(F.concat_ws(":", "s.side", "shorter", "s.part").alias("key"), "shorter", "s.side", "word", "n")
-
-
-def scan(words, asked):
-    """(place in ``words``, place in ``words``) of pairs one edit apart, the second one of ``asked`` (a boolean array).
-
-    ``words`` are Latin-1 bytes in sorted order. They are read one after the other. Of each character of the word at hand
-    a row of the edit matrix against every asked word is kept, the three cells around the diagonal, for those asked words
-    that are still within one edit. The next word goes on from the row at the prefix it shares with this one; if no asked word is within
-    one edit of a prefix, all words with that prefix are passed over.
+    rows = words.select("word", "n", F.explode(F.array(length, length - 1)).alias("shorter"))
+    half = F.floor(F.col("shorter") / 2).cast("int")
+    sides = F.array(
+        F.struct(F.lit(0).alias("side"), F.col("word").alias("form"), half.alias("depth")),
+        F.struct(F.lit(1).alias("side"), F.reverse("word").alias("form"), (F.col("shorter") - half).alias("depth")),
+    )
+    rows = rows.select("n", "shorter", F.inline(sides))
+    key = F.concat_ws(":", "side", "shorter", F.substring("form", F.lit(1), F.col("depth")))
+    return rows.select(key.alias("key"), "depth", "shorter", "side", "form", "n")
+
+
+def scan(words, lists, depths, asked):
+    """(place of the list word, place of the asked word) of all pairs of one list that are one edit apart.
+
+    ``words`` are Latin-1 bytes, list by list (``lists``: the number of each word's list, rising), in sorted order within a list, whose
+    words share their first ``depths`` characters. All lists are read together, a character further at each step. A
+    run of neighbours that share that many characters (their longest common prefixes tell) has one row of the edit matrix against
+    each asked word of its list: the three cells around the diagonal, worked out once for all words of the run. Where all three are
+    over one edit, the run is passed over for that asked word, with all words in it.
     """
     n = len(words)
     lengths = np.fromiter(map(len, words), np.int64, n)
-    width = int(lengths.max()) + 4
+    width = int(lengths.max(initial=0)) + 3
     table = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(n, width)
-    # Characters that a word shares with the one before it.
-    shared = np.r_[0, np.argmin(table[1:] == table[:-1], axis=1)].tolist()
-    queries = np.flatnonzero(asked)
-    start = np.full(len(queries), FAR, np.int8)
-    # Cells of query prefixes one shorter than, as long as and one longer than the list word's prefix.
-    rows = [(queries, start, np.zeros(len(queries), np.int8), np.ones(len(queries), np.int8))]
-    found, at, sizes = [], 0, lengths.tolist()
-    while at < n:
-        word, depth = words[at], len(rows) - 1
-        while depth < len(word):
-            who, left, mid, right = rows[depth]
-            c = word[depth]
-            if depth:
-                new_left = np.minimum(left + (table[who, depth - 1] != c), mid + 1)
-            else:
-                new_left = mid + 1
-            new_mid = np.minimum(np.minimum(mid + (table[who, depth] != c), right + 1), new_left + 1)
-            new_right = np.minimum(right + (table[who, depth + 1] != c), new_mid + 1)
-            near = np.minimum(np.minimum(new_left, new_mid), new_right) < FAR
-            if not near.all():
-                who, new_left, new_mid, new_right = who[near], new_left[near], new_mid[near], new_right[near]
-            depth += 1
-            if not len(who):
+    # Characters that a word shares with the one before it; -1 at the first word of a list.
+    shared = np.full(n, -1, np.int64)
+    shared[1:] = np.where(lists[1:] == lists[:-1], np.argmin(np.c_[table[1:] == table[:-1], np.zeros(max(0, n - 1), bool)], axis=1), -1)
+    firsts = np.flatnonzero(shared < 0)
+    ends = np.r_[firsts[1:], n]
+    found = []
+    # Runs at hand (first word, end) and, for each run and asked word near to it, the cells of prefixes one shorter, as long, one longer.
+    starts, stops, run = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    who, left, mid, right = np.zeros(0, np.int64), *(np.zeros(0, np.int8),) * 3
+    of_list = np.repeat(np.arange(len(firsts)), ends - firsts)
+    for depth in range(int(depths[firsts].min(initial=width)), width - 1):
+        # Lists whose common beginning ends here come in: every asked word is as far as it.
+        new = np.flatnonzero(depths[firsts] == depth)
+        if len(new):
+            place = np.full(len(firsts), -1, np.int64)
+            place[new] = len(starts) + np.arange(len(new))
+            own = np.flatnonzero(asked & (place[of_list] >= 0))
+            starts, stops = np.r_[starts, firsts[new]], np.r_[stops, ends[new]]
+            run, who = np.r_[run, place[of_list[own]]], np.r_[who, own]
+            one = np.ones(len(own), np.int8)
+            left, mid, right = np.r_[left, one], np.r_[mid, one - one], np.r_[right, one]
+        if not len(who):
+            if not (depths[firsts] > depth).any():
                 break
-            rows.append((who, new_left, new_mid, new_right))
-        else:
-            who, left, mid, right = rows[depth]
-            apart = lengths[who] - depth
-            cell = np.where(apart == 0, mid, np.where(apart == 1, right, np.where(apart == -1, left, FAR)))
-            hit = who[cell == 1]
-            if len(hit):
-                found.append((np.full(len(hit), at), hit))
-        # Go on at the next word that leaves the prefix, of ``depth`` characters, that no asked word is near to.
-        at += 1
-        keep = len(rows) - 1
-        if depth > keep:
-            while at < n and shared[at] >= depth:
-                at += 1
-        if at < n:
-            del rows[min(keep, shared[at]) + 1:]
+            continue
+        # A run begins with the word that ends here, if there is one.
+        whole = lengths[starts] == depth
+        apart = lengths[who] - depth
+        cell = np.where(apart == 0, mid, np.where(apart == 1, right, np.where(apart == -1, left, FAR)))
+        hit = np.flatnonzero(whole[run] & (cell == 1))
+        found.append((starts[run[hit]], who[hit]))
+        starts = starts + whole
+        # The runs that share one character more.
+        cuts = np.flatnonzero(shared == depth)
+        low, high = np.searchsorted(cuts, starts, "right"), np.searchsorted(cuts, stops)
+        some = starts < stops
+        parts = np.where(some, np.maximum(high - low, 0) + 1, 0)
+        first = np.r_[0, np.cumsum(parts)]
+        rank = np.arange(first[-1]) - np.repeat(first[:-1], parts)
+        parent = np.repeat(np.arange(len(starts)), parts)
+        begin = np.where(rank == 0, starts[parent], cuts[np.clip(low[parent] + rank - 1, 0, max(0, len(cuts) - 1))] if len(cuts) else starts[parent])
+        last = np.r_[begin[1:], 0] if len(begin) else begin
+        finish = np.where(rank == parts[parent] - 1, stops[parent], last)
+        # Every asked word with every run that its run falls into.
+        times = parts[run]
+        at = np.repeat(np.arange(len(run)), times)
+        step = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+        child = first[run[at]] + step
+        who, left, mid, right = who[at], left[at], mid[at], right[at]
+        c = table[begin[child], depth]
+        new_left = np.minimum(left + (table[who, depth - 1] != c), mid + 1) if depth else mid + np.int8(1)
+        new_mid = np.minimum(np.minimum(mid + (table[who, depth] != c), right + 1), new_left + 1)
+        new_right = np.minimum(right + (table[who, depth + 1] != c), new_mid + 1)
+        near = np.flatnonzero(np.minimum(np.minimum(new_left, new_mid), new_right) < FAR)
+        child, who = child[near], who[near]
+        left, mid, right = (x[near].astype(np.int8) for x in (new_left, new_mid, new_right))
+        used = np.zeros(len(begin), bool)
+        used[child] = True
+        number = np.cumsum(used) - 1
+        starts, stops, run = begin[used], finish[used], number[child]
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _best(words, counts, shorter, side, asked):
-    """(place, near words, least negative count, near word of it) of each asked word of one list that has a near word there."""
-    other, who = scan(words, asked)
-    half = shorter // 2
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
+def _best(forms, counts, lists, depths, shorter, side, asked):
+    """(word, near words, least negative count, near word of it) of each asked word that has a near word in its list."""
+    other, who = scan(forms, lists, depths, asked)
+    sizes = np.fromiter(map(len, forms), np.int64, len(forms))
     # Each pair of lengths has its own list; of a list for (n, n + 1) that are pairs of equal length are those of n.
-    keep = np.minimum(sizes[other], sizes[who]) == shorter
-    if side:  # Words that share their beginning too have met there.
-        heads = np.asarray([w[:half] for w in words])
-        keep &= heads[other] != heads[who]
+    keep = np.minimum(sizes[other], sizes[who]) == shorter[who]
+    other, who = other[keep], who[keep]
+    # Words that share their beginning as well have met there.
+    half = shorter // 2
+    behind = np.flatnonzero(side[who] == 1)
+    twice = np.asarray([forms[a][:-half[b] - 1:-1] == forms[b][:-half[b] - 1:-1] for a, b in zip(other[behind].tolist(), who[behind].tolist())], bool)
+    keep = np.ones(len(who), bool)
+    keep[behind[twice] if len(behind) else behind] = False
     other, who = other[keep], who[keep]
     if not len(who):
         return []
-    order = np.lexsort((other, -counts[other], who))
+
+    def word(k):
+        return (forms[k][::-1] if side[k] else forms[k]).decode("latin-1")
+
+    # The words of a list by their characters, so that the first of the most frequent is the least.
+    order = np.lexsort((-counts[other], who))
     other, who = other[order], who[order]
     first = np.flatnonzero(np.r_[True, who[1:] != who[:-1]])
-    sums = np.diff(np.r_[first, len(who)])
-    return [(words[w].decode("latin-1"), int(s), int(-counts[o]), words[o].decode("latin-1")) for w, s, o in zip(who[first].tolist(), sums.tolist(), other[first].tolist())]
+    ends = np.r_[first[1:], len(who)]
+    out = []
+    for a, b in zip(first.tolist(), ends.tolist()):
+        most = counts[other[a]]
+        top = a + int(np.searchsorted(-counts[other[a:b]], -most, "right")) if b - a > 1 else b
+        out.append((word(who[a]), b - a, int(-most), min(map(word, other[a:top]))))
+    return out
 
 
 def near_words(words, block=BLOCK):
     """(word, n_near, minus_n, near) of every word that has a word one edit away: how many, and the most frequent (ties: the least).
 
-    Lists of one key are sorted within a task and scanned there. A list of more than ``block`` words is dealt to several
-    tasks, each of which looks for its part of them in the whole list.
+    Lists of one key are sorted within a task and scanned there, many short ones at a time. A list of more than ``block``
+    words is dealt to several tasks, each of which looks for its part of them in the whole list.
     """
     spark = words.sparkSession
     listed = saved(halves(words), "lists")
-    shorter = F.bool_or(F.length("word") == F.col("shorter")).alias("some")
+    shorter = F.bool_or(F.length("form") == F.col("shorter")).alias("some")
     sizes = listed.groupBy("key").agg(F.count("*").alias("size"), shorter).where("size > 1 and some")
     parts = F.ceil(F.col("size") / block).cast("int")
     lists = listed.join(sizes.select("key", parts.alias("parts")), "key")
     lists = lists.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    own = F.pmod(F.xxhash64("word"), F.col("parts")) == F.col("part")
-    lists = lists.select("key", "part", "shorter", "side", "word", "n", own.alias("own"))
+    own = F.pmod(F.xxhash64("form"), F.col("parts")) == F.col("part")
+    lists = lists.select("key", "part", "form", "n", "depth", "shorter", "side", own.alias("own"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Sorted by their UTF-8 bytes, as Spark does, words stand in the order of their characters.
-    lists = lists.repartition(n, "key", "part").sortWithinPartitions("key", "part", "word")
+    lists = lists.repartition(n, "key", "part").sortWithinPartitions("key", "part", "form")
 
     def run(batches):
-        held, rest = None, []
+        held, size, last = [], 0, None
 
-        def done():
-            if len(rest) < 2:
+        def done(rows):
+            if not rows:
                 return []
-            words, counts, asked = zip(*rest)
-            return _best(list(words), np.asarray(counts, np.int64), held[2], held[3], np.asarray(asked, bool))
+            names, forms, counts, depths, shorter, side, asked = (sum((x[j] for x in rows), []) for j in range(7))
+            number = np.cumsum(np.r_[False, [a != b for a, b in zip(names[1:], names)]])
+            arrays = [np.asarray(x, np.int64) for x in (counts, depths, shorter, side)]
+            return _best([f.encode("latin-1") for f in forms], arrays[0], number, *arrays[1:], np.asarray(asked, bool))
 
         for batch in batches:
-            out = []
-            columns = [batch.column(i).to_pylist() for i in range(7)]
-            for key, part, shorter, side, word, n, own in zip(*columns):
-                if held is None or (key, part) != held[:2]:
-                    out += done() if held else []
-                    held, rest = (key, part, shorter, side), []
-                rest.append((word.encode("latin-1"), n, own))
-            yield _frame(out)
-        yield _frame(done() if held else [])
+            columns = [batch.column(i).to_pylist() for i in range(8)]
+            columns = [list(zip(columns[0], columns[1])), *columns[2:]]
+            names, at = columns[0], 0
+            # A chunk ends with a list.
+            while at < len(names):
+                if size >= block and names[at] != last:
+                    yield _frame(done(held))
+                    held, size = [], 0
+                end = min(len(names), at + max(1, block - size))
+                while end < len(names) and size + end - at >= block and names[end] == names[end - 1]:
+                    end += 1
+                held.append([c[at:end] for c in columns])
+                size, last, at = size + end - at, names[end - 1], end
+        yield _frame(done(held))
 
     found = lists.mapInArrow(run, "word string, n_near long, minus_n long, near string")
     return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), F.min(F.struct("minus_n", "near")).alias("best")).select("word", "n_near", "best.minus_n", "best.near")

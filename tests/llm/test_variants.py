@@ -1,0 +1,105 @@
+"""Spelling variants against the full edit matrix of every two words."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from llm_texts import prose
+
+from linguamart.llm import variants
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        last, row = row, [i + 1]
+        for j, y in enumerate(b):
+            row.append(min(last[j] + (x != y), last[j + 1] + 1, row[j] + 1))
+    return row[-1]
+
+
+def brute_words(rows):
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate({c: c + 32 for c in range(65, 91)})
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            counts[run[:h % len(run)] + run[h % len(run) + 1:] if h % 31 == 0 else run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 7 and n >= 2}
+
+
+def brute(words):
+    out, forms = [], {}
+    for w, n in words.items():
+        near = [v for v in words if abs(len(v) - len(w)) <= 1 and distance(w, v) == 1]
+        best = min(near, key=lambda v: (-words[v], v), default=None)
+        forms[w] = best if best is not None and words[best] >= 10 * n else None
+        out.append((w, n, len(near)))
+    def root(w):
+        return w if forms[w] is None else root(forms[w])
+    return sorted(((w, forms[w], root(w), n, k, words[forms[w]] if forms[w] else None) for w, n, k in out), key=str)
+
+
+def changed(rng, word):
+    at, c = rng.randrange(len(word)), rng.choice("abkéÿ×")
+    return rng.choice([word[:at] + word[at + 1:], word[:at] + c + word[at + 1:], word[:at] + c + word[at:]])
+
+
+def vocabulary(seed, n=60):
+    rng = random.Random(seed)
+    words = {"".join(rng.choice("abkéÿ×") for _ in range(rng.randint(7, 12))) for _ in range(n)}
+    for _ in range(2):
+        words |= {changed(rng, w) for w in sorted(words)}
+    return {w: rng.choice([2, 3, 20, 40, 400, 4_000]) for w in sorted(words) if len(w) >= 7}
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_scan(seed):
+    """Several lists at a time, each of words that share a beginning of its own length; only some words are asked."""
+    rng = random.Random(seed)
+    rows = []
+    for number in range(rng.randint(1, 5)):
+        head = "".join(rng.choice("abké") for _ in range(number % 4))
+        rows += [(number, len(head), head + w) for w in sorted(vocabulary(100 * seed + number, rng.choice([1, 4, 25])))]
+    asked = np.asarray([rng.random() < 0.7 for _ in rows])
+    a, b = variants.scan([w.encode("latin-1") for _, _, w in rows], np.asarray([r[0] for r in rows]), np.asarray([r[1] for r in rows]), asked)
+    want = sorted((i, j) for i, v in enumerate(rows) for j, w in enumerate(rows) if asked[j] and v[0] == w[0] and distance(v[2], w[2]) == 1)
+    assert sorted(zip(a.tolist(), b.tolist())) == want
+
+
+@pytest.mark.parametrize("block", [3, 20_000])
+def test_near_words(spark, block):
+    words = vocabulary(99)
+    got = variants.near_words(spark.createDataFrame(list(words.items()), "word string, n long"), block).collect()
+    want = {}
+    for w in words:
+        near = [v for v in words if abs(len(v) - len(w)) <= 1 and distance(w, v) == 1]
+        if near:
+            best = min(near, key=lambda v: (-words[v], v))
+            want[w] = (len(near), -words[best], best)
+    assert {r["word"]: (r["n_near"], r["minus_n"], r["near"]) for r in got} == want
+
+
+def test_groups(spark, frame, odd_rows):
+    words = vocabulary(5, 25)
+    rng = random.Random(3)
+    bag = [w.upper() if rng.random() < 0.1 else w for w, n in words.items() for _ in range(min(n, 45))]
+    rng.shuffle(bag)
+    rows = odd_rows + [(i, rng.choice([" ", ", ", "9", "ß-", "Ā"]).join(bag[i::40])) for i in range(40)] + [(77, prose(300, 8) + " Kabandenfir kabandenfir")]
+    got = sorted((tuple(r) for r in variants.spelling_groups(frame(rows).repartition(4)).collect()), key=str)
+    assert got == brute(brute_words(rows))
+    assert any(r[1] for r in got)
+
+
+def test_roots(spark):
+    chain = [(f"w{i:02}", f"w{i + 1:02}") for i in range(13)] + [("a", "w05"), ("b", "c")]
+    got = {r["word"]: r["root"] for r in variants.roots(spark.createDataFrame(chain, "word string, form string")).collect()}
+    assert got == {**{f"w{i:02}": "w13" for i in range(13)}, "a": "w13", "b": "c"}
+
+
+def test_nothing(spark, frame):
+    assert variants.spelling_groups(frame([])).count() == 0
+    assert variants.spelling_groups(frame([(1, None), (2, "short words only"), (3, "1234567890")])).count() == 0
