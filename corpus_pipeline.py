@@ -26,12 +26,13 @@ def quality(spark, docs, sf_dir):
 def near_duplicates(spark, docs, sf_dir):
     """Keeps one document of each group that near-duplicate links (a similarity of 0.8 or more) connect: that of the least id.
 
-    Documents without a word are no one's duplicate, and stay. Of rows with the same id and text one stays; of a group
-    without any id, one of each text.
+    Documents without a word are no one's duplicate, and stay. Of rows with the same id and text one stays, that with the
+    least hash of all its columns; of a group without any id, one of each text. No documents give none.
     """
     kept = neardup.near_duplicates(docs, share=80).where("kept").select("doc_id", "text_hash").distinct()
     rows = _rows(docs)
-    return rows.join(kept, _same(rows, kept), "left_semi").dropDuplicates(["doc_id", "text_hash"]).select("row.*")
+    rows = rows.join(kept, _same(rows, kept), "left_semi")
+    return rows.groupBy("doc_id", "text_hash").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
 
 
 def substrings(spark, docs, sf_dir):
@@ -49,14 +50,22 @@ def substrings(spark, docs, sf_dir):
 
 
 def decontaminate(spark, docs, sf_dir):
-    """Drops the documents that hold a benchmark item or a part of it."""
+    """Drops the documents that hold a benchmark item or a part of it.
+
+    A null or empty text holds none and stays, as do all documents where there is no benchmark; repeated rows go or stay
+    together, a row without an id by its text. The columns stay as they are; no documents give none.
+    """
     found = saved(leaks.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id", "text_hash").distinct(), "leaks")
     rows = _rows(docs)
     return rows.join(found, _same(rows, found), "left_anti").select("row.*")
 
 
 def pack(spark, docs, sf_dir):
-    """Packs what is left into sequences of at most 2048 tokens: one row per piece."""
+    """Packs what is left into sequences of at most 2048 tokens: one row per piece.
+
+    A null text counts as empty and is one token, its end; rows of one id are packed each by itself, those without one
+    with a null id. Other columns are not looked at; no documents give no piece.
+    """
     return packing.pack_documents(docs, tokenizer_path(), special=True)
 
 
