@@ -25,7 +25,7 @@ GROUP BY language ORDER BY n_titles DESC, language LIMIT {n}"""
 SELECT f.appid, title, n_languages FROM fct_games f JOIN per_title l ON f.appid = l.appid
 ORDER BY n_languages DESC, f.appid LIMIT 20"""))
 def most_languages(spark, sf_dir):
-    return insights.most_languages(gold.fct_games(spark, sf_dir), gold.dim_languages(spark, sf_dir))
+    return insights.most_languages(*gold.built(spark, sf_dir, "fct_games", "dim_languages"))
 
 
 @query("q_language_audio", _sql(_AUDIO.format(source="dim_languages", n=20)))
@@ -40,7 +40,7 @@ FROM (SELECT f.*, COALESCE(audio, false) AS has_audio FROM fct_games f LEFT JOIN
   SELECT appid, bool_or(has_audio_support AND lower(language) <> 'english') AS audio FROM dim_languages GROUP BY appid) a ON f.appid = a.appid)
 GROUP BY has_audio"""))
 def audio_impact(spark, sf_dir):
-    return insights.audio_impact(gold.fct_games(spark, sf_dir), gold.dim_languages(spark, sf_dir))
+    return insights.audio_impact(*gold.built(spark, sf_dir, "fct_games", "dim_languages"))
 
 
 _HEAT = """heat AS (
@@ -51,14 +51,19 @@ _HEAT = """heat AS (
 
 @query("q_genre_heatmap", s.sql(*_ALL, _HEAT, select="SELECT * FROM heat"))
 def genre_heatmap(spark, sf_dir):
-    return insights.genre_heatmap(gold.dim_genres(spark, sf_dir), gold.dim_languages(spark, sf_dir))
+    return insights.genre_heatmap(*gold.built(spark, sf_dir, "dim_genres", "dim_languages"))
+
+
+@query("q_genre_heatmap_bitmaps", s.sql(*_ALL, _HEAT, select="SELECT * FROM heat"))
+def genre_heatmap_bitmaps(spark, sf_dir):
+    return insights.genre_heatmap_by_bitmaps(*gold.built(spark, sf_dir, "dim_genres", "dim_languages"))
 
 
 @query("q_genre_heatmap_grid", s.sql(*_ALL, _HEAT, select="""
 SELECT genre, max(share) FILTER (WHERE language = 'English') AS English, max(share) FILTER (WHERE language = 'Polish') AS Polish,
        max(share) FILTER (WHERE language = 'Slovakian') AS Slovakian FROM heat GROUP BY genre"""))
 def heatmap_grid(spark, sf_dir):
-    heat = insights.genre_heatmap(gold.dim_genres(spark, sf_dir), gold.dim_languages(spark, sf_dir))
+    heat = insights.genre_heatmap(*gold.built(spark, sf_dir, "dim_genres", "dim_languages"))
     return insights.heatmap_grid(heat, ["English", "Polish", "Slovakian"])
 
 
@@ -70,7 +75,7 @@ _POPULAR = "popular AS (SELECT appid, title, ccu FROM fct_games ORDER BY ccu DES
 SELECT p.appid, title, ccu, w.language FROM popular p, wanted w
 WHERE NOT EXISTS (SELECT 1 FROM dim_languages d WHERE d.appid = p.appid AND d.language = w.language)"""))
 def missing_localization(spark, sf_dir):
-    return insights.missing_localization(gold.fct_games(spark, sf_dir), gold.dim_languages(spark, sf_dir))
+    return insights.missing_localization(*gold.built(spark, sf_dir, "fct_games", "dim_languages"))
 
 
 @query("q_coverage_vs_perf", _sql("""
@@ -78,7 +83,7 @@ SELECT 'ccu' AS metric, round(corr(n_languages, ccu), 6) AS correlation FROM cov
 UNION ALL SELECT 'positive_ratio', round(corr(n_languages, positive_ratio), 6) FROM covered
 UNION ALL SELECT 'total_reviews', round(corr(n_languages, total_reviews), 6) FROM covered"""))
 def coverage_vs_perf(spark, sf_dir):
-    return insights.coverage_correlation(gold.fct_games(spark, sf_dir), gold.dim_languages(spark, sf_dir))
+    return insights.coverage_correlation(*gold.built(spark, sf_dir, "fct_games", "dim_languages"))
 
 
 @query("q_coverage_buckets", _sql("""
@@ -86,20 +91,20 @@ SELECT n_languages // 2 * 2 AS coverage_from, count(*) AS n_titles, round(avg(cc
        round(avg(positive_ratio), 4) AS avg_positive_ratio, round(avg(total_reviews), 4) AS avg_total_reviews
 FROM covered GROUP BY 1"""))
 def coverage_buckets(spark, sf_dir):
-    return insights.coverage_buckets(gold.fct_games(spark, sf_dir), gold.dim_languages(spark, sf_dir))
+    return insights.coverage_buckets(*gold.built(spark, sf_dir, "fct_games", "dim_languages"))
 
 
 @query("q_genre_activity", _sql("""
 SELECT genre, count(*) AS n_titles, round(avg(COALESCE(n_languages, 0)), 4) AS avg_languages
 FROM dim_genres g LEFT JOIN per_title l ON g.appid = l.appid GROUP BY genre"""))
 def genre_activity(spark, sf_dir):
-    return insights.genre_activity(gold.dim_genres(spark, sf_dir), gold.dim_languages(spark, sf_dir))
+    return insights.genre_activity(*gold.built(spark, sf_dir, "dim_genres", "dim_languages"))
 
 
 @query("q_popular_languages", s.sql(*_ALL, _POPULAR, select=_AUDIO.format(
     source="(SELECT * FROM dim_languages WHERE appid IN (SELECT appid FROM popular))", n=20)))
 def popular_languages(spark, sf_dir):
-    return insights.popular_languages(gold.fct_games(spark, sf_dir), gold.dim_languages(spark, sf_dir))
+    return insights.popular_languages(*gold.built(spark, sf_dir, "fct_games", "dim_languages"))
 
 
 @query("q_opportunity", _sql("""
@@ -108,15 +113,7 @@ SELECT genre, owners_category, n_titles, round(ccu, 4) AS avg_ccu, round(langs,
 FROM (SELECT genre, owners_category, count(*) AS n_titles, avg(ccu) AS ccu, avg(n_languages) AS langs
       FROM dim_genres g JOIN covered c ON g.appid = c.appid GROUP BY ALL)"""))
 def opportunity(spark, sf_dir):
-    return insights.opportunity_segments(
-        gold.fct_games(spark, sf_dir), gold.dim_genres(spark, sf_dir), gold.dim_languages(spark, sf_dir)
-    )
-
-
-@query("q_trend", s.sql(*s.BASE_DAILY, select="""
-SELECT appid, snapshot_date, lag(snapshot_date) OVER w AS previous_date, ccu, ccu - lag(ccu) OVER w AS ccu_change,
-       total_reviews, total_reviews - lag(total_reviews) OVER w AS total_reviews_change,
-       languages, languages - lag(languages) OVER w AS languages_change
-FROM fct_games_daily WINDOW w AS (PARTITION BY appid ORDER BY snapshot_date)"""))
-def trend(spark, sf_dir):
-    return insights.daily_trend(gold.fct_games_daily(spark, sf_dir))
+    return insights.opportunity_segments(*gold.built(spark, sf_dir, "fct_games", "dim_genres", "dim_languages"))
+
+
+query("q_trend", s.TREND)(lambda spark, sf_dir: insights.daily_trend(gold.fct_games_daily(spark, sf_dir)))

@@ -273,3 +273,9 @@ def sql(*ctes, select):
 BASE_FACT = (RAW_STORE, CLEAN_STORE, RAW_POPULARITY, SILVER_POPULARITY, STAGING_STORE, STAGING_POPULARITY, FCT_GAMES)
 BASE_LANGUAGES = (RAW_STORE, CLEAN_STORE, LANGUAGE_TOKENS, STAGING_LANGUAGES, DIM_LANGUAGES)
 BASE_DAILY = (RAW_STORE, CLEAN_STORE, RAW_POPULARITY, SILVER_POPULARITY, STORE_DAILY, POPULARITY_DAILY, FCT_DAILY)
+
+TREND = sql(*BASE_DAILY, select="""
+SELECT appid, snapshot_date, lag(snapshot_date) OVER w AS previous_date, ccu, ccu - lag(ccu) OVER w AS ccu_change,
+       total_reviews, total_reviews - lag(total_reviews) OVER w AS total_reviews_change,
+       languages, languages - lag(languages) OVER w AS languages_change
+FROM fct_games_daily WINDOW w AS (PARTITION BY appid ORDER BY snapshot_date)""")

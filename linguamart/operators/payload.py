@@ -7,30 +7,40 @@ from ..constants import ID_IN_LOGO
 from ..functions import first_nonempty, replace_codes, whole_number
 from .dedupe import best_per_key
 
-_TEXT_MAP = "map<string,string>"
+_ENTRIES = "map<string,variant>"
 
 
-def _is_object(col):
-    return F.ltrim(col).startswith("{")
+def _documents(col):
+    """The entries of a JSON object in their order, each value parsed once into a VARIANT; null for any other text.
+
+    A document that cannot be parsed as a whole only because of one value (a record that repeats a key, in sessions
+    that refuse that) is parsed value by value, and only that value is null.
+    """
+    apart = F.transform_values(F.from_json(col, "map<string,string>"), lambda _, v: F.try_parse_json(v))
+    return F.coalesce(F.from_json(col, _ENTRIES), apart)
+
+
+def _is_object(value):
+    return F.schema_of_variant(value).startswith("OBJECT<")
 
 
-def _field(record, name):
-    return F.try_element_at(record, F.lit(name))
+def _field(record, path, kind="string"):
+    """A field of a VARIANT, null where it is absent or does not fit; ``path`` holds the names on the way, dots between them."""
+    return F.try_variant_get(record, "$" + "".join(f'["{name}"]' for name in path.split(".")), kind)
 
 
 def _entries(df, json_col):
-    """One row per entry of the outer object: id text and record as map of raw JSON texts."""
+    """One row per entry of the outer object that is a record: its place, its key and the record as VARIANT."""
     rest = [c for c in df.columns if c != json_col]
-    pairs = df.select(*rest, F.posexplode(F.from_json(json_col, _TEXT_MAP)).alias("__position", "__key", "__value"))
-    return rest, pairs.where(_is_object(F.col("__value"))).select(
-        *rest, "__position", "__key", F.from_json("__value", _TEXT_MAP).alias("__record")
-    )
+    pairs = df.select(*rest, F.posexplode(_documents(F.col(json_col))).alias("__position", "__key", "__record"))
+    return rest, pairs.where(_is_object(F.col("__record")))
 
 
 def pages_to_stop(df, json_col, page_col):
     """The pages before the first one that is empty or no object: where the paging has ended."""
-    entries = F.from_json(json_col, _TEXT_MAP)
-    last = df.where(~F.coalesce(_is_object(F.col(json_col)) & (F.size(entries) > 0), F.lit(False))).agg(F.min(page_col))
+    # The keys alone tell; values stay text.
+    filled = F.ltrim(F.col(json_col)).startswith("{") & (F.size(F.from_json(json_col, "map<string,string>")) > 0)
+    last = df.where(~F.coalesce(filled, F.lit(False))).agg(F.min(page_col))
     return df.where(F.coalesce(F.col(page_col) < last.scalar(), F.lit(True)))
 
 
@@ -43,7 +53,7 @@ def popularity_records(df, json_col, fields, id_field="appid", position=None):
     """
     rest, rows = _entries(df, json_col)
     record = F.col("__record")
-    raw_id = F.when(F.map_contains_key(record, id_field), _field(record, id_field)).otherwise(F.col("__key"))
+    raw_id = F.when(_field(record, id_field, "variant").isNotNull(), _field(record, id_field)).otherwise(F.col("__key"))
 
     def typed(name, kind):
         text = _field(record, name)
@@ -58,25 +68,20 @@ def store_records(df, json_col, key="appid"):
     """Object keyed by id -> rows (id, has_data, price, release_date, languages, genre) of the successes."""
     rest, rows = _entries(df, json_col)
     record = F.col("__record")
-    hits = rows.where((_field(record, "success") == "true") & _is_object(_field(record, "data"))).select(
-        *rest,
-        F.col("__key").try_cast("long").alias(key),
-        F.from_json(_field(record, "data"), _TEXT_MAP).alias("__data"),
-    ).where(F.col(key).isNotNull())
-
+    data = _field(record, "data", "variant")
+    hits = rows.where(_field(record, "success") == "true").select(*rest, F.col("__key").try_cast("long").alias(key), data.alias("__data"))
     data = F.col("__data")
-    genres = _field(data, "genres")
-    listed = F.from_json(genres, "array<struct<description:string>>")
-    joined = F.array_join(F.transform(listed, lambda g: F.coalesce(g["description"], F.lit(""))), ", ")
-    plain = F.when(F.ltrim(genres).startswith("["), joined).otherwise(genres)
+    hits = hits.where(_is_object(data) & F.col(key).isNotNull())
+    listed = _field(data, "genres", "array<variant>")
+    joined = F.array_join(F.transform(listed, lambda g: F.coalesce(_field(g, "description"), F.lit(""))), ", ")
     return hits.select(
         *rest,
         key,
-        (F.size(data) > 0).alias("has_data"),
-        F.get_json_object(_field(data, "price_overview"), "$.final_formatted").alias("price"),
-        F.get_json_object(_field(data, "release_date"), "$.date").alias("release_date"),
+        (F.schema_of_variant(data) != "OBJECT<>").alias("has_data"),
+        _field(data, "price_overview.final_formatted").alias("price"),
+        _field(data, "release_date.date").alias("release_date"),
         replace_codes(first_nonempty(_field(data, "supported_languages"), _field(data, "languages"))).alias("languages"),
-        F.coalesce(plain, F.lit("")).alias("genre"),
+        F.coalesce(joined, _field(data, "genres"), F.lit("")).alias("genre"),
     )
 
 

@@ -103,7 +103,8 @@ def column_profile(df):
     # quartiles both come from these counts.
     entry = [
         F.struct(
-            F.lit(c).alias("column_name"), (F.lit(None) if c in numbers else F.col(c)).cast("string").alias("text"),
+            # Decimals keep their digits for the count of distinct values; as doubles long ones would merge.
+            F.lit(c).alias("column_name"), (F.lit(None) if c in numbers and not types[c].startswith("decimal") else F.col(c)).cast("string").alias("text"),
             (F.col(c) if c in numbers else F.lit(None)).cast("double").alias("number"), F.col(c).isNotNull().alias("given"),
             (F.col(c) if types[c] == "bigint" else F.lit(None)).cast("long").alias("whole"),
         ) for c in df.columns
@@ -114,7 +115,7 @@ def column_profile(df):
     out = base.join(distinct, "column_name", "left").withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)))
     if not numbers:
         return out
-    counted = values.where(F.col("number").isNotNull()).select(F.col("column_name").alias("__g"), F.col("number").alias("__v"), "__n")
+    counted = values.where(F.col("number").isNotNull()).groupBy(F.col("column_name").alias("__g"), F.col("number").alias("__v")).agg(F.sum("__n").alias("__n"))
     quartiles = count_quantiles(counted, [0.25, 0.5, 0.75]).groupBy(F.col("__g").alias("column_name")).agg(*[
         F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(name)
         for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))

@@ -3,10 +3,12 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import value_quantiles
+from ..operators import dense_numbers, value_quantiles
 from ..session import stored
 
 ENGLISH = "english"
+#: Titles that one bitmap covers: a fixed value of Spark's bitmap functions.
+BLOCK_TITLES = 32_768
 
 
 def _round(col, digits=4):
@@ -73,6 +75,34 @@ def genre_heatmap(dim_genres, dim_languages):
         .select("genre", F.explode("languages").alias("language"), "n")
         .groupBy("genre", "language").agg(F.sum("n").alias("n_titles"))
     )
+    return _shares(cells, dim_genres)
+
+
+def genre_heatmap_by_bitmaps(dim_genres, dim_languages):
+    """The rows of ``genre_heatmap``, by counting common bits.
+
+    Titles are numbered without gaps; each genre and each language is a bitmap over the numbers, in blocks of 32,768 titles. Titles
+    common to a genre and a language are the bits that both have, counted block by block. The work is that of the grid of
+    genres and languages, however many of them a title has, while the other form makes a row for each
+    combination of sets: the one to take where titles have many genres and languages, and nearly all combinations differ.
+    """
+    spoken = dim_languages.select("appid", "language").distinct()
+    numbers = stored(dense_numbers(dim_genres.join(spoken.select("appid").distinct(), "appid", "left_semi"), "appid"), "numbers")
+    place = F.pmod("number", F.lit(BLOCK_TITLES))
+
+    def bitmaps(rows, name, out):
+        blocks = rows.join(numbers, "appid").groupBy(F.floor(F.col("number") / BLOCK_TITLES).alias("block"), name)
+        return blocks.agg(F.bitmap_construct_agg(place).alias(out))
+
+    cells = bitmaps(dim_genres, "genre", "g").join(bitmaps(spoken, "language", "l"), "block")
+    # Both bitmaps of a cell stand in one row and stay where the join by block has put them.
+    sides = cells.select("block", "genre", "language", F.explode(F.array("g", "l")).alias("bitmap"))
+    common = sides.groupBy("block", "genre", "language").agg(F.bitmap_and_agg("bitmap").alias("both"))
+    counted = common.groupBy("genre", "language").agg(F.sum(F.bitmap_count("both")).alias("n_titles")).where("n_titles > 0")
+    return _shares(counted, dim_genres)
+
+
+def _shares(cells, dim_genres):
     sizes = dim_genres.groupBy("genre").agg(F.countDistinct("appid").alias("genre_titles"))
     return cells.join(sizes, "genre").select(
         "genre", "language", "n_titles", "genre_titles",
@@ -168,10 +198,15 @@ def opportunity_segments(fct, dim_genres, dim_languages):
     )
 
 
-def daily_trend(daily, metrics=("ccu", "total_reviews", "languages")):
+TREND_METRICS = ("ccu", "total_reviews", "languages")
+
+
+def trend_columns(spec, metrics=TREND_METRICS, key="appid", day_col="snapshot_date"):
+    """A title's day, the day before it in ``spec``, and each metric with its change since."""
+    changes = [x for m in metrics for x in (F.col(m), (F.col(m) - F.lag(m).over(spec)).alias(f"{m}_change"))]
+    return [key, day_col, F.lag(day_col).over(spec).alias("previous_date"), *changes]
+
+
+def daily_trend(daily, metrics=TREND_METRICS):
     """Change of each metric since the title's previous day. A title has one row per day, so a window is short."""
-    spec = Window.partitionBy("appid").orderBy("snapshot_date")
-    return daily.select(
-        "appid", "snapshot_date", F.lag("snapshot_date").over(spec).alias("previous_date"),
-        *[x for m in metrics for x in (F.col(m), (F.col(m) - F.lag(m).over(spec)).alias(f"{m}_change"))],
-    )
+    return daily.select(*trend_columns(Window.partitionBy("appid").orderBy("snapshot_date"), metrics))

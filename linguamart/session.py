@@ -1,5 +1,6 @@
 """Session defaults and the shared scratch folder."""
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -16,6 +17,8 @@ def build_session(name="linguamart", master=None, **conf):
         "spark.sql.session.timeZone": "UTC",
         # Files of pandas hold nanoseconds, which are read as longs and turned into timestamps by the sources.
         "spark.sql.legacy.parquet.nanosAsLong": "true",
+        # A record that repeats a key keeps the last value, as other readers of JSON do.
+        "spark.sql.variant.allowDuplicateKeys": "true",
         **conf,
     }
     for key, value in settings.items():
@@ -23,13 +26,29 @@ def build_session(name="linguamart", master=None, **conf):
     return builder.getOrCreate()
 
 
+_made = {}
+
+
 def scratch_dir(spark, label="scratch"):
     """A new folder path in a folder that driver and executors share.
 
-    That is the one ``spark.checkpoint.dir`` names, or else a part of the session's warehouse.
+    That is the one ``spark.checkpoint.dir`` names, or else a part of the session's warehouse. On a cluster whose
+    warehouse is a folder of one machine there is no such folder, and a ValueError says what to set.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        if not spark.sparkContext.master.startswith("local") and re.match(r"(file:)?/", warehouse):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = warehouse + "/_scratch"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark):
+    """Remove every folder that this session has made in the shared folder; for when all results that read them are written."""
+    drop_stage(spark, *_made.pop(spark.sparkContext.applicationId, []))
 
 
 def drop_stage(spark, *paths):

@@ -3,6 +3,9 @@
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+#: Parts that the rows of one id and day can be split into.
+SPREAD = 1024
+
 
 def layer_path(base, layer, source, day=None):
     """Path of a table in a layer; ``day`` adds the dated folder of one snapshot."""
@@ -21,13 +24,17 @@ def write_csv(df, path, mode="overwrite"):
 
 
 def write_days(df, path, day_col="snapshot_date", id_col="appid", mode="overwrite"):
-    """Partitioned by day, sorted by id inside each file; only the days present in ``df`` are replaced.
+    """Partitioned by day, clustered by id: the files of a day hold ranges of ids that meet at their borders at most, each file sorted.
 
-    The rebalance splits a day that is far larger than the others and merges small ones, so no
-    day is bound to one task.
+    Rows are dealt out by ranges of (day, id), so a large day is split over tasks and files, and a filter on an id opens
+    the one file of a day whose statistics hold it. Ranges are cut by sampled sizes; ranges that turn out small are
+    joined with their neighbours. An id that alone fills more than a range is split over files by a hash of its rows. Only the
+    days present in ``df`` are replaced.
     """
+    plain = [f.name for f in df.schema.fields if not any(x in f.dataType.simpleString() for x in ("map<", "variant", "void"))]
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]), F.lit(SPREAD))
     (
-        df.hint("rebalance", day_col).sortWithinPartitions(day_col, id_col)
+        df.repartitionByRange(F.col(day_col), F.col(id_col), spread).sortWithinPartitions(day_col, id_col)
         .write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
         .partitionBy(day_col).parquet(path)
     )

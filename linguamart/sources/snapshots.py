@@ -1,6 +1,8 @@
 """Bronze snapshots: dated CSV files and landed JSON payloads."""
 
+import csv
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -10,23 +12,32 @@ from ..constants import NA_TOKENS
 from ..functions import whole_number
 from ..operators import backfill_columns
 from ..operators.dedupe import SCAN_ORDER, with_scan_order
-from .files import list_files
 
 
 def _headers(spark, path):
-    """Column names -> the files that have them, from the first line of each file; files without one are left out."""
+    """Column names -> the files that have them, from the first line of each file; files without one are left out.
+
+    One pass over the text, however many files there are: a task keeps the first line of the files it reads from the
+    start. Only the distinct headers and the names of the files reach the driver.
+    """
     try:
-        files = sorted(r["path"] for r in list_files(spark, path, suffix="").collect())
+        lines = spark.read.option("recursiveFileLookup", True).text(path)
     except AnalysisException as problem:
         if "PATH_NOT_FOUND" in (problem.getCondition() or ""):
             raise FileNotFoundError(f"no snapshot at {path}") from problem
         raise
-    found = {}
-    for file in files:
-        names = spark.read.option("header", True).option("escape", '"').csv(file).columns
-        if names:
-            found.setdefault(tuple(names), []).append(file)
-    return found
+    lines = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
+    first = lines.where((F.col("start") == 0) & (F.trim("value") != "")).groupBy("file").agg(F.min_by("value", "row").alias("header"))
+    # Of a path with a scheme Spark's metadata writes the same scheme, with characters encoded.
+    found = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    # Metadata give a path with special characters encoded; readers take it plain.
+    return {_names(r["header"]): [unquote(f) for f in r["files"]] for r in found}
+
+
+def _names(header):
+    """Column names of a header line; of a name that repeats the first stays, the others become names of their own."""
+    names = next(csv.reader([header.removeprefix("\ufeff")]))
+    return tuple(n if n and n not in names[:i] else f"{n}__{i}" for i, n in enumerate(names))
 
 
 def read_bronze_csv(spark, path, schema, multi_line=True, safe=()):

@@ -6,8 +6,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from linguamart.sources import day_folders
-from linguamart.streaming import high_water, load_days, load_new_days, merge_rows, read_table, replace_days
+from linguamart.sources import LostRace, write_days
+from linguamart.streaming import drop_unused, high_water, load_days, load_new_days, merge_rows, read_table, replace_days, table_days
+
+from linguamart.streaming.incremental import table_state, write_load
 
 
 def fact(spark, *records):
@@ -22,7 +24,7 @@ def state(spark, target):
 
 def test_sequence(spark, tmp_path):
     target = str(tmp_path / "t")
-    assert high_water(spark, target) == dt.date(1900, 1, 1) and day_folders(spark, target) == []
+    assert high_water(spark, target) == dt.date(1900, 1, 1) and table_days(spark, target) == []
     load_new_days(fact(spark, (1, "2024-05-01", 1), (1, "2024-05-02", 2)), target)
     first = [(1, "05-01", 1), (1, "05-02", 2)]
     assert state(spark, target) == first
@@ -35,7 +37,7 @@ def test_sequence(spark, tmp_path):
     for _ in range(2):
         load_days(fact(spark, (1, "2024-05-01", 11), (2, "2024-05-02", 22)), target, dates=["2024-05-02"])
         assert state(spark, target) == [(1, "05-01", 1), (1, "05-03", 3), (2, "05-02", 22)]
-    assert day_folders(spark, target) == [dt.date(2024, 5, d) for d in (1, 2, 3)]
+    assert table_days(spark, target) == [dt.date(2024, 5, d) for d in (1, 2, 3)]
 
 
 def test_columns_follow_the_last_load(spark, tmp_path):
@@ -51,11 +53,19 @@ def test_columns_follow_the_last_load(spark, tmp_path):
     assert {r.extra for r in read_table(spark, target).collect()} == {"old", "x"}
 
 
-def test_columns_without_their_record(spark, tmp_path):
+def test_folder_of_days_without_commits(spark, tmp_path):
+    """A folder that something else has laid out by day is taken over as it is, and loads go on top of it."""
     target = str(tmp_path / "t")
-    load_new_days(fact(spark, (1, "2024-05-01", 1)), target)
-    os.rename(f"{target}/_columns", str(tmp_path / "gone"))
-    assert state(spark, target) == [(1, "05-01", 1)]
+    write_days(fact(spark, (1, "2024-05-01", 1), (2, "2024-05-01", 2), (1, "2024-05-02", 3)), target)
+    before = [(1, "05-01", 1), (1, "05-02", 3), (2, "05-01", 2)]
+    assert state(spark, target) == before and high_water(spark, target) == dt.date(2024, 5, 2)
+    load_new_days(fact(spark, (1, "2024-05-02", 9), (1, "2024-05-03", 4)), target)
+    assert state(spark, target) == sorted(before + [(1, "05-03", 4)])
+    merge_rows(fact(spark, (2, "2024-05-01", 20)), target)
+    assert state(spark, target) == [(1, "05-01", 1), (1, "05-02", 3), (1, "05-03", 4), (2, "05-01", 20)]
+    drop_unused(spark, target)
+    assert state(spark, target) == [(1, "05-01", 1), (1, "05-02", 3), (1, "05-03", 4), (2, "05-01", 20)]
+    assert not os.path.exists(f"{target}/snapshot_date=2024-05-01") and os.path.exists(f"{target}/snapshot_date=2024-05-02")
 
 
 def test_merge_updates_adds_and_keeps(spark, tmp_path):
@@ -108,3 +118,87 @@ def test_merge_refuses_repeated_keys(spark, tmp_path):
     twice = spark.createDataFrame([(1, dt.date(2024, 5, 1)), (1, dt.date(2024, 5, 1))], "appid long, snapshot_date date")
     with pytest.raises(ValueError, match="repeat a key"):
         merge_rows(twice, str(tmp_path / "t"))
+
+
+class Stopped(Exception):
+    pass
+
+
+def stop(load):
+    raise Stopped
+
+
+def test_load_lost_before_its_commit(spark, tmp_path):
+    """Between the data and the commit nothing shows: rows, days and columns are those before; the next load goes on from there."""
+    target = str(tmp_path / "t")
+    load_new_days(fact(spark, (1, "2024-05-01", 1), (1, "2024-05-02", 2)), target)
+    before, columns = state(spark, target), read_table(spark, target).columns
+    change = fact(spark, (7, "2024-05-02", 70), (7, "2024-05-03", 71)).withColumn("extra", F.lit("x")).withColumn("ccu", F.col("ccu").cast("string"))
+    with pytest.raises(Stopped):
+        write_load(change, target, table_state(spark, target), before_commit=stop)
+    assert state(spark, target) == before and read_table(spark, target).columns == columns
+    assert high_water(spark, target) == dt.date(2024, 5, 2)
+    load_new_days(fact(spark, (1, "2024-05-03", 3)), target)
+    assert state(spark, target) == before + [(1, "05-03", 3)]
+    lost = [n for n in os.listdir(target) if n.startswith("load=")]
+    drop_unused(spark, target)
+    assert len([n for n in os.listdir(target) if n.startswith("load=")]) == len(lost) - 1
+    assert state(spark, target) == before + [(1, "05-03", 3)]
+    assert len([n for n in os.listdir(f"{target}/_commits") if n.endswith(".json") and not n.startswith(".")]) == 1
+
+
+def test_first_load_lost(spark, tmp_path):
+    target = str(tmp_path / "t")
+    with pytest.raises(Stopped):
+        write_load(fact(spark, (1, "2024-05-01", 1)), target, table_state(spark, target), before_commit=stop)
+    assert table_days(spark, target) == [] and read_table(spark, target).count() == 0
+    load_new_days(fact(spark, (1, "2024-05-01", 2)), target)
+    assert state(spark, target) == [(1, "05-01", 2)]
+
+
+def test_two_writers(spark, tmp_path):
+    """Different days are both kept; of the same day the second writer is refused and leaves nothing behind."""
+    target = str(tmp_path / "t")
+    load_new_days(fact(spark, (1, "2024-05-01", 1)), target)
+    seen = table_state(spark, target)
+    replace_days(fact(spark, (1, "2024-05-02", 2)), target, ["2024-05-02"])
+    write_load(fact(spark, (1, "2024-05-03", 3)), target, seen)
+    assert state(spark, target) == [(1, "05-01", 1), (1, "05-02", 2), (1, "05-03", 3)]
+    folders = len(os.listdir(target))
+    for late in (fact(spark, (1, "2024-05-02", 99)), fact(spark, (1, "2024-05-02", 99), (1, "2024-05-09", 1))):
+        with pytest.raises(LostRace):
+            write_load(late, target, seen)
+    assert len(os.listdir(target)) == folders
+    other = table_state(spark, target)
+    load_new_days(fact(spark, (1, "2024-05-04", 4)).withColumn("more", F.lit(1)), target)
+    with pytest.raises(LostRace):
+        write_load(fact(spark, (1, "2024-05-05", 5)), target, other)
+    assert [r.more for r in read_table(spark, target).where("snapshot_date = '2024-05-04'").collect()] == [1]
+
+
+def test_readers_keep_the_state_they_began_with(spark, tmp_path):
+    target = str(tmp_path / "t")
+    load_new_days(fact(spark, (1, "2024-05-01", 1)), target)
+    reader = read_table(spark, target)
+    replace_days(fact(spark, (1, "2024-05-01", 100)), target, ["2024-05-01"])
+    assert [r.ccu for r in reader.collect()] == [1] and state(spark, target) == [(1, "05-01", 100)]
+
+
+def test_merge_of_null_keys(spark, tmp_path):
+    """A row without an id is updated like others, not added again; rows without a day are left out."""
+    target = str(tmp_path / "t")
+    rows = fact(spark, (None, "2024-05-01", 1), (2, "2024-05-01", 2), (3, None, 3))
+    for _ in range(2):
+        merge_rows(rows, target)
+    merge_rows(fact(spark, (None, "2024-05-01", 10)), target)
+    assert sorted((r.appid is None, r.ccu) for r in read_table(spark, target).collect()) == [(False, 2), (True, 10)]
+
+
+def test_day_filter_reaches_the_folders(spark, tmp_path):
+    target = str(tmp_path / "t")
+    for d in range(1, 5):
+        load_new_days(fact(spark, (1, f"2024-05-0{d}", d)), target)
+    one = read_table(spark, target).where("snapshot_date = DATE'2024-05-03'")
+    assert [r.ccu for r in one.collect()] == [3]
+    text = one._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(snapshot_date" in text

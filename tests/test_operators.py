@@ -207,3 +207,46 @@ def test_notebook_form_keeps_titles_without_list(spark, rows):
     df = spark.createDataFrame([(1, None), (2, "A<strong>*</strong>,B")], "appid int, languages string")
     got = op.normalize_languages(df, ["appid"], strict_mark=True, dedupe=False)
     assert rows(got) == [(1, None, None), (2, "A", True), (2, "B", False)]
+
+
+def test_payload_records_that_are_odd(spark, rows):
+    """Malformed documents give nothing; an odd record costs itself alone; values keep what their text says."""
+    docs = [
+        '{"7": {"ccu": 5, "name": "A"}', "[1]", "null", "", None, '{"8": {"ccu": "9", "name": 4}, "x": 3, "9": {"ccu": null}, "10": {"ccu": 1.0, "name": {"n": 1}}}',
+        '{"11": {"ccu": 1, "ccu": 2, "name": "twice"}, "12": {"ccu": 3}}', '{"13": {"appid": 14, "ccu": 2.6}, "15": {"appid": null}, "16": {"appid": "x"}, "17": {"a.b": 1, "ccu": true}}',
+    ]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "i int, d string")
+    got = rows(op.popularity_records(df, "d", {"ccu": "long", "name": "string"}, position="at"), "appid", "ccu", "name", "at")
+    assert got == [
+        (10, 1, '{"n":1}', 3), (11, 2, "twice", 0), (12, 3, None, 1), (14, 3, None, 0), (17, None, None, 3), (8, 9, "4", 0), (9, None, None, 2),
+    ]
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
+    try:
+        got = rows(op.popularity_records(df.where("i = 6"), "d", {"ccu": "long"}), "appid", "ccu")
+    finally:
+        spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    assert got == [(12, 3)]
+
+
+def test_payload_keeps_the_order_of_its_entries(spark):
+    text = "{" + ", ".join(f'"{i}": {{"ccu": {i}}}' for i in (30, 4, 100, 2)) + "}"
+    got = op.popularity_records(spark.createDataFrame([(text,)], "d string"), "d", {"ccu": "long"}, position="at").orderBy("at").collect()
+    assert [r.appid for r in got] == [30, 4, 100, 2]
+
+
+def test_store_records_that_are_odd(spark, rows):
+    docs = [
+        '{"1": {"success": true, "data": {"genres": "Plain", "languages": "French"}}}', '{"2": {"success": "true", "data": {}}}', '{"3": {"success": true, "data": "no"}}',
+        '{"4": {"success": true}, "5": {"success": false, "data": {"genres": []}}, "y": {"success": true, "data": {"a": 1}}}',
+        '{"6": {"success": true, "data": {"price_overview": "free", "release_date": {"date": null}, "genres": [{"description": "A"}, {"id": 1}, {"description": null}]}}}', "{",
+    ]
+    got = rows(op.store_records(spark.createDataFrame([(d,) for d in docs], "d string"), "d"), "appid", "has_data", "price", "release_date", "languages", "genre")
+    assert got == [(1, True, None, None, "French", "Plain"), (2, False, None, None, None, ""), (6, True, None, None, None, "A, , ")]
+
+
+def test_profile_tells_long_decimals_apart(spark):
+    import decimal
+
+    values = [decimal.Decimal("12345678901234567890.01"), decimal.Decimal("12345678901234567890.02"), decimal.Decimal("1"), None, decimal.Decimal("1")]
+    row = op.column_profile(spark.createDataFrame([(v,) for v in values], "v decimal(30,2)")).first()
+    assert (row.n_distinct, row.n_rows, row.n_nulls, row.p25) == (3, 5, 1, 1.0)

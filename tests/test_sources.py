@@ -226,3 +226,68 @@ def test_bronze_csv_query_keeps_parts(spark, monkeypatch):
     assert len(df.inputFiles()) == 8
     want = [(i, "O", 2.5 if i % 2 == 0 else None, None) for i in range(80)]
     assert sorted(map(tuple, df.collect())) == want
+
+
+def test_headers_take_one_job_however_many_files(spark, tmp_path, rows):
+    """Files of several headers, some quoted, with a mark of byte order, blank first lines or no line at all."""
+    from linguamart.sources import snapshots
+
+    def jobs(folder):
+        spark.sparkContext.setJobGroup(folder, folder)
+        try:
+            found = snapshots._headers(spark, folder)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return found, len(spark.sparkContext.statusTracker().getJobIdsForGroup(folder))
+
+    seen = []
+    for n in (3, 60):
+        folder = tmp_path / f"f{n}"
+        (folder / "sub dir").mkdir(parents=True)
+        for i in range(n):
+            head = ('appid,"genre"', "genre,appid", "﻿appid,genre,x", "")[i % 4]
+            (folder / ("sub dir" if i % 3 else ".") / f"part {i}.csv").write_text(f"{head}\n" + "1,2,3\n" * (5 if head else 0), encoding="utf-8")
+        found, used = jobs(str(folder))
+        assert {k: len(v) for k, v in found.items()} == {
+            k: v for k, v in {("appid", "genre"): (n + 3) // 4, ("genre", "appid"): (n + 2) // 4, ("appid", "genre", "x"): (n + 1) // 4}.items() if v
+        }
+        seen.append(used)
+    assert seen[0] == seen[1]
+    got = read_bronze_csv(spark, str(tmp_path / "f3"), schemas.SILVER_GENRES)
+    assert rows(got, "appid", "genre") == [(1, "2")] * 10 + [(2, "1")] * 5
+
+
+def test_names_of_a_header_line():
+    from linguamart.sources.snapshots import _names
+
+    assert _names('a,"b,c",,a,"d ""e"""') == ("a", "b,c", "__2", "a__3", 'd "e"')
+
+
+def test_scratch_needs_a_shared_folder(spark, monkeypatch):
+    from linguamart import session
+
+    class Cluster:
+        class sparkContext:
+            master, applicationId = "yarn", "app"
+
+        class conf:
+            values = {"spark.sql.warehouse.dir": "file:/tmp/warehouse"}
+
+            @classmethod
+            def get(cls, key, default=None):
+                return cls.values.get(key, default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_dir(Cluster)
+    Cluster.conf.values["spark.checkpoint.dir"] = "hdfs://nn/shared/"
+    assert session.scratch_dir(Cluster, "x").startswith("hdfs://nn/shared/x-")
+
+
+def test_clear_scratch(spark, monkeypatch):
+    from linguamart import session
+
+    monkeypatch.setattr(session, "_made", {})
+    folder = session.stored(spark.range(5), "five").inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(folder)
+    session.clear_scratch(spark)
+    assert not os.path.exists(folder)
