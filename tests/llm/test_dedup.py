@@ -1,9 +1,12 @@
 """Near duplicates and repeated passages against plain Python."""
 
 import hashlib
+import random
 from collections import Counter
 
+import pytest
 from llm_texts import prose
+from pyspark.sql import functions as F
 
 from linguamart.llm import neardup, repeats
 from linguamart.llm.components import components
@@ -14,7 +17,7 @@ def shingles(text):
     return {tuple(words)} if 0 < len(words) < 5 else {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
 
 
-def brute_components(rows):
+def brute_components(rows, share=85):
     sets = [shingles(t) for _, t in rows]
     home = list(range(len(rows)))
 
@@ -26,7 +29,7 @@ def brute_components(rows):
     for i in range(len(rows)):
         for j in range(i):
             common = len(sets[i] & sets[j])
-            if common and 100 * common >= 85 * len(sets[i] | sets[j]):
+            if common and 100 * common >= share * len(sets[i] | sets[j]):
                 home[top(i)] = top(j)
     groups = {}
     for i, (doc_id, _) in enumerate(rows):
@@ -63,6 +66,53 @@ def test_group_costs_no_pairs(frame):
     assert {r["component_id"] for r in neardup.near_duplicates(frame(rows)).collect()} == {0}
 
 
+def near_group(n, seed):
+    """Copies of one text with 1 to 5 words replaced by words of their own, and copies of copies: many pairs are alike just below the threshold."""
+    rng = random.Random(seed)
+    base, texts = prose(150, seed).split(), []
+    for i in range(n):
+        words = list(rng.choice(texts).split() if texts and rng.random() < 0.1 else base)
+        for k in range(rng.choice([1, 1, 2, 2, 3, 4, 5])):
+            words[rng.randrange(len(words))] = f"own{i}x{k}"
+        texts.append(" ".join(words))
+    return texts
+
+
+@pytest.mark.parametrize("share", [85, 80])
+def test_large_group_of_near_copies(frame, monkeypatch, share):
+    """All links of a group are found, and the pairs that are looked at grow with its size, not with the square of it."""
+    texts = near_group(300, 5)
+    rows = list(enumerate(texts + [prose(120, 700 + i) for i in range(30)] + [" ".join(prose(150, 5).split())]))
+    random.Random(1).shuffle(rows)
+    looked = []
+    real = neardup.confirm
+
+    def counted(pairs, texts, share):
+        looked.append(pairs.count())
+        return real(pairs, texts, share)
+
+    monkeypatch.setattr(neardup, "confirm", counted)
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in neardup.near_duplicates(frame(rows), share=share).collect()), key=str)
+    assert got == brute_components(rows, share)
+    assert sum(looked) < 10 * len(rows), looked
+
+
+@pytest.mark.parametrize("share", [85, 80, 50])
+def test_rare_meetings(spark, share):
+    """Against plain sets, with some components merged: every linked pair of two components meets, and few others do."""
+    texts = near_group(80, 8) + ["a b", "a b", "c", prose(9, 1), prose(9, 1) + " more"] + [" ".join(near_group(1, 8)[0].split()[:k]) for k in (100, 125, 140)]
+    sets = [shingles(t) for t in texts]
+    component = [i // 3 * 3 for i in range(len(texts))]
+    nodes = spark.createDataFrame([(i, c, len(s)) for i, (c, s) in enumerate(zip(component, sets))], "node long, component long, n long")
+    held = neardup.shingles_of(spark.createDataFrame(list(enumerate(texts)), "node long, text string"))
+    assert held.count() == sum(map(len, sets))
+    met = {(r["a"], r["b"]) for r in neardup.rare_meetings(nodes, held, share).collect()}
+    pairs = [(i, j) for j in range(len(sets)) for i in range(j) if component[i] != component[j]]
+    linked = {(i, j) for i, j in pairs if 100 * len(sets[i] & sets[j]) >= share * len(sets[i] | sets[j])}
+    assert linked <= met <= set(pairs)
+    assert share < 85 or len(met) < 0.5 * len(pairs)
+
+
 def test_near_duplicates_of_nothing(frame):
     assert neardup.near_duplicates(frame([])).count() == 0
 
@@ -75,6 +125,27 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_of_random_edges(spark, seed):
+    """Against a search from every node, with a chain that is longer than any number of rounds."""
+    rng = random.Random(seed)
+    pairs = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(1_000 + i, 1_001 + i) for i in range(300)]
+    near = {}
+    for a, b in pairs:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    want = {}
+    for first in sorted(near):
+        held = [first] if first not in want and near[first] - {first} else []
+        while held:
+            node = held.pop()
+            if node not in want:
+                want[node] = first
+                held += near[node]
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(pairs, "a long, b long").repartition(3)).collect()}
+    assert got == want
+
+
 def brute_removal(rows, size):
     docs = [(i, (t or "").encode().split()) for i, t in rows]
     seen = Counter(tuple(w[k:k + size]) for _, w in docs for k in range(len(w) - size + 1))
@@ -110,5 +181,15 @@ def test_remove_repeats_over_partitions(frame):
     assert removed(frame(rows).repartition(9, "doc_id")) == brute_removal(rows, 35)
 
 
+def test_many_copies_of_one_text(spark, frame):
+    """What copies in many tasks have found of one text counts once: the list that is gathered is that of the text's own windows."""
+    text = prose(80, 3)
+    rows = [(i, text) for i in range(10_000)] + [(20_000, prose(60, 4)), (20_001, f"{prose(20, 5)} {text[:-4]}")]
+    df = frame(rows).repartition(64)
+    assert removed(df) == brute_removal(rows, 35)
+    runs = repeats.repeated_runs(df.select("text", F.xxhash64("text").alias("text_hash")))
+    assert runs.select(F.max(F.size("found"))).first()[0] <= 80
+
+
 def test_remove_repeats_from_nothing(frame):
     assert removed(frame([])) == []
