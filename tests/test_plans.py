@@ -8,7 +8,11 @@ from linguamart.checks import QUERIES
 from linguamart.checks.registry import table
 
 SF_DIR = "/root/testdata/sf0.001"
-LAZY = sorted(n for n in QUERIES if not n.startswith(("q_source", "q_file", "q_incremental", "q_late", "q_rerun", "q_schema_sync", "q_merge")))
+# Queries that write tables on the way end in a scan of them; their plans show nothing.
+LAZY = sorted(n for n in QUERIES if not n.startswith((
+    "q_source", "q_file", "q_incremental", "q_late", "q_rerun", "q_schema_sync", "q_merge", "q_trend_incremental", "q_stream", "q_lost", "q_unique_growing", "q_ledger", "q_audited",
+    "q_distinct_sketches", "q_silver_day", "q_csv_sink",
+)))
 
 
 def plan(df):
