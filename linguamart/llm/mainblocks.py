@@ -1,6 +1,7 @@
 """Main text of HTML pages by the distribution of text over line blocks."""
 
 import re
+from collections import defaultdict
 from html import unescape
 
 import numpy as np
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 LINES = 3
 #: A line of which more than this share is link text counts as empty.
 LINKS = 0.6
+#: A stretch of lines, outside article and main elements, whose fullest window holds less than this share of the page's fullest is left out.
+FAINT = 0.1
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
@@ -35,10 +38,36 @@ OTHER = re.compile(
 )
 
 
+#: In names of several parts (site-footer, adSlot): the last part that names such an element, or a first one before parts that only say
+#: that it is a box. Names of a state (with-sidebar, has-ads) are not names of the element.
+LAST_PART = re.compile(
+    r"(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|"
+    r"notification|pagination|popup|promo\w*|replies|sharing|sidebar|sponsor\w*|toolbar)\d*", re.I,
+)
+FIRST_PART = re.compile(r"(?:ads?|advert\w*|comments?|cookies?|disqus|footer|menu|nav|newsletter|popup|promo\w*|related|share|sharing|sidebar|social|sponsor\w*)", re.I)
+BOX_PART = re.compile(r"(?:area|bar|block|bottom|box|button|buttons|container|form|icons?|inner|items?|left|links?|list|panel|right|row|section|slot|thread|top|unit|wrap|wrapper|)\d*", re.I)
+STATE_PART = {"has", "is", "no", "not", "with", "without"}
+READERS = re.compile(r"(?:comments?|respond|replies|disqus)\d*", re.I)
+PART = re.compile(r"[-_]+|(?<=[a-z0-9])(?=[A-Z])")
+
+
+def other_kind(name):
+    """What a class, id or role names: 0 nothing to be dropped, 1 a part that is not the article, 2 comments of readers."""
+    parts = [x for x in PART.split(name) if x]
+    if not parts or len(parts) > 1 and parts[0].lower() in STATE_PART:
+        return 0
+    boxed = len(parts) > 1 and FIRST_PART.fullmatch(parts[0]) and all(map(BOX_PART.fullmatch, parts[1:]))
+    if not (OTHER.fullmatch(name) or len(parts) > 1 and LAST_PART.fullmatch(parts[-1]) or boxed):
+        return 0
+    return 2 if READERS.fullmatch(parts[0] if boxed else parts[-1]) else 1
+
+
 def lines_of(html):
     """(text, share of it in links, in an article or main element, number of the innermost element named to be dropped or -1) of
     each block with text; and those elements: [number of the one around it or -1, may hold the page, holds an article or main]."""
     lines, parts, links, open_tags, named, around = [], [], [], [], [], [-1]
+    # Where the open elements of each name are, so that an end tag finds its own at once, however many others are open.
+    places = defaultdict(list)
     main = link = 0
     at, end = 0, len(html)
 
@@ -70,30 +99,36 @@ def lines_of(html):
             at = found.end() if found else end
             continue
         if closing:
-            places = [i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == name]
-            if places:
-                gone = open_tags[places[0]:]
-                del open_tags[places[0]:]
+            if places[name]:
+                first = places[name][-1]
+                gone = open_tags[first:]
+                del open_tags[first:]
                 ended = sum(x[1] for x in gone)
                 if ended:
                     close()
                     del around[-ended:]
+                for x, _ in gone:
+                    places[x].pop()
                 main -= sum(x[0] in MAIN for x in gone)
                 link -= sum(x[0] == "a" for x in gone)
         elif name not in EMPTY and not tag[0].endswith("/>"):
-            names = [y for x in NAMES.findall(tag[3] or "") for y in (x[0] or x[1] or x[2]).split()]
-            other = name not in ("html", "body") and name not in MAIN and any(map(OTHER.fullmatch, names))
-            drop = other or name in DROPPED
+            kind = 0
+            if name not in ("html", "body") and name not in MAIN:
+                names = [y for x in NAMES.findall(tag[3] or "") for y in (x[0] or x[1] or x[2]).split()]
+                kind = max(map(other_kind, names), default=0)
+            drop = kind > 0 or name in DROPPED
             if name in ("p", "li", "td", "th", "tr", "option", "dt", "dd") and open_tags and open_tags[-1][0] == name and not open_tags[-1][1]:
                 open_tags.pop()
+                places[name].pop()
             if drop:
                 close()
-                named.append([around[-1], name not in DROPPED or name in WRAPPERS, False])
+                named.append([around[-1], kind < 2 and (name not in DROPPED or name in WRAPPERS), False if kind < 2 else None])
                 around.append(len(named) - 1)
+            places[name].append(len(open_tags))
             open_tags.append((name, drop))
             if name in MAIN:
                 main += 1
-                if around[-1] >= 0:
+                if around[-1] >= 0 and named[around[-1]][2] is False:
                     named[around[-1]][2] = True
             link += name == "a"
     close()
@@ -101,8 +136,8 @@ def lines_of(html):
 
 
 def dropped(lines, named):
-    """Whether each element of ``named`` goes. One that holds most of the page's text, or the page's only articles, stays."""
-    sizes, holds = [0] * len(named), [x[2] for x in named]
+    """Whether each element of ``named`` goes. One that holds most of the page's text, or the page's only articles, stays; readers' comments never do."""
+    sizes, holds = [0] * len(named), [bool(x[2]) for x in named]
     for text, _, _, k in lines:
         if k >= 0:
             sizes[k] += len(text)
@@ -110,7 +145,7 @@ def dropped(lines, named):
         around = named[k][0]
         if around >= 0:
             sizes[around] += sizes[k]
-            holds[around] |= holds[k]
+            holds[around] |= holds[k] and named[around][2] is not None
     total, elsewhere = sum(len(x[0]) for x in lines), any(x[2] and x[3] < 0 for x in lines)
     gone = []
     for k, (around, wraps, _) in enumerate(named):
@@ -119,8 +154,22 @@ def dropped(lines, named):
     return gone
 
 
-def main_text(html, window=LINES, links=LINKS):
-    """The text between the first surge and the last dive of the line-block distribution, blocks joined by one space."""
+def stretches(length, window=LINES, faint=FAINT):
+    """[first, last) lines of the stretches between a surge and the dive that follows it, by sums over ``window`` neighbouring lines.
+
+    A surge is where the sums rise from 0, a dive where they are back at it. A stretch whose greatest sum is below the
+    share ``faint`` of the page's greatest is none.
+    """
+    # Sum i is that of the lines up to i, so a stretch of sums begins with its first line and ends ``window`` - 1 lines after its last.
+    blocks = np.convolve(length, np.ones(window, np.int64))
+    full = np.r_[False, blocks > 0, False]
+    surges, dives = np.flatnonzero(full[1:] & ~full[:-1]), np.flatnonzero(~full[1:] & full[:-1])
+    least = faint * blocks.max(initial=0)
+    return [(a, b - window + 1) for a, b in zip(surges.tolist(), dives.tolist()) if blocks[a:b].max() >= least]
+
+
+def main_text(html, window=LINES, links=LINKS, faint=FAINT):
+    """The text of all stretches of the line-block distribution, blocks joined by one space."""
     lines, named = lines_of(html or "")
     if not lines:
         return ""
@@ -128,25 +177,21 @@ def main_text(html, window=LINES, links=LINKS):
     stays = [k < 0 or not gone[k] for _, _, _, k in lines]
     inside = any(m and s for (_, _, m, _), s in zip(lines, stays))
     length = np.array([len(t) if s and (m if inside else share <= links) else 0 for (t, share, m, _), s in zip(lines, stays)])
-    if not length.any():
-        return ""
-    # Block i sums the lines i to i + window - 1. A surge is where blocks begin to hold text, a dive where they end.
-    blocks = np.convolve(length, np.ones(window, int))[window - 1:]
-    full = np.concatenate([[False], blocks > 0, [False]])
-    surges, dives = np.flatnonzero(full[1:] & ~full[:-1]), np.flatnonzero(~full[1:] & full[:-1])
-    # A gap, however long, may lie within the article; lines without text are left out one by one.
-    first, last = surges[0], dives[-1] + window - 1
-    return " ".join(x[0] for x, n in zip(lines[first:last], length[first:last]) if n)
+    # What an article or main element holds is the text, however short its parts; elsewhere the distribution decides.
+    kept = stretches(length, window, 0 if inside else faint)
+    return " ".join(lines[i][0] for a, b in kept for i in range(a, b) if length[i])
 
 
 def extract(pages, id_col="page_id", url_col="url", html_col="html"):
     """page_id, url, text, n_chars (code points) of every page.
 
     Markup is stripped to lines, one per block; scripts, styles, forms, menus, headers, footers, sidebars, notices, adverts
-    and comments, known by element or by a whole name in class, id or role, count as lines without text, unless such an element
-    holds most of the page's text or its only articles. So do lines mostly of links outside article and main elements. Lengths
-    are summed over sliding windows of LINES lines; text is kept from where the sums first rise from 0 (surge) to where they
-    last fall back to it (dive), all stretches of it; inside article or main elements only, if there are any.
+    and comments, known by element or by a name in class, id or role (a whole one, or one of several parts that ends with
+    such a name, or begins with it and goes on with names of boxes), count as lines without text, unless such an element
+    holds most of the page's text or its only articles; readers' comments always do. So do lines mostly of links outside article and main elements. Lengths
+    are summed over sliding windows of LINES lines; text is kept from each point where the sums rise from 0 (surge) to that where they
+    fall back to it (dive). Of a page with article or main elements that is their text. Of another, stretches that are
+    faint against its fullest window (FAINT) are left out: single words between menus, marks of time, captions of buttons.
 
     A null or empty page, or one without text, gives an empty text. A page cut short is read as far as it goes. Null ids
     and urls stay null, repeated rows stay, other columns are not looked at; an empty table gives no row. Pages are read
