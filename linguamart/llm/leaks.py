@@ -11,8 +11,9 @@ from .common import saved
 MASKS = ("1111", "11011")
 #: The same for items of fewer words, by their number.
 SHORT_MASKS = {1: ("1",), 2: ("11",), 3: ("111",), 4: ("1111",), 5: ("111", "11011"), 6: ("111", "11011")}
-#: Bits of the filter that spares most words of the corpus the join. Its size is fixed; more seeds only make it let more through.
-FILTER_BITS = 1 << 23
+#: Bits of the filter that spares most words of the corpus the join: BITS_EACH for a seed, rounded up to a power of two, between
+#: the two bounds (8 KB and 16 MB, which the driver and every task hold). Beyond the greater one more seeds make it let more through.
+BITS_EACH, LEAST_BITS, MOST_BITS = 256, 1 << 16, 1 << 27
 #: An overlap is judged on this many aligned words, or on the whole item if that is shorter, and holds at this share of equal ones.
 OVERLAP, SHARE = 20, 0.8
 
@@ -38,7 +39,12 @@ def seeds(rows, masks=MASKS):
     return at.select(*rest, "at", F.explode_outer(F.array(*hashes)).alias("seed")).where("seed is not null")
 
 
-def seed_filter(wanted, bits=FILTER_BITS):
+def filter_bits(n):
+    """Bits of a filter for ``n`` seeds."""
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_EACH * n - 1).bit_length())) if n else LEAST_BITS
+
+
+def seed_filter(wanted, bits):
     """One row with an array of longs: two bits set for each seed of ``wanted``. Its size depends on ``bits`` alone."""
     places = wanted.select(F.explode(F.array(*_places(F.col("seed"), bits))).alias("place"))
     longs = places.groupBy(F.shiftright("place", 6).alias("id")).agg(
@@ -53,7 +59,7 @@ def _places(seed, bits):
     return seed.bitwiseAND(mask), F.shiftrightunsigned(seed, 32).bitwiseAND(mask)
 
 
-def maybe(seed, bits_of, bits=FILTER_BITS):
+def maybe(seed, bits_of, bits):
     """Whether the filter has both bits of a seed."""
     held = []
     for place in _places(seed, bits):
@@ -75,7 +81,7 @@ def contaminated(docs, benchmark, masks=MASKS, overlap=OVERLAP, share=SHARE, id_
     overlap if ``overlap`` aligned words in a row (all of the item's, if it has fewer) have a share of at least ``share``
     equal ones. n_overlap is the number of words side by side, n_equal of equal ones, at the best of the item's places.
 
-    The corpus is hashed in one pass and meets a filter of fixed size first; what passes is joined on the hash, whichever
+    The corpus is hashed in one pass and meets a filter first, sized by the number of seeds up to a bound; what passes is joined on the hash, whichever
     way fits the sizes. Hits of one document, item and place become one before texts are looked at, so a passage of very
     many documents costs each of them a row.
 
@@ -96,7 +102,8 @@ def contaminated(docs, benchmark, masks=MASKS, overlap=OVERLAP, share=SHARE, id_
     posted = reduce(DataFrame.union, [seeds(items.where(n == k), masks_of([k], masks) or masks) for k in lengths])
     masks = masks_of(lengths, masks) or masks
     wanted = saved(posted.select("seed", "item_id", "item_hash", F.col("at").alias("item_at")).distinct(), "seeds")
-    hits = seeds(rows, masks).where(maybe(F.col("seed"), seed_filter(wanted).scalar())).join(wanted, "seed")
+    bits = filter_bits(wanted.select("seed").distinct().count())
+    hits = seeds(rows, masks).where(maybe(F.col("seed"), seed_filter(wanted, bits).scalar(), bits)).join(wanted, "seed")
     hits = saved(hits.select("doc_id", "text_hash", "item_id", "item_hash", (F.col("at") - F.col("item_at")).alias("shift")).distinct(), "hits")
     item_words = items.select(F.col("item_id").alias("_item"), F.col("item_hash").alias("_item_hash"), F.col("words").alias("item_words"))
     # Only texts with a hit are split again, after they have met it.

@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -218,6 +219,59 @@ def test_main_text_drops_nothing_else():
     assert mainblocks.main_text(f"<article>{prose(30, 1)}</article><div id=comments><article>No.</article></div>") == prose(30, 1)
 
 
+@pytest.mark.parametrize("name", [
+    "site-footer", "cookie-banner", "comment-list", "ad-slot", "main-nav", "adSlot2", "sidebar_inner", "primaryMenu", "post-comments", "social-links", "newsletter-box",
+])
+def test_names_of_several_parts(name):
+    text = prose(40, 1)
+    for page in ("<article><p>%s</p><div class='x %s'>Gone.</div></article>", "<div><p>%s</p></div><section id='%s'><p>Gone.</p></section>"):
+        assert mainblocks.main_text(page % (text, name)) == text
+    for other in ("related-work", "search-methods", "with-sidebar", "has-ads", "navigate", "addition", "footerless-page", "commentary"):
+        assert mainblocks.main_text(f"<div><p>{text}</p><p class='{other}'>{text}</p></div>") == f"{text} {text}"
+
+
+def test_long_comments_go():
+    text, comments = prose(30, 1), "".join(f"<div><p>{prose(40, i)}</p></div>" for i in range(20))
+    for page in (f"<article>{text}</article><div id=comments>{comments}</div>", f"<div><p>{text}</p></div><div id=comments>{comments}</div>",
+                 f"<article>{text}<section class=comment-thread>{comments}</section></article>", f"<div><p>{text}</p></div><div id=comments><article>{comments}</article></div>"):
+        assert mainblocks.main_text(page) == text
+
+
+def test_unbalanced_tags_take_linear_time():
+    began = time.process_time()
+    assert mainblocks.main_text("<div>" * 80_000 + "x" + "</p>" * 80_000 + "<b></i>" * 80_000) == "x"
+    assert mainblocks.main_text("<div><a>" * 40_000 + "</div>" * 40_000 + "y") == "y"
+    assert time.process_time() - began < 4
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_stretches(seed):
+    """Against sums of every window: lines near text are in a stretch, and a faint one is left out."""
+    rng = random.Random(seed)
+    length = [rng.choice([0, 0, 0, 1, 5, 30, 400]) for _ in range(rng.randint(1, 60))]
+    window, faint = rng.choice([1, 2, 3, 5]), rng.choice([0, 0.1, 0.5])
+    sums = [sum(length[max(0, i - window + 1):i + 1]) for i in range(len(length) + window - 1)]
+    groups, now = [], []
+    for i, x in enumerate(sums + [0]):
+        if x:
+            now.append(i)
+        elif now:
+            groups.append(now)
+            now = []
+    want = {i for g in groups if max(sums[k] for k in g) >= faint * max(sums) for i in range(g[0], g[-1] + 2 - window) if length[i]}
+    got = [i for a, b in mainblocks.stretches(np.array(length), window, faint) for i in range(a, b) if length[i]]
+    assert got == sorted(want)
+
+
+def test_distribution_decides_outside_articles():
+    """The same words stay in an article, and go as a faint stretch far from the text of a page without one; wide windows reach them."""
+    gap = "<div class=ad>Buy</div>" * 4
+    page = f"<p>Login</p>{gap}<p>{prose(60, 1)}</p><p>Short.</p><p>{prose(60, 2)}</p>{gap}<p>Top</p>"
+    want = f"{prose(60, 1)} Short. {prose(60, 2)}"
+    assert mainblocks.main_text(page) == want
+    assert mainblocks.main_text(page, window=9) == mainblocks.main_text(f"<article>{page}</article>") == f"Login {want} Top"
+
+
 def test_extract(spark):
     rows = [(1, "u", PAGE % "<article><p>x y</p></article>"), (None, None, None), (2, "v", ""), (1, "u", PAGE % "<article><p>x y</p></article>")]
     df = spark.createDataFrame([(*r, "t", 5) for r in rows], "page_id long, url string, html string, text string, n_chars int")
@@ -236,7 +290,7 @@ def brute_leaks(docs, items):
             for shift in range(-len(b) + 1, len(a)):
                 first = max(0, -shift)
                 side = [a[i + shift] == b[i] for i in range(first, min(len(b), len(a) - shift))]
-                if len(b) >= 6 and any(sum(side[i:i + need]) >= 0.8 * need for i in range(len(side) - need + 1)):
+                if b and any(sum(side[i:i + need]) >= 0.8 * need for i in range(len(side) - need + 1)):
                     out.add((doc_id, item_id))
     return out
 
@@ -263,6 +317,7 @@ def test_substitutions_that_six_words_miss(spark, frame):
 
 def test_decontamination(spark, frame, odd_rows):
     items = [(i, prose(16 + 3 * i, 500 + i)) for i in range(10)] + [(10, None), (11, ""), (12, "ka ban"), (None, prose(30, 600)), (0, prose(16, 500))]
+    items += [(20 + n, prose(n, 610 + n)) for n in range(1, 7)]
 
     def changed(text, every):
         return " ".join("XX" if every and i % every == every - 1 else w.title() + "," for i, w in enumerate(text.split()))
