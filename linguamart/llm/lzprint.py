@@ -11,17 +11,36 @@ from .common import documents, mix
 
 #: Slots of a fingerprint; each holds 16 bits of the least phrase hash that falls into it, 0000 if none does.
 SLOTS = 256
+#: A word of more bytes is cut into pieces, after about one in CUT_EACH of its characters: text without spaces has no other words.
+LONG_WORD, CUT_EACH = 64, 4
 #: Bytes of text that one bucket of neighbours should hold, about.
 BUCKET_BYTES, MOST_BUCKETS = 16 << 20, 8192
 
 
+def pieces(word):
+    """A long word in pieces. Where it is cut depends on two neighbouring characters only, so an edit moves no cut but its own."""
+    points = np.frombuffer(word.decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.uint64)
+    pair = mix(points[:-1] << np.uint64(32) | points[1:])
+    cuts = np.flatnonzero(pair % np.uint64(CUT_EACH) == 0) + 1
+    ends = np.cumsum(1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)).tolist()
+    bounds = [0, *(ends[c - 1] for c in cuts.tolist()), len(word)]
+    return [word[a:b] for a, b in zip(bounds, bounds[1:])]
+
+
+def symbols(words):
+    """The words that phrases are made of: all words, long ones in pieces."""
+    if max(map(len, words), default=0) <= LONG_WORD:
+        return words
+    return [x for w in words for x in (pieces(w) if len(w) > LONG_WORD else (w,))]
+
+
 def parse(words, known, phrase=b""):
     """Parse words into phrases, each the shortest run of words that is not ``known`` yet; they are added to it.
 
     ``phrase`` is what an earlier call left open, and what is left open now comes back.
     """
     add = known.add
-    for word in words:
+    for word in symbols(words):
         phrase += word
         if phrase in known:
             phrase += b" "
@@ -109,13 +128,15 @@ def neighbours(rows):
     )
     spread = placed.withColumn("guest_in", guest_in("doc_id", "bucket")).select("doc_id", "text", F.explode(places).alias("place"))
     spread = spread.where("place.bucket is not null").select("doc_id", "text", "place.bucket", "place.guest")
-    return spread.repartition(2 * max(1, len(order)), "bucket").sortWithinPartitions("bucket", "guest", F.desc_nulls_last("doc_id"), "text")
+    # By range: a hash would put several buckets into some tasks, and none into others.
+    return spread.repartitionByRange(max(1, len(order)), "bucket").sortWithinPartitions("bucket", "guest", F.desc_nulls_last("doc_id"), "text")
 
 
 def fingerprints(docs, id_col="doc_id", text_col="text"):
     """PRINTED of every document: the fingerprint of its whole text, that of its edited text, and how near they are.
 
-    A text's words (split at space and 0x09 to 0x0D) are parsed into LZ78 phrases; the hashes of the phrase set fall into SLOTS, and the least of each is
+    A text's words (split at space and 0x09 to 0x0D; a word of more than LONG_WORD bytes, as in scripts without spaces or in encoded data,
+    counts as several, cut where its characters say) are parsed into LZ78 phrases; the hashes of the phrase set fall into SLOTS, and the least of each is
     kept. Likeness is the share of equal slots, an estimate of the overlap of the phrase sets. Equal texts have equal
     fingerprints. The next document is that of the next lower id (after the lowest the highest); documents of one id
     follow each other by text, those without an id come last. A single document is its own next. A null text counts as
