@@ -179,7 +179,8 @@ def repeated_runs(docs, size=WINDOW, cells=CELLS):
             F.greatest(F.col("n") - 1, F.lit(1)).cast("long").alias("run"),
         ).alias("at"),
     )
-    return marks.groupBy("r_hash").agg(F.collect_list("at").alias("found"))
+    # As a set: what copies of a text in many tasks have found alike counts once, before it moves and after.
+    return marks.groupBy("r_hash").agg(F.collect_set("at").alias("found"))
 
 
 def remove_repeats(docs, size=WINDOW, cells=CELLS, id_col="doc_id", text_col="text", keep=()):
