@@ -84,6 +84,72 @@ def test_fingerprints(frame, odd_rows, monkeypatch):
     assert sorted(map(tuple, lzprint.fingerprints(frame(rows)).collect()), key=str) == sorted(want, key=str)
 
 
+def plain_mix(x):
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> shift)) * factor % 2 ** 64
+    return x ^ (x >> 31)
+
+
+def plain_print(text):
+    """The fingerprint step by step: words, pieces of long ones, phrases, hashes, least of each slot."""
+    words = []
+    for word in text.encode().split():
+        if len(word) > 64:
+            held = ""
+            characters = word.decode()
+            for a, b in zip(characters, characters[1:] + " "):
+                held += a
+                if plain_mix((ord(a) << 32) + ord(b)) % 4 == 0 and b != " ":
+                    words.append(held.encode())
+                    held = ""
+            words.append(held.encode())
+        else:
+            words.append(word)
+    phrases, phrase = set(), []
+    for word in words:
+        phrase.append(word)
+        if b" ".join(phrase) not in phrases:
+            phrases.add(b" ".join(phrase))
+            phrase = []
+    slots = [None] * 256
+    for h in (plain_mix(zlib.crc32(p)) for p in phrases):
+        k, rest = h >> 56, h % 2 ** 56
+        slots[k] = rest if slots[k] is None else min(slots[k], rest)
+    return [0 if x is None else x % 65535 + 1 for x in slots]
+
+
+def plain_likeness(a, b):
+    used = [(x, y) for x, y in zip(a, b) if x or y]
+    return sum(x == y for x, y in used) / len(used) if used else 1.0
+
+
+def test_fingerprints_against_plain_python(frame, odd_rows):
+    long = "".join(chr(0x4E00 + (7 * i * i + i) % 900) for i in range(3_000))
+    rows = odd_rows + [(100, long), (101, long[:1500] + "x" + long[1500:]), (102, "acgt" * 400 + " end"), (103, "é" * 200 + " ñ " + "\U0001F600" * 90), (104, "x" * 65), (105, "y" * 64)]
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    want = []
+    for k, (doc_id, text) in enumerate(order):
+        text, other = text or "", order[(k + 1) % len(order)][1] or ""
+        third = len(text) // 3
+        changed = text[:len(text) - third] + other[:third]
+        own, new, following = map(plain_print, (text, changed, other))
+        spelled = ["".join(f"{x:04x}" for x in p) for p in (own, new)]
+        want.append((doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest(), *spelled, round(plain_likeness(own, new), 9), round(plain_likeness(own, following), 9)))
+    got = [(*tuple(r)[:5], round(r["near_edited"], 9), round(r["near_next"], 9)) for r in lzprint.fingerprints(frame(rows)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_text_without_spaces():
+    """One character more among 5,000 changes little; another text shares next to nothing."""
+    rng = np.random.default_rng(4)
+    for first, size in ((0x4E00, 800), (0x41, 4)):
+        text = "".join(map(chr, rng.integers(first, first + size, 5_000)))
+        other = "".join(map(chr, rng.integers(first, first + size, 5_000)))
+        for at in (3, 2_500, 4_990):
+            assert lzprint.likeness(lzprint.fingerprint(text), lzprint.fingerprint(text[:at] + "z" + text[at:])) > 0.9
+        assert lzprint.likeness(lzprint.fingerprint(text), lzprint.fingerprint(other)) < (0.2 if size > 4 else 0.9)
+
+
 def test_parse_and_likeness():
     known = set()
     lzprint.parse(b"a a b a b a b".split(), known)
@@ -104,5 +170,10 @@ def test_ranking(spark, frame, odd_rows):
     assert len(held) > 10 and all(a == b for a, b in held)
     assert len({r["score"] for r in got if r["doc_id"] == 8}) == 1
     assert ranking.score_documents(frame([]), labels).count() == 0
+    # Labels that contradict each other: 0 holds; an id that comes many times with one text adds one text.
+    twice = labels.unionByName(spark.createDataFrame([(1000 + i, 0, 0) for i in range(5)] * 2, "doc_id long, quality int, toxic int"))
+    learnt = {r["text"]: r["quality"] for r in ranking.labelled(frame(good + good[:3] * 500 + bad).select("doc_id", "text"), twice, 5).collect()}
+    assert len(learnt) == sum(bool(fold(i, 5)) for i, _ in good + bad) and all(learnt[t] == (i >= 1005) for i, t in good if fold(i, 5))
+    assert ranking.labelled(frame(good + good[:3] * 500 + bad).select("doc_id", "text"), twice, 5).count() == len(learnt)
     alike = ranking.score_documents(frame(odd_rows), labels.where("quality = 9")).collect()
     assert {round(r["score"], 9) for r in alike} == {0.3}
