@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .common import Rolling, documents, lower, saved, text_chunks, words_of
 
 #: Text that a segment of the index holds, about, and text that is cut into terms at a time.
-SEGMENT_BYTES, SLICE_BYTES = 8 << 20, 1 << 21
+SEGMENT_BYTES, SLICE_BYTES = 4 << 20, 1 << 19
 #: A list is short if it holds at most one in so many of a segment's documents (or LEAST_SHORT of them).
 SHORT_SHARE, LEAST_SHORT = 32, 64
 #: Documents that lists are bounded and walked through by.
