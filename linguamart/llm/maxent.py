@@ -129,24 +129,32 @@ class Model:
         z /= z.sum(1, keepdims=True)
         return z
 
+    @staticmethod
+    def log10_softmax(z, at):
+        """log10 of the softmax of column ``at`` of each row, however small: the share itself is never formed."""
+        z -= z.max(1, keepdims=True)
+        own = z[np.arange(len(z)), at].astype(float)
+        np.exp(z, out=z)
+        return (own - np.log(z.sum(1))) / LN10
+
     def classes(self, slots):
         z = np.take(self.a, slots[0], 0)
         for s in slots[1:]:
             z += np.take(self.a, s, 0)
         z += self.v.bias + self.bias
-        return self.softmax(z)
+        return z
 
     def words(self, kind, before):
         slots = [slots_of(np.full(1, 4), kind, before[0]), slots_of(np.full(1, 5), kind, before[1])]
-        return self.softmax(np.take(self.b, slots[0], 0) + np.take(self.b, slots[1], 0) + np.take(self.v.inner, kind, 0)), slots
+        return np.take(self.b, slots[0], 0) + np.take(self.b, slots[1], 0) + np.take(self.v.inner, kind, 0), slots
 
     def log10_parts(self, codes, slots, before):
-        """The model's log10 probability of each token, without log10(count + SMOOTH) of words that are not known."""
+        """The model's log10 probability of each token, without log10(count + SMOOTH) of words that are not known: ``score_documents`` joins their counts."""
         kind, place = self.v.kind[codes], self.v.place[codes]
-        out = np.log10(np.maximum(self.classes(slots)[np.arange(len(codes)), kind], 1e-30)).astype(float)
+        out = self.log10_softmax(self.classes(slots), kind)
         closed = np.flatnonzero(place >= 0)
-        p, _ = self.words(kind[closed], [b[closed] for b in before])
-        out[closed] += np.log10(np.maximum(p[np.arange(len(closed)), place[closed]], 1e-30))
+        inner, _ = self.words(kind[closed], [b[closed] for b in before])
+        out[closed] += self.log10_softmax(inner, place[closed])
         rest = place < 0
         out[rest] += self.v.log_count[codes[rest]] - self.v.open_norm[kind[rest]]
         return out
@@ -155,10 +163,11 @@ class Model:
         """One gradient step on a run of tokens; ``seen`` has the squared gradients so far, as the weights are laid out."""
         kind, place = self.v.kind[codes], self.v.place[codes]
         sa, sb = seen[:SHAPE[0]].reshape(SLOTS, CLASSES), seen[SHAPE[0]:-CLASSES].reshape(SLOTS, EACH)
-        g = self.classes(slots)
+        g = self.softmax(self.classes(slots))
         g[np.arange(len(codes)), kind] -= 1
         closed = np.flatnonzero(place >= 0)
         h, inner = self.words(kind[closed], [b[closed] for b in before])
+        h = self.softmax(h)
         h[np.arange(len(closed)), place[closed]] -= 1
         for s in slots:
             _descend(self.a, sa, s, g)

@@ -63,6 +63,26 @@ def test_probabilities_add_up():
     assert abs(total - 1) < 1e-4
 
 
+def test_small_probabilities_are_not_cut():
+    """A class or word far beyond what a float holds keeps its own log probability."""
+    known = [(f"w{i}".encode(), 1000 - i) for i in range(600)]
+    weights = np.zeros(sum(maxent.SHAPE), np.float32)
+    weights[-maxent.CLASSES] = 400
+    weights[maxent.SHAPE[0]:-maxent.CLASSES].reshape(-1, maxent.EACH)[:, 0] = 100
+    model = maxent.Model(maxent.Vocabulary(known, {k: (1, 1) for k in range(maxent.OPEN)}), weights)
+    places = [0, 1, maxent.EACH, maxent.EACH + 1]
+    got = model.log10_parts(*model.lay_out([np.array(places, np.int32)]))
+    counts = np.array([n for _, n in known[:maxent.CLASS_WORDS]], float).reshape(-1, maxent.EACH)
+    biases = model.v.bias.astype(float) + model.bias
+    share = (biases - biases.max() - np.log(np.exp(biases - biases.max()).sum())) / maxent.LN10
+    for i, p in zip(places, got):
+        z = np.log(counts[i // maxent.EACH] + maxent.SMOOTH)
+        z[0] += 200
+        word = (z - z.max() - np.log(np.exp(z - z.max()).sum())) / maxent.LN10
+        assert abs(p - share[i // maxent.EACH] - word[i % maxent.EACH]) < 1e-3
+    assert got[3] < -200
+
+
 def test_nothing_to_score(frame):
     assert maxent.score_documents(frame([])).count() == 0
     assert lzprint.fingerprints(frame([])).count() == 0
