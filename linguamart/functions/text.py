@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..constants import AUDIO_FOOTNOTE, LANGUAGE_CODES, WHITESPACE
+from ..constants import AUDIO_FOOTNOTE, AUDIO_MARK, LANGUAGE_CODES, WHITESPACE
 
 # The same set as WHITESPACE, in the form a regex engine tests fastest.
 WS_INNER = r"\s\x1c-\x1f"
@@ -11,6 +11,8 @@ WS_CLASS = f"[{WS_INNER}]"
 # Marks go first, then whatever other tag or star is left.
 _MARKS = rf"(?U)<br{WS_CLASS}*/?>|<strong>\*</strong>"
 _TAGS_AND_STARS = r"<[^>]+>|\*"
+# Words with one plain space between them: nothing to trim or squeeze.
+_PLAIN_WORDS = r"\A[!-~]++(?: [!-~]++)*+\z"
 _FOOTNOTE = f"(?i){AUDIO_FOOTNOTE}"
 _FOOTNOTE_WITH_MARK = rf"(?iU)(?:<br{WS_CLASS}*/?>)?{WS_CLASS}*<strong>\*</strong>{WS_CLASS}*{AUDIO_FOOTNOTE}"
 
@@ -49,7 +51,15 @@ def strip_footnote(col):
 def clean_language(col):
     """HTML token to plain name."""
     plain = F.regexp_replace(F.regexp_replace(col, _MARKS, " "), _TAGS_AND_STARS, " ")
-    return strip_ws(squeeze_ws(F.regexp_replace(plain, _FOOTNOTE, "")))
+    full = strip_ws(squeeze_ws(F.regexp_replace(plain, _FOOTNOTE, "")))
+    # Nearly all names have no mark but the bold star. Without any other tag, and too short for the footnote, stars and
+    # white space are all that has to go; a literal is found at a fraction of the cost of a pattern, and so is a plain space.
+    bare = F.replace(col, F.lit(AUDIO_MARK), F.lit(" "))
+    name = F.trim(F.replace(bare, F.lit("*"), F.lit(" ")))
+    return (
+        F.when(bare.contains("<") | (F.length(bare) >= len(AUDIO_FOOTNOTE)), full)
+        .when(name.rlike(_PLAIN_WORDS), name).otherwise(strip_ws(squeeze_ws(name)))
+    )
 
 
 def tidy_language(col):
