@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from linguamart.checks import gold, insights
+from linguamart.checks import audit, gold, insights
 from linguamart.functions import clean_language
 from linguamart.plans import staging
 
@@ -59,6 +59,14 @@ def test_players_of_newest_day_take_one_shuffle(spark, lines):
     assert "snapshot_date" not in "".join(x for x in text.splitlines() if "hashpartitioning" in x)
 
 
+def test_checks_store_only_checked_columns(spark, lines, monkeypatch):
+    kept = {}
+    keep = audit.stored
+    monkeypatch.setattr(audit, "stored", lambda df, label: kept.update({label: df.columns}) or keep(df, label))
+    audit.dq_marts(spark, lines)
+    assert kept == {"fct_games": ["appid", "title"], "dim_languages": ["language_key", "appid", "language"]}
+
+
 def test_clean_names(spark, rows):
     """Names without other tags take a shorter way to the same result."""
     parts = ["French", " <strong>*</strong>", "*", " ", "\t ", "  Simplified Chinese ", "<i>Thai</i>", "<br >", "é", "languages with FULL audio support", "a<b"]
