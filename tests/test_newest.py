@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from linguamart.checks import audit, gold, insights
+from linguamart.checks import audit, gold, incremental, insights
 from linguamart.functions import clean_language
 from linguamart.plans import staging
 
@@ -67,6 +67,20 @@ def test_checks_store_only_checked_columns(spark, lines, monkeypatch):
     assert kept == {"fct_games": ["appid", "title"], "dim_languages": ["language_key", "appid", "language"]}
 
 
+def test_loads_get_a_fact_that_is_worked_out(spark, lines, monkeypatch):
+    """Dealing out days reads its rows twice: neither a load nor a writer of days gets windows that are yet to run."""
+    seen = []
+
+    def watched(do):
+        return lambda df, *a, **k: seen.append(plan(df)) or do(df, *a, **k)
+
+    monkeypatch.setattr(incremental, "load_days", watched(incremental.load_days))
+    monkeypatch.setattr(incremental, "write_days", watched(incremental.write_days))
+    lined = {f.__name__: f(spark, lines) for f in (incremental.trend_incremental, incremental.incremental_daily)}
+    assert seen and not any("Window" in text for text in seen)
+    assert lined["trend_incremental"].count() == lined["incremental_daily"].count()
+
+
 def test_clean_names(spark, rows):
     """Names without other tags take a shorter way to the same result."""
     parts = ["French", " <strong>*</strong>", "*", " ", "\t ", "  Simplified Chinese ", "<i>Thai</i>", "<br >", "é", "languages with FULL audio support", "a<b"]
