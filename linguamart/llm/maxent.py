@@ -30,6 +30,8 @@ ROUNDS, STEP_TOKENS, RATE, BLOCK = 2, 8192, 0.15, 1024
 CODED_TOKENS = 1 << 19
 SHAPE = SLOTS * CLASSES, SLOTS * EACH, CLASSES
 LN10 = float(np.log(10))
+#: Probabilities below this one are worked out in logarithms.
+LEAST = np.float32(1e-30)
 
 
 def tokens(text):
@@ -131,11 +133,17 @@ class Model:
 
     @staticmethod
     def log10_softmax(z, at):
-        """log10 of the softmax of column ``at`` of each row, however small: the share itself is never formed."""
+        """log10 of the softmax of column ``at`` of each row, also of one too small to be held as a number."""
+        rows = np.arange(len(z))
         z -= z.max(1, keepdims=True)
-        own = z[np.arange(len(z)), at].astype(float)
+        own = z[rows, at].astype(float)
         np.exp(z, out=z)
-        return (own - np.log(z.sum(1))) / LN10
+        total = z.sum(1)
+        share = z[rows, at] / total
+        out = np.log10(np.maximum(share, LEAST)).astype(float)
+        small = np.flatnonzero(share < LEAST)
+        out[small] = (own[small] - np.log(total[small].astype(float))) / LN10
+        return out
 
     def classes(self, slots):
         z = np.take(self.a, slots[0], 0)
