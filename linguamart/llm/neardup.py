@@ -9,7 +9,7 @@ from pyspark import TaskContext
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import Rolling, documents, lower, mix, saved, text_chunks, words_of
+from .common import SMALL_CHUNK, Rolling, documents, lower, mix, saved, text_chunks, words_of
 from .components import components
 
 WORDS = 5
@@ -57,7 +57,7 @@ class Signer:
 
     def shingles(self, column):
         """For each text: the hashes of its distinct shingles, and its bytes with A-Z in lower case."""
-        for _, data, offsets in text_chunks(column):
+        for _, data, offsets in text_chunks(column, SMALL_CHUNK):
             data = lower(data)
             starts, ends, bounds = words_of(data, offsets)
             hashes = self.rolling.words(data, starts, ends)

@@ -5,7 +5,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import Rolling, documents, mix, schema_of, signed, text_chunks, words_of
+from .common import SMALL_CHUNK, Rolling, documents, mix, schema_of, signed, slices, text_chunks, words_of
 
 WINDOW = 35
 #: Words of an anchor, the least of its window by hash.
@@ -14,6 +14,30 @@ ANCHOR = 16
 CELLS, DEPTH = 1 << 26, 2
 #: Values that a task holds before it hands them on.
 HELD = 1 << 21
+#: Rows that are handed on at a time: what a batch of them takes, Python and the JVM each have several times.
+ROWS = 1 << 16
+
+
+class Held:
+    """Columns of at most ``most`` values that a task gathers; memory is taken as they fill, and once."""
+
+    def __init__(self, most, *kinds):
+        self.most, self.n, self.rooms = most, 0, [np.empty(most, kind) for kind in kinds]
+
+    def add(self, *columns):
+        """Takes the columns by and by; yields whenever it is full, and is empty from then on."""
+        at, end = 0, len(columns[0])
+        while at < end:
+            n = min(end - at, self.most - self.n)
+            for room, column in zip(self.rooms, columns):
+                room[self.n:self.n + n] = column[at:at + n]
+            self.n, at = self.n + n, at + n
+            if self.n == self.most:
+                yield self.columns()
+                self.n = 0
+
+    def columns(self):
+        return [room[:self.n] for room in self.rooms]
 
 
 class Windows:
@@ -54,24 +78,27 @@ def sketch(docs, size, cells):
     """(cell, n): each input partition's sketch, as its cells that are not 0."""
 
     def run(batches):
-        windows, held, n = Windows(size), [], 0
+        windows, held = Windows(size), Held(2 * HELD, np.uint32)
 
-        def out():
-            found, counts = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(counts.astype(np.int32))], names=["cell", "n"])
+        def out(found):
+            found.sort()
+            new = np.ones(len(found), bool)
+            new[1:] = found[1:] != found[:-1]
+            heads = np.flatnonzero(new)
+            for at in range(0, len(heads), ROWS):
+                part = heads[at:at + ROWS + 1]
+                counts = np.diff(part if len(part) > ROWS else np.append(part, len(found))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(found[part[:ROWS]].astype(np.int64)), pa.array(counts)], names=["cell", "n"])
 
         for batch in batches:
-            for _, data, offsets in text_chunks(batch.column(0)):
+            for _, data, offsets in text_chunks(batch.column(0), SMALL_CHUNK):
                 _, _, places, anchors, _, _ = windows.of(data, offsets)
                 places = places[np.append(True, places[1:] != places[:-1])] if len(places) else places
                 for values in cells_of(anchors[places], cells):
-                    held.append(values.astype(np.uint32))
-                    n += len(values)
-                if n > 2 * HELD:
-                    yield out()
-                    held, n = [], 0
-        if n:
-            yield out()
+                    for full, in held.add(values):
+                        yield from out(full)
+        if held.n:
+            yield from out(*held.columns())
 
     return docs.select("text").mapInArrow(run, "cell long, n int")
 
@@ -108,12 +135,14 @@ def candidates(docs, bits, size, cells):
     """
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
+    def rows(h1, *columns):
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (signed(h1), *columns)], names=[x.split()[0] for x in FOUND.split(", ")])
+
     def run(batches):
         bits, windows = shared.value, Windows(size)
-        held, n = [], 0
+        held = Held(HELD, np.int64, np.int64, np.uint64, np.int32)
 
-        def out():
-            texts, places, h1, h2 = (np.concatenate(x) for x in zip(*held))
+        def out(texts, places, h1, h2):
             order = np.lexsort((h2, h1))
             a, b = h1[order], h2[order]
             new = np.ones(len(a), bool)
@@ -121,6 +150,14 @@ def candidates(docs, bits, size, cells):
             heads = np.flatnonzero(new)
             times = np.diff(np.append(heads, len(a)))
             single, several = order[heads[times == 1]], heads[times > 1]
+            for at in range(0, len(single), ROWS):
+                i = single[at:at + ROWS]
+                yield rows(h1[i], h2[i], texts[i], places[i], np.ones(len(i), np.int32))
+            del single
+            for at in range(0, len(several), ROWS):
+                i = several[at:at + ROWS]
+                yield rows(a[i], b[i], pa.nulls(len(i), pa.int64()), pa.nulls(len(i), pa.int64()), np.full(len(i), 2, np.int32))
+            del a, b, several
             # Equal texts have equal places, of which one is enough; neighbours become one run.
             twice = order[np.repeat(times > 1, times)]
             twice = twice[np.lexsort((places[twice], texts[twice]))]
@@ -132,19 +169,14 @@ def candidates(docs, bits, size, cells):
             new[1:] = (t[1:] != t[:-1]) | (s[1:] != s[:-1] + 1)
             first = np.flatnonzero(new)
             length = np.diff(np.append(first, len(s)))
-            m, r = len(several), len(first)
-            own = mix(t[first].view(np.uint64) + s[first].view(np.uint64))
-            return pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([signed(h1[single]), signed(a[several]), signed(own)])),
-                pa.array(np.concatenate([h2[single], b[several], np.arange(r, dtype=np.int32)])),
-                pa.concat_arrays([pa.array(texts[single]), pa.nulls(m, pa.int64()), pa.array(t[first])]),
-                pa.concat_arrays([pa.array(places[single]), pa.nulls(m, pa.int64()), pa.array(s[first])]),
-                pa.array(np.concatenate([np.ones(len(single)), np.full(m, 2), 1 + length]).astype(np.int32)),
-            ], names=[x.split()[0] for x in FOUND.split(", ")])
+            for at in range(0, len(first), ROWS):
+                i = first[at:at + ROWS]
+                own = mix(t[i].view(np.uint64) + s[i].view(np.uint64))
+                yield rows(own, np.arange(at, at + len(i), dtype=np.int32), t[i], s[i], (1 + length[at:at + ROWS]).astype(np.int32))
 
         for batch in batches:
             texts = batch.column(1).to_numpy()
-            for row, data, offsets in text_chunks(batch.column(0)):
+            for row, data, offsets in text_chunks(batch.column(0), SMALL_CHUNK):
                 hashes, at, places, anchors, bounds, (starts, ends) = windows.of(data, offsets)
                 maybe = np.ones(len(anchors), bool)
                 for cell in cells_of(anchors, cells):
@@ -157,13 +189,10 @@ def candidates(docs, bits, size, cells):
                 h1 = windows.first.runs(sums, at, at + size)
                 sums = windows.second.sums(windows.second.words(data, starts, ends))
                 h2 = (windows.second.runs(sums, at, at + size) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                held.append((texts[row + text], (np.diff(bounds)[text] << 32) + at - bounds[text], h1, h2))
-                n += len(at)
-                if n > HELD:
-                    yield out()
-                    held, n = [], 0
-        if n:
-            yield out()
+                for full in held.add(texts[row + text], (np.diff(bounds)[text] << 32) + at - bounds[text], h1, h2):
+                    yield from out(*full)
+        if held.n:
+            yield from out(*held.columns())
 
     return docs.select("text", "text_hash").mapInArrow(run, FOUND)
 
@@ -183,9 +212,12 @@ def repeated_runs(docs, size=WINDOW, cells=CELLS):
     return marks.groupBy("r_hash").agg(F.collect_set("at").alias("found"))
 
 
-def remove_repeats(docs, size=WINDOW, cells=CELLS, id_col="doc_id", text_col="text", keep=()):
+def remove_repeats(docs, size=WINDOW, cells=CELLS, id_col="doc_id", text_col="text", keep=(), as_is=False):
     """doc_id, n_words, n_removed, kept_text and the columns of ``keep`` (as one struct, ``row``) of every document.
 
+    ``as_is``: the kept_text of a document that loses nothing is its text as it is, null if that is; so ``keep`` need not
+    have the text, which moves once.
+
     A window is ``size`` words in a row of one document (split at space and 0x09 to 0x0D, unchanged). Every word under a
     window whose words also start anywhere else, in the same document too, goes; windows are judged on the input.
 
@@ -204,7 +236,7 @@ def remove_repeats(docs, size=WINDOW, cells=CELLS, id_col="doc_id", text_col="te
     runs = repeated_runs(rows, size, cells)
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     whole = docs.select(
-        F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"),
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), F.xxhash64(text).alias("text_hash"),
         *([F.struct(*keep).alias("row")] if keep else []),
     )
     joined = whole.join(runs, F.col("text_hash") == F.col("r_hash"), "left")
@@ -213,10 +245,10 @@ def remove_repeats(docs, size=WINDOW, cells=CELLS, id_col="doc_id", text_col="te
     schema = schema_of("doc_id long, n_words long, n_removed long, kept_text string", out)
 
     def cut(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             words, removed, texts = [], [], []
-            for text, found in zip(batch.column(1), batch.column(2)):
-                tokens = text.as_py().encode().split()
+            for text, found in zip(batch.column(1).to_pylist(), batch.column(2)):
+                tokens = (text or "").encode().split()
                 covered = np.zeros(len(tokens) + 1, np.int64)
                 if found.is_valid:
                     n_words, start, run = (x.to_numpy() for x in found.values.flatten())
@@ -226,7 +258,10 @@ def remove_repeats(docs, size=WINDOW, cells=CELLS, id_col="doc_id", text_col="te
                 gone = np.cumsum(covered)[:-1] > 0
                 words.append(len(tokens))
                 removed.append(int(gone.sum()))
-                texts.append(b" ".join([x for x, g in zip(tokens, gone.tolist()) if not g] if removed[-1] else tokens).decode())
+                if as_is and not removed[-1]:
+                    texts.append(text)
+                else:
+                    texts.append(b" ".join([x for x, g in zip(tokens, gone.tolist()) if not g] if removed[-1] else tokens).decode())
             columns = [batch.column(0), pa.array(words, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns + [batch.column(3 + i) for i in range(len(out))], names=["doc_id", "n_words", "n_removed", "kept_text"] + [f.name for f in out])
 

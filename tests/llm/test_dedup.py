@@ -2,13 +2,17 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from llm_texts import prose
 from pyspark.sql import functions as F
 
-from linguamart.llm import neardup, repeats
+from linguamart.llm import common, neardup, repeats
 from linguamart.llm.components import components
 
 
@@ -193,3 +197,88 @@ def test_many_copies_of_one_text(spark, frame):
 
 def test_remove_repeats_from_nothing(frame):
     assert removed(frame([])) == []
+
+
+class Direct:
+    """Batches of (text, text_hash) whose function runs here, without Spark."""
+
+    def __init__(self, texts):
+        self.batches = [pa.RecordBatch.from_arrays([pa.array(texts), pa.array(range(len(texts)))], names=["text", "text_hash"])]
+        self.sparkSession = SimpleNamespace(sparkContext=SimpleNamespace(broadcast=lambda x: SimpleNamespace(value=x)))
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run(iter(self.batches))
+
+
+def peak_mb(work):
+    tracemalloc.start()
+    try:
+        return work(), tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_words_are_hashed_by_blocks():
+    """A word's hash is that of its bytes alone, and memory doesn't follow the length of the text."""
+    words = prose(500_000, 6).split()
+    words[1000], words[-1] = "x" * (3 * common.BLOCK_BYTES), "é" * common.BLOCK_BYTES
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    starts, ends, _ = common.words_of(data, np.array([0, len(data)]))
+    assert len(starts) == len(words)
+    got, peak = peak_mb(lambda: common.Rolling(5).words(data, starts, ends))
+    assert peak < 64, peak
+    alone = common.Rolling(5)
+    for i in [*range(0, 3000), *range(len(words) - 50, len(words))]:
+        word = np.frombuffer(words[i].encode(), np.uint8)
+        assert got[i] == alone.words(word, np.array([0]), np.array([len(word)]))[0]
+    assert len(common.Rolling(5).words(data[:0], starts[:0], ends[:0])) == 0
+
+
+def test_tasks_hand_on_small_batches():
+    """What a task has gathered leaves by ROWS at a time, and sorting it takes little more than what is held."""
+    rng = np.random.default_rng(7)
+    texts = [" ".join(map(str, rng.integers(0, 1 << 40, 1000))) for _ in range(1000)]
+    texts += texts[:300]
+    cells, n = 1 << 22, 1300 * 966
+
+    def run(batches):
+        sizes, total = [], 0
+        for batch in batches:
+            sizes.append(batch.num_rows)
+            total += int(np.sum(batch.column(batch.num_columns - 1).to_numpy()))
+        return sizes, total
+
+    (sizes, total), _ = peak_mb(lambda: run(repeats.sketch(Direct(texts), 35, cells)))
+    assert max(sizes) <= 1 << 16 and 2 * 1300 * 30 < total < 2 * n
+    (sizes, _), peak = peak_mb(lambda: run(repeats.candidates(Direct(texts), np.full(cells * 2 // 8, 255, np.uint8), 35, cells)))
+    assert max(sizes) <= 1 << 16 and sum(sizes) >= 700 * 966
+    assert peak < 175, peak
+
+
+def test_remove_repeats_in_small_parts(frame, odd_rows, monkeypatch):
+    """Where a task hands on what it holds, and where batches are cut, changes nothing."""
+    monkeypatch.setattr(repeats, "HELD", 50)
+    monkeypatch.setattr(repeats, "ROWS", 7)
+    shared = prose(50, 20)
+    rows = odd_rows + [(50 + i, f"{prose(30 + i, 30 + i)} {shared} {prose(20, 60 + i)}") for i in range(12)] + [(81, "z y " * 40)]
+    assert removed(frame(rows).coalesce(1)) == brute_removal(rows, 35)
+
+
+def test_texts_as_they_are(frame):
+    """A text that loses nothing is handed on unchanged, a null one too."""
+    rows = [(1, None), (2, ""), (3, " a\t b "), (4, prose(40, 1) + " \n end"), (5, prose(40, 1))]
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_text"]) for r in repeats.remove_repeats(frame(rows), as_is=True).collect()}
+    assert got == {1: (0, 0, None), 2: (0, 0, ""), 3: (2, 0, " a\t b "), 4: (41, 40, "end"), 5: (40, 40, "")}
+
+
+@pytest.mark.parametrize("most", [1, 100, 1 << 21])
+def test_slices(most):
+    texts = [None, "", "abc" * 50, "é" * 20, None, "x"] * 5
+    batch = pa.RecordBatch.from_arrays([pa.array(range(30)), pa.array(texts)], names=["i", "text"])
+    parts = list(common.slices(batch, 1, most))
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
+    assert len(parts) == 1 if most > 1000 else all(sum(len((t or "").encode()) for t in p.column(1).to_pylist()[:-1]) < most for p in parts)
+    assert list(common.slices(batch.slice(0, 0), 1, most)) == []

@@ -4,7 +4,7 @@ import pytest
 from llm_texts import prose
 
 import corpus_pipeline
-from linguamart.llm import common, neardup
+from linguamart.llm import common, neardup, ranking, repeats
 from linguamart.llm.queries import QUERIES
 
 
@@ -64,3 +64,22 @@ def test_stages_of_nothing(spark, folder):
 def test_registered():
     assert sorted(int(x[2:].split("_")[0]) for x in QUERIES) == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
+
+
+def test_texts_move_once(spark, frame, odd_rows, monkeypatch):
+    """The stages give the operators all columns but the text, which comes back as it was."""
+    kept = []
+    for module, name in ((ranking, "score_documents"), (repeats, "remove_repeats")):
+        def seen(docs, *a, real=getattr(module, name), keep=(), **b):
+            kept.extend(docs.select(*keep).columns)
+            return real(docs, *a, keep=keep, **b)
+
+        monkeypatch.setattr(module, name, seen)
+    docs = frame([r for r in odd_rows if r[0] not in (6, 7, 8)])
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: labels)
+    for stage in (corpus_pipeline.quality, corpus_pipeline.substrings):
+        out = stage(spark, docs, None)
+        assert out.schema == docs.schema
+        assert {(r["doc_id"], r["text"], r["n_chars"]) for r in out.collect()} >= {(1, None, None), (2, "", 0), (3, " \t\n ", 4), (10, "a\x00b c\x1cd", 7)}
+    assert kept and "text" not in kept
