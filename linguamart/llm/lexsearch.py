@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .common import Rolling, documents, lower, saved, text_chunks, words_of
 
 #: Text that a segment of the index holds, about, and text that is cut into terms at a time.
-SEGMENT_BYTES, SLICE_BYTES = 4 << 20, 1 << 19
+SEGMENT_BYTES, SLICE_BYTES = 2 << 20, 1 << 19
 #: A list is short if it holds at most one in so many of a segment's documents (or LEAST_SHORT of them).
 SHORT_SHARE, LEAST_SHORT = 32, 64
 #: Documents that lists are bounded and walked through by.
@@ -26,7 +26,7 @@ TERM_BYTES = np.zeros(256, bool)
 TERM_BYTES[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 TERMS = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 SEGMENT = (
-    "docs long, tokens long, ids array<long>, lengths binary, hashes binary, words binary, word_ends binary, counts binary, places binary, tfs binary"
+    "docs long, tokens long, ids array<long>, lengths binary, hashes binary, words binary, word_sizes binary, counts binary, places binary, tfs binary"
 )
 
 
@@ -34,6 +34,17 @@ def terms_of(text):
     return TERMS.findall((text or "").encode().lower())
 
 
+def narrow(x):
+    """The bytes of numbers not below 0, each in as many bytes (1, 2, 4 or 8) as the largest needs: what tasks read a split of at once."""
+    most = int(x.max()) if len(x) else 0
+    return x.astype(next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if most <= np.iinfo(k).max)).tobytes()
+
+
+def wide(raw, n):
+    """The ``n`` numbers of narrow(), in their own width; sums and differences need a wider one."""
+    return np.frombuffer(raw, f"u{len(raw) // n}") if n else np.zeros(0, np.uint8)
+
+
 class Segment:
     """Postings of some documents on their way into a row of the index."""
 
@@ -87,11 +98,12 @@ class Segment:
             hashes, docs, tfs = hashes[new], docs[new], np.add.reduceat(tfs, new)
         terms = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]]) if len(hashes) else none
         words = [self.words[h] for h in hashes[terms].tolist()]
-        blobs = [
-            lengths, hashes[terms], np.frombuffer(b"".join(words), np.uint8), np.cumsum([len(w) for w in words], dtype=np.int64),
-            np.diff(np.r_[terms, len(hashes)]).astype(np.int64), docs, tfs,
+        sizes = np.asarray([len(w) for w in words], np.int64)
+        counts = np.diff(np.r_[terms, len(hashes)])
+        return [
+            int((lengths > 0).sum()), int(lengths.sum()), self.ids, narrow(lengths), hashes[terms].tobytes(), b"".join(words),
+            *[narrow(x) for x in (sizes, counts, docs, tfs)],
         ]
-        return [int((lengths > 0).sum()), int(lengths.sum()), self.ids, *[x.tobytes() for x in blobs]]
 
 
 def build_index(docs, id_col="doc_id", text_col="text"):
@@ -123,14 +135,15 @@ def build_index(docs, id_col="doc_id", text_col="text"):
     return saved(documents(docs, id_col, text_col).mapInArrow(run, SEGMENT), "index")
 
 
-def _find(vocabulary, hashes, words, word_ends):
+def _find(vocabulary, hashes, words, word_sizes):
     """(place in the vocabulary, place in the segment) of the terms that both have. vocabulary: (sorted hashes, bytes)."""
     own, texts = vocabulary
     at = np.searchsorted(hashes, own)
     hit = np.flatnonzero(at < len(hashes))
     hit = hit[hashes[at[hit]] == own[hit]]
-    starts = np.r_[0, word_ends[:-1]]
-    return [(v, k) for v, k in zip(hit.tolist(), at[hit].tolist()) if words[starts[k]:word_ends[k]] == texts[v]]
+    ends = np.cumsum(wide(word_sizes, len(hashes)), dtype=np.int64)
+    starts = np.r_[0, ends[:-1]]
+    return [(v, k) for v, k in zip(hit.tolist(), at[hit].tolist()) if words[starts[k]:ends[k]] == texts[v]]
 
 
 class Best:
@@ -242,15 +255,16 @@ def _search_block(index, items, k):
         counts, totals = np.zeros(len(texts), np.int64), [0, 0]
         for batch in batches:
             for i in range(batch.num_rows):
-                docs, tokens, own, words, word_ends, n = (batch.column(j)[i].as_py() for j in range(6))
+                docs, tokens, own, words, word_sizes, n = (batch.column(j)[i].as_py() for j in range(6))
                 totals = [totals[0] + docs, totals[1] + tokens]
-                n = np.frombuffer(n, np.int64)
-                for v, at in _find(vocabulary.value, np.frombuffer(own, np.uint64), words, np.frombuffer(word_ends, np.int64)):
-                    counts[v] += n[at]
+                own = np.frombuffer(own, np.uint64)
+                n = wide(n, len(own))
+                for v, at in _find(vocabulary.value, own, words, word_sizes):
+                    counts[v] += int(n[at])
         full = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array([-2, -1, *full.tolist()], pa.int64()), pa.array([*totals, *counts[full].tolist()], pa.int64())], names=["term", "n"])
 
-    read = index.select("docs", "tokens", "hashes", "words", "word_ends", "counts")
+    read = index.select("docs", "tokens", "hashes", "words", "word_sizes", "counts")
     known = {r["term"]: r["n"] for r in read.mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
     n_docs, n_tokens = known.get(-2, 0), known.get(-1, 0)
     worth = [math.floor(1000 * math.log((2 * n_docs + 2) / (2 * known.get(v, 0) + 1))) for v in range(len(texts))]
@@ -266,17 +280,18 @@ def _search_block(index, items, k):
         best = {item: Best(k) for item, _, _ in shared.value}
         for batch in batches:
             for i in range(batch.num_rows):
-                ids, lengths, own, words, word_ends, counts, places, tfs = (batch.column(j)[i].as_py() for j in range(8))
+                ids, lengths, own, words, word_sizes, counts, places, tfs = (batch.column(j)[i].as_py() for j in range(8))
                 none = np.asarray([x is None for x in ids], bool)
                 ids = np.asarray([x or 0 for x in ids], np.int64)
-                n = np.frombuffer(lengths, np.int64)
+                n = wide(lengths, len(ids)).astype(np.int64)
                 stretch = FULL_LENGTH - LENGTH_SHARE + LENGTH_SHARE * n * n_docs // max(1, n_tokens)
-                counts = np.frombuffer(counts, np.int64)
-                starts = np.r_[0, np.cumsum(counts)]
-                places, tfs = np.frombuffer(places, np.int32), np.frombuffer(tfs, np.int64)
+                own = np.frombuffer(own, np.uint64)
+                starts = np.r_[0, np.cumsum(wide(counts, len(own)), dtype=np.int64)]
+                places, tfs = wide(places, int(starts[-1])), wide(tfs, int(starts[-1]))
                 lists = {}
-                for v, at in _find(vocabulary.value, np.frombuffer(own, np.uint64), words, np.frombuffer(word_ends, np.int64)):
-                    docs, tf = places[starts[at]:starts[at + 1]], tfs[starts[at]:starts[at + 1]]
+                for v, at in _find(vocabulary.value, own, words, word_sizes):
+                    part = slice(starts[at], starts[at + 1])
+                    docs, tf = places[part].astype(np.int32), tfs[part].astype(np.int64)
                     lists[v] = docs, 10**9 * tf // (SCALE * tf + SATURATION * stretch[docs])
                 for item, _, terms in shared.value:
                     weighted = [(lists[v][0], w * lists[v][1]) for v, w in terms if v in lists]
@@ -284,7 +299,7 @@ def _search_block(index, items, k):
         out = [(item, item_id, None if no else int(d), int(s)) for item, item_id, _ in shared.value for d, s, no in zip(best[item].ids, best[item].scores, best[item].none)]
         yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], pa.int64()) for j in range(4)], names=["item", "item_id", "doc_id", "score"])
 
-    read = index.select("ids", "lengths", "hashes", "words", "word_ends", "counts", "places", "tfs")
+    read = index.select("ids", "lengths", "hashes", "words", "word_sizes", "counts", "places", "tfs")
     return read.mapInArrow(run, "item long, item_id long, doc_id long, score long")
 
 

@@ -88,5 +88,28 @@ def test_segment(seed, monkeypatch):
     assert [i for i, no in zip(best.ids.tolist(), best.none.tolist()) if not no] == [x[3] for x in want if not x[1]]
 
 
+@pytest.mark.parametrize("values", [[], [0], [0, 255], [256, 1], [65_535], [65_536, 3], [2**32 - 1, 0], [2**32, 7], [2**63 - 1]])
+def test_numbers_are_kept(values):
+    raw = lexsearch.narrow(np.asarray(values, np.int64))
+    assert lexsearch.wide(raw, len(values)).tolist() == values
+    assert len(raw) == len(values) * next(w for w in (1, 2, 4, 8) if max(values, default=0) < 1 << 8 * w)
+
+
+def test_many_of_one_term(spark, frame):
+    """Numbers beyond one and two bytes: of a term in a document, of documents that hold it, of a document's terms."""
+    docs = [(i, "one " * (i % 3 + 1) + prose(i % 5, i)) for i in range(700)] + [(1000, "one two " * 300), (1001, "two " * 70_000 + "one"), (1002, None)]
+    items = [(1, "one"), (2, "two one two"), (3, "absent")]
+    assert found(frame(docs).repartition(2), items, 20, spark) == brute(docs, items, 20)
+
+
+def test_index_is_no_larger_than_its_text(spark, frame):
+    """A task reads all segments of a split at once, so an index row must not take more than the text it stands for."""
+    docs = [(i, prose(150, i)) for i in range(1_500)]
+    rows = lexsearch.build_index(frame(docs).coalesce(1)).collect()
+    held = sum(len(x) for r in rows for x in r if isinstance(x, (bytes, bytearray)))
+    assert held < 0.6 * sum(len(t) for _, t in docs)
+    assert sum(r["docs"] for r in rows) == len(docs)
+
+
 def test_words_are_distinct():
     assert len(set(WORDS)) == len(WORDS)
